@@ -54,12 +54,17 @@ def rebucket(
 
 
 def within(frame: DataFrame, end_ms: int, interval: str, ts: str = "timestamp") -> DataFrame:
-    """Rows of the look-back `[end - interval, end]`.
+    """Rows of the look-back `[end - interval, end]`, both ends included.
 
-    Both ends are constants to the optimizer, so the predicate reaches the scan.
+    `ts` holds epoch milliseconds or a timestamp. The bare column is compared
+    with constants of its own type, so the predicate reaches the scan.
     """
     end = F.lit(end_ms).cast("long")
-    return frame.filter(F.col(ts).between(lookback_start(end, interval), end))
+    start = lookback_start(end, interval)
+    kind = frame.schema[ts].dataType.simpleString()
+    if kind.startswith("timestamp"):
+        start, end = (F.timestamp_millis(edge).cast(kind) for edge in (start, end))
+    return frame.filter(F.col(ts).between(start, end))
 
 
 def request_bars(

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 import numpy as np
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.schema import ELASTIC_NET
+from marketflow.schema import ELASTIC_NET, small_frame
 from marketflow.session import settle
 
 FEATURES = ("open", "high", "low")
@@ -38,7 +41,7 @@ def moments(frame: DataFrame, inputs=FEATURES, label: str = "close", key: str =
     )
 
 
-def _moment_points(row, columns: list[str]) -> list[tuple]:
+def _moment_points(row, columns: list[str]) -> pa.Table:
     """Weighted points whose count, mean and covariance are those of `row`."""
     size = len(columns)
     mean = np.array([row[f"mean_{c}"] for c in columns])
@@ -47,10 +50,10 @@ def _moment_points(row, columns: list[str]) -> list[tuple]:
         for j, b in enumerate(columns[i:], start=i):
             cov[i, j] = cov[j, i] = row[f"cov_{a}_{b}"]
     values, vectors = np.linalg.eigh(cov)
-    spread = vectors * np.sqrt(np.clip(values, 0.0, None) * size)
-    points = [mean + sign * spread[:, i] for i in range(size) for sign in (1.0, -1.0)]
-    weight = row["n"] / len(points)
-    return [(Vectors.dense(p[:-1]), float(p[-1]), weight) for p in points]
+    spread = (vectors * np.sqrt(np.clip(values, 0.0, None) * size)).T
+    points = np.concatenate([mean + spread, mean - spread])
+    arrays = {c: points[:, i] for i, c in enumerate(columns)}
+    return pa.table({**arrays, "weight": np.full(len(points), row["n"] / len(points))})
 
 
 def fit_sector_models(
@@ -69,11 +72,20 @@ def fit_sector_models(
     regression = LinearRegression(
         featuresCol="features", labelCol=label, weightCol="weight", **{**ELASTIC_NET, **params}
     )
-    models = {}
-    for row in moments(frame, inputs, label, key).collect():
-        points = spark.createDataFrame(_moment_points(row, columns), ["features", label, "weight"])
-        models[row[key]] = regression.fit(points.coalesce(1))
-    return models
+
+    def fit(row) -> tuple[str, LinearRegressionModel]:
+        points = spark.createDataFrame(_moment_points(row, columns)).coalesce(1)
+        return row[key], regression.fit(assemble(points, inputs))
+
+    rows = moments(frame, inputs, label, key).collect()
+    if not rows:
+        return {}
+    # the fits wait on small jobs; side by side they take the time of one
+    pool = ThreadPool(min(8, len(rows)))
+    try:
+        return dict(pool.map(inheritable_thread_target(spark)(fit), rows))
+    finally:
+        pool.close()
 
 
 def fit_one(frame: DataFrame, inputs=FEATURES, label: str = "close", **params) -> LinearRegressionModel:
@@ -86,12 +98,11 @@ def coefficient_frame(
     spark: SparkSession, models: dict[str, LinearRegressionModel], inputs=FEATURES, key: str = "sector"
 ) -> DataFrame:
     """The models as a small dimension: intercept and one coefficient per feature."""
-    rows = [
-        (name, float(model.intercept), *[float(c) for c in model.coefficients])
-        for name, model in sorted(models.items())
-    ]
-    schema = ", ".join([f"{key} string", "intercept double", *[f"coef_{c} double" for c in inputs]])
-    return spark.createDataFrame(rows, schema)
+    names = sorted(models)
+    columns = {key: names, "intercept": [float(models[name].intercept) for name in names]}
+    for i, feature in enumerate(inputs):
+        columns[f"coef_{feature}"] = [float(models[name].coefficients[i]) for name in names]
+    return small_frame(spark, columns)
 
 
 def score(

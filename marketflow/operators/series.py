@@ -25,20 +25,24 @@ def sector_mean(frame: DataFrame, value: str, name: str | None = None) -> DataFr
 
 
 def published_series(frame: DataFrame, value: str, scope: str, name: str | None = None) -> DataFrame:
-    """The daily mean as the dashboard gets it: date text, two decimals, in order."""
+    """The daily mean as the dashboard gets it: date text, two decimals.
+
+    Left unsorted, since most uses merge or write it; `in_order` sorts it.
+    """
     column = name or f"avg_{value}"
-    return (
-        sector_mean(frame, value, column)
-        .orderBy("sector", "timestamp")
-        .select(
-            "sector",
-            F.lit(scope).alias("scope"),
-            format_date(F.col("timestamp")).alias("timestamp"),
-            column,
-        )
+    return sector_mean(frame, value, column).select(
+        "sector",
+        F.lit(scope).alias("scope"),
+        format_date(F.col("timestamp")).alias("timestamp"),
+        column,
     )
 
 
+def in_order(series: DataFrame) -> DataFrame:
+    """A series by sector and ascending timestamp."""
+    return series.orderBy("sector", "timestamp")
+
+
 def sector_max_timestamp(frame: DataFrame) -> DataFrame:
     """Newest timestamp of each sector."""
     return frame.groupBy("sector").agg(F.max("timestamp").alias("max_timestamp"))

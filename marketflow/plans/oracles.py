@@ -18,12 +18,12 @@ _COEF = "coef(sector, b0, b_open, b_high, b_low) AS (VALUES {})".format(
 )
 _TICKS = f"""{_DIM},
 ticks AS (
-  SELECT d.tickerSymbol, d.sector, epoch_ms(e.ts) AS ms, e.value AS price,
+  SELECT d.tickerSymbol, d.sector, (epoch_us(e.ts) // 1000) AS ms, e.value AS price,
          CAST(regexp_extract(e.props, '[0-9]+') AS BIGINT) AS volume,
-         row(epoch_us(e.ts), e.event_id) AS seq
+         epoch_us(e.ts) AS us, row(epoch_us(e.ts), e.event_id) AS seq
   FROM events e JOIN dim d ON d.no = e.user_id % 30)"""
 _LINES = """lines AS (
-  SELECT CAST(l_suppkey AS VARCHAR) AS tickerSymbol, epoch_ms(l_shipdate) AS ms,
+  SELECT CAST(l_suppkey AS VARCHAR) AS tickerSymbol, (epoch_us(l_shipdate) // 1000) AS ms,
          l_extendedprice / l_quantity AS price, CAST(l_quantity AS BIGINT) AS volume,
          row(l_orderkey, l_linenumber, l_extendedprice / l_quantity) AS seq
   FROM lineitem),
@@ -168,11 +168,11 @@ SELECT sector, n, {_r('m_close - bo*m_open - bh*m_high - bl*m_low', digits)} AS
        {_r('bo', digits)} AS coef_open, {_r('bh', digits)} AS coef_high, {_r('bl', digits)} AS coef_low FROM solved"""
 
 
-def _elastic_net(sweeps: int) -> str:
+def _elastic_net(sweeps: int, source: str = "daily") -> str:
     def soft(rest: str) -> str:
         return f"sign({rest}) * greatest(abs({rest}) - l1, 0.0) / (1.0 + l2)"
 
-    return f"""{_moments('daily')},
+    return f"""{_moments(source)},
 sd AS (SELECT *, sqrt(c_open_open) AS so, sqrt(c_high_high) AS sh, sqrt(c_low_low) AS sl,
               sqrt(c_close_close) AS sy FROM mo),
 st AS (SELECT *, c_open_high/(so*sh) AS oh, c_open_low/(so*sl) AS ol, c_high_low/(sh*sl) AS hl,
@@ -184,9 +184,17 @@ cd AS (
   SELECT c.* EXCLUDE (k, wo, wh, wl, wo1, wh1), k + 1, wo1, wh1, {soft('(ly - ol*wo1 - hl*wh1)')}
   FROM (SELECT *, {soft('(hy - oh*wo1 - hl*wl)')} AS wh1
         FROM (SELECT *, {soft('(oy - oh*wh - ol*wl)')} AS wo1 FROM cd WHERE k < {sweeps})) c),
-done AS (SELECT *, wo*sy/so AS bo, wh*sy/sh AS bh, wl*sy/sl AS bl FROM cd WHERE k = {sweeps})
-SELECT sector, n, {_r('m_close - bo*m_open - bh*m_high - bl*m_low', 6)} AS intercept,
-       {_r('bo', 6)} AS coef_open, {_r('bh', 6)} AS coef_high, {_r('bl', 6)} AS coef_low FROM done"""
+done AS (SELECT *, wo*sy/so AS b_open, wh*sy/sh AS b_high, wl*sy/sl AS b_low FROM cd WHERE k = {sweeps}),
+trained AS (
+  SELECT sector, n, m_close - b_open*m_open - b_high*m_high - b_low*m_low AS b0, b_open, b_high, b_low FROM done)"""
+
+
+_TRAINED_COLUMNS = ("b0 AS intercept", "b_open AS coef_open", "b_high AS coef_high", "b_low AS coef_low")
+
+
+def _trained(digits: int) -> str:
+    named = [c.split(" AS ") for c in _TRAINED_COLUMNS]
+    return ", ".join(f"{_r(expression, digits)} AS {name}" for expression, name in named)
 
 
 _STREAM_MEANS = f"""WITH {_TICKS}
@@ -210,7 +218,8 @@ SELECT {_bar_columns()} FROM (SELECT *, start AS timestamp FROM wide)""",
 {_rebucket("epoch_ms(CAST(date_trunc('month', make_timestamp(timestamp * 1000)) AS TIMESTAMP))")}
 SELECT {_bar_columns(4)} FROM (SELECT *, start AS timestamp FROM wide)""",
     "bars_requested": f"""WITH {_TICKS},
-wanted AS (SELECT * FROM ticks WHERE ms BETWEEN {EVENTS_END_MS - 2 * DAY_MS} AND {EVENTS_END_MS}),
+wanted AS (
+  SELECT * FROM ticks WHERE us BETWEEN {EVENTS_END_MS - 2 * DAY_MS} * 1000 AND {EVENTS_END_MS} * 1000),
 {_bars('bars', 'wanted', 900_000)} SELECT {_bar_columns()} FROM bars""",
     "range_lookback": f"""WITH {_LINES}
 SELECT tickerSymbol, ms AS timestamp, {_r('price', 4)} AS price, volume FROM lines
@@ -244,8 +253,8 @@ SELECT sector, scope, timestamp, avg_close, NULL::DOUBLE AS avg_prediction FROM
 UNION ALL SELECT sector, scope, timestamp, NULL, avg_prediction FROM prediction
 UNION ALL SELECT sector, scope, timestamp, avg_close, NULL FROM live""",
     # ranks and windows
-    "rank_newest": """SELECT user_id % 30 AS tickerSymbol, epoch_ms(ts) AS timestamp, event_id,
-       row_number() OVER (PARTITION BY user_id % 30 ORDER BY epoch_ms(ts) DESC, event_id DESC) AS row_num FROM events""",
+    "rank_newest": """SELECT user_id % 30 AS tickerSymbol, (epoch_us(ts) // 1000) AS timestamp, event_id,
+       row_number() OVER (PARTITION BY user_id % 30 ORDER BY (epoch_us(ts) // 1000) DESC, event_id DESC) AS row_num FROM events""",
     "last_n_strict": f"""WITH {_TICKS}
 SELECT tickerSymbol, ms AS timestamp, price, volume
 FROM (SELECT *, row_number() OVER (PARTITION BY tickerSymbol ORDER BY ms DESC, seq DESC) AS row_num FROM ticks)
@@ -269,7 +278,7 @@ FROM ranked JOIN ends USING (sector) WHERE row_num <= 7 GROUP BY sector, tickerS
     "ts_format_date": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date_text FROM orders",
     "ts_format_iso": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g+0000') AS instant_text FROM events",
     "weekday_of": "SELECT o_orderkey, CAST(isodow(o_orderdate) - 1 AS INTEGER) AS weekday FROM orders",
-    "next_business_day_of": f"""SELECT event_id, epoch_ms(ts) AS timestamp, {_next_day('epoch_ms(ts)')} AS next_ms
+    "next_business_day_of": f"""SELECT event_id, (epoch_us(ts) // 1000) AS timestamp, {_next_day('(epoch_us(ts) // 1000)')} AS next_ms
 FROM events""",
     # models and forecast
     "assemble_features": f"""WITH {_DAILY}
@@ -279,7 +288,15 @@ SELECT sector, {_r('regr_slope(close, open)', 6)} AS slope, {_r('regr_intercept(
 FROM daily GROUP BY sector""",
     "ols_by_sector": f"WITH {_DAILY}, {_ols('daily', 6)}",
     "ols_by_region": f"WITH {_LINE_DAILY}, {_ols('daily', 4)}",
-    "elastic_net_by_sector": f"WITH RECURSIVE {_DAILY}, {_elastic_net(100)}",
+    "elastic_net_by_sector": f"WITH RECURSIVE {_DAILY}, {_elastic_net(100)} SELECT sector, n, {_trained(6)} FROM trained",
+    # ten iterations of the trained models reach the converged ones to about 1e-5
+    "elastic_net_fit": f"WITH RECURSIVE {_DAILY}, {_elastic_net(100)} SELECT sector, {_trained(3)} FROM trained",
+    "saved_models": f"""WITH RECURSIVE {_DAILY}, {_elastic_net(100)}
+SELECT sector, tickerSymbol, timestamp, {_r(_DOT, 1)} AS prediction FROM daily JOIN trained USING (sector)""",
+    "batch_forecast": f"""WITH RECURSIVE {_DAILY}, {_forecast(10, 10)}, {_elastic_net(100)}, {_HISTORY},
+{_FORECAST_SERIES.replace('JOIN coef', 'JOIN trained')}
+SELECT sector, scope, timestamp, avg_close, NULL::DOUBLE AS avg_prediction FROM history
+UNION ALL SELECT sector, scope, timestamp, NULL, avg_prediction FROM prediction""",
     "score_fixed_coeffs": f"""WITH {_DAILY}, {_COEF}
 SELECT sector, tickerSymbol, timestamp, {_r(_DOT, 6)} AS prediction FROM daily JOIN coef USING (sector)""",
     "standard_scale": f"""WITH {_DAILY},
@@ -351,7 +368,8 @@ FROM daily GROUP BY sector""",
     # streams
     "stream_sector_avg": _STREAM_MEANS,
     "stream_sector_avg_bounded": _STREAM_MEANS,
-    "stream_dedup": "SELECT DISTINCT l_orderkey || '-' || l_linenumber AS tickerSymbol FROM lineitem",
+    "stream_dedup": """SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS tickerSymbol, epoch_us(l_shipdate) // 1000 AS timestamp
+FROM lineitem""",
     "stream_word_count": _WORDS,
     "stream_to_topics": f"""WITH {_TICKS}
 SELECT sector AS topic, CAST(to_json({{'tickerSymbol': tickerSymbol, 'timestamp': ms - ms % 900000}}) AS VARCHAR) AS value

@@ -29,7 +29,7 @@ from marketflow.operators import ranking as R
 from marketflow.operators import records as J
 from marketflow.operators import series as S
 from marketflow.plans.batch import batch_series
-from marketflow.schema import BAR_SCHEMA, SECTORS, TICKER_SECTOR, ticker_dimension
+from marketflow.schema import BAR_SCHEMA, SECTORS, TICKER_SECTOR, small_frame, ticker_dimension
 from marketflow.session import new_path, settle, use_utc
 from marketflow.sinks import files as files_out
 from marketflow.sinks import results as store
@@ -80,10 +80,8 @@ def _line_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fixed_coefficients(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        FIXED_COEFFICIENTS,
-        "sector string, intercept double, coef_open double, coef_high double, coef_low double",
-    )
+    names = ("sector", "intercept", "coef_open", "coef_high", "coef_low")
+    return small_frame(spark, {n: list(values) for n, values in zip(names, zip(*FIXED_COEFFICIENTS))})
 
 
 def _model_bars(frame: DataFrame) -> DataFrame:
@@ -126,14 +124,14 @@ def bars_line_items_monthly(spark, sf_dir):
 @query
 def bars_requested(spark, sf_dir):
     """The intraday request: 15-minute bars of the two days up to a given end."""
-    frame = B.request_bars(event_ticks(spark, sf_dir), 15, "minute", EVENTS_END_MS, "2 DAYS")
-    return _rounded(frame, 4, "vw")
+    ticks = event_ticks(spark, sf_dir, (EVENTS_END_MS, "2 DAYS"))
+    return _rounded(B.bars(ticks, 15, "minute"), 4, "vw")
 
 
 @query
 def range_lookback(spark, sf_dir):
     """The daily request's five years, over the ship dates."""
-    ticks = B.within(line_item_ticks(spark, sf_dir), LINES_END_MS, "5 YEARS")
+    ticks = line_item_ticks(spark, sf_dir, (LINES_END_MS, "5 YEARS"))
     return ticks.select(
         "tickerSymbol", "timestamp", round_half_up(F.col("price"), 4).alias("price"), "volume"
     )
@@ -174,12 +172,12 @@ def sector_lookup(spark, sf_dir):
 
 @query
 def sector_daily_close(spark, sf_dir):
-    return S.published_series(_daily(spark, sf_dir), "close", "historical")
+    return S.in_order(S.published_series(_daily(spark, sf_dir), "close", "historical"))
 
 
 @query
 def region_daily_close(spark, sf_dir):
-    return S.published_series(_line_daily(spark, sf_dir), "close", "historical")
+    return S.in_order(S.published_series(_line_daily(spark, sf_dir), "close", "historical"))
 
 
 @query
@@ -352,7 +350,8 @@ def saved_models(spark, sf_dir):
     M.save_models(M.fit_sector_models(daily), root)
     loaded = M.load_models(root, SECTORS)
     scored = M.score(daily, M.coefficient_frame(spark, loaded))
-    return _rounded(scored, 2, "prediction").select("sector", "tickerSymbol", "timestamp", "prediction")
+    # ten iterations leave the fifth decimal open
+    return _rounded(scored, 1, "prediction").select("sector", "tickerSymbol", "timestamp", "prediction")
 
 
 @query
@@ -373,9 +372,14 @@ def scaled_regression(spark, sf_dir):
     """Assembler, scaler and ridge regression of the high on the close."""
     daily = settle(_daily(spark, sf_dir).select("close", F.col("high").alias("Output")), "daily")
     _, scaler, ridge = M.fit_scaled_regression(daily).stages
-    fitted = [(float(scaler.mean[0]), float(scaler.std[0]), float(ridge.coefficients[0]), float(ridge.intercept))]
-    frame = spark.createDataFrame(fitted, "mean double, std double, coefficient double, intercept double")
-    return _rounded(frame, 5, "mean", "std", "coefficient", "intercept")
+    fitted = {
+        "mean": scaler.mean[0],
+        "std": scaler.std[0],
+        "coefficient": ridge.coefficients[0],
+        "intercept": ridge.intercept,
+    }
+    frame = small_frame(spark, {name: [float(value)] for name, value in fitted.items()})
+    return _rounded(frame, 5, *fitted)
 
 
 @query
@@ -393,7 +397,7 @@ def forecast_close(spark, sf_dir):
 @query
 def forecast_sector(spark, sf_dir):
     frame = FC.forecast(_daily(spark, sf_dir), _fixed_coefficients(spark))
-    return S.published_series(frame, "prediction", "prediction")
+    return S.in_order(S.published_series(frame, "prediction", "prediction"))
 
 
 @query
@@ -446,8 +450,8 @@ def multi_avg(spark, sf_dir):
 def forecast_one_step(spark, sf_dir):
     """The one-step job to its published form."""
     means = S.multi_mean(O.fill_missing(O.full_join(*_one_step(spark, sf_dir))))
-    dated = means.orderBy("sector", "timestamp").withColumn("timestamp", format_date(F.col("timestamp")))
-    return _rounded(dated, 6, "avg_prediction")
+    dated = means.withColumn("timestamp", format_date(F.col("timestamp")))
+    return S.in_order(_rounded(dated, 6, "avg_prediction"))
 
 
 @query
@@ -600,13 +604,13 @@ def stream_sector_avg_bounded(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    """A stream of line items by (order, line), each delivered once."""
+    """Line items as a stream of bars: one delivery per supplier and ship date."""
     path = new_path(spark, "stream")
     lines = follow_table(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("tickerSymbol"), F.lit(0).cast("long").alias("timestamp")
+        F.col("l_suppkey").cast("string").alias("tickerSymbol"), epoch_ms(F.col("l_shipdate")).alias("timestamp")
     )
     _finish(live.append_files(live.dedup_stream(lines), f"{path}/out", f"{path}/checkpoint"))
-    return spark.read.schema("tickerSymbol string").parquet(f"{path}/out")
+    return spark.read.schema("tickerSymbol string, timestamp long").parquet(f"{path}/out")
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -86,12 +87,18 @@ WINDOW_SIZE = 10
 ONE_STEP_ROWS = 7
 
 
-def ticker_dimension(spark: SparkSession) -> DataFrame:
-    """The 30-row lookup `tickerSymbol -> sector`.
+def small_frame(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
+    """A literal frame from a few values per column.
 
-    It is a literal relation, so Spark knows its exact size and broadcasts it
-    by its own threshold wherever it is joined.
+    Made from an Arrow table it is a local relation: Spark knows its exact size
+    and broadcasts it by its own threshold. From a list of rows its size would be
+    unknown, and joins would shuffle or broadcast the other side.
     """
-    return spark.createDataFrame(
-        list(TICKER_SECTOR.items()), "tickerSymbol string, sector string"
+    return spark.createDataFrame(pa.table(columns))
+
+
+def ticker_dimension(spark: SparkSession) -> DataFrame:
+    """The 30-row lookup `tickerSymbol -> sector`."""
+    return small_frame(
+        spark, {"tickerSymbol": list(TICKER_SECTOR), "sector": list(TICKER_SECTOR.values())}
     )

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.functions import epoch_ms
+from marketflow.operators.bars import within
 from marketflow.schema import TICKER_SECTOR
 from marketflow.session import use_utc
 
@@ -23,11 +24,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`events` as ticks of the thirty tickers."""
+LookBack = tuple[int, str]
+
+
+def _source(spark: SparkSession, sf_dir: str, name: str, ts: str, look_back: LookBack | None) -> DataFrame:
+    """A table, cut to a look-back on its own time column so that the scan skips the rest."""
+    rows = table(spark, sf_dir, name)
+    return rows if look_back is None else within(rows, *look_back, ts)
+
+
+def event_ticks(spark: SparkSession, sf_dir: str, look_back: LookBack | None = None) -> DataFrame:
+    """`events` as ticks of the thirty tickers; `look_back` is (end in ms, interval)."""
     symbols = F.array(*[F.lit(symbol) for symbol in TICKER_SECTOR])
     ts = F.col("ts").cast("timestamp")
-    return table(spark, sf_dir, "events").select(
+    return _source(spark, sf_dir, "events", "ts", look_back).select(
         F.element_at(symbols, (F.col("user_id") % len(TICKER_SECTOR) + 1).cast("int")).alias(
             "tickerSymbol"
         ),
@@ -43,7 +53,7 @@ def event_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def line_item_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_item_ticks(spark: SparkSession, sf_dir: str, look_back: LookBack | None = None) -> DataFrame:
     """`lineitem` as ticks of its suppliers; ship dates carry no time of day.
 
     Lines of one day follow their order and line number; that pair repeats, so
@@ -54,7 +64,7 @@ def line_item_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").cast("decimal(19,0)") * F.lit(Decimal(10))
         + F.col("l_linenumber")
     ).cast("decimal(21,0)")
-    return table(spark, sf_dir, "lineitem").select(
+    return _source(spark, sf_dir, "lineitem", "l_shipdate", look_back).select(
         F.col("l_suppkey").cast("string").alias("tickerSymbol"),
         epoch_ms(F.col("l_shipdate")).alias("timestamp"),
         price.alias("price"),

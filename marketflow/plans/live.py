@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from marketflow.operators.records import split_malformed
+from marketflow.operators.records import parse_records, split_malformed
 from marketflow.operators.series import overlay
 from marketflow.sinks.results import upsert
 from marketflow.sources.files import read_results
@@ -33,24 +33,25 @@ def run_live(
     dedup: bool = True,
     dead_letters: str | None = None,
 ) -> list[StreamingQuery]:
-    """Start the live means of all sectors.
+    """Start the live means of all sectors; one query serves every topic.
 
-    With a delay, state is bounded by the watermark and repeated deliveries are
-    dropped unless `dedup` is off. Without one, every timestamp is kept and every
-    delivery counts. Records that do not parse go to `dead_letters`, or form the
-    null timestamp when that is not given and there is no delay.
+    With a delay, state is bounded by the watermark, repeated deliveries are
+    dropped unless `dedup` is off, and records that do not parse are appended to
+    `dead_letters` by a second query. Without one, every timestamp is kept, every
+    delivery counts, and what does not parse forms the null timestamp.
     """
+    if delay is None:
+        means = sector_means(flatten(parse_records(records)))
+        return [upsert_stream(means, store, f"{checkpoint}/means", every)]
     good, bad = split_malformed(records)
     bars = flatten(good)
-    if delay is None:
-        means = sector_means(bars)
-    elif dedup:
-        means = bounded_sector_means(dedup_stream(bars, delay), delay)
-    else:
-        means = bounded_sector_means(bars, delay)
-    # a mean after de-duplication is final once the watermark passed it
-    mode = "append" if delay is not None and dedup else "update"
-    queries = [upsert_stream(means, store, f"{checkpoint}/means", every, mode)]
-    if dead_letters is not None:
-        queries.append(append_files(bad, dead_letters, f"{checkpoint}/dead", ("topic",), every))
-    return queries
+    # after de-duplication a mean is published once, when the watermark has passed it
+    means, mode = (
+        (bounded_sector_means(dedup_stream(bars, delay), delay), "append")
+        if dedup
+        else (bounded_sector_means(bars, delay), "update")
+    )
+    return [
+        upsert_stream(means, store, f"{checkpoint}/means", every, mode),
+        append_files(bad, dead_letters or f"{store}-dead", f"{checkpoint}/dead", ("topic",), every),
+    ]

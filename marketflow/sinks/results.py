@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from marketflow.operators.ranking import document_ids
 from marketflow.schema import RESULT_SCHEMA
@@ -26,7 +26,7 @@ def upsert(series: DataFrame, path: str, version: int) -> None:
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
     """The newest version of every key; a hash aggregation with map-side combine."""
-    stored = StructType(RESULT_SCHEMA.fields).add("version", "long")
+    stored = StructType([*RESULT_SCHEMA.fields, StructField("version", LongType())])
     rows = spark.read.schema(stored).parquet(path)
     newest = rows.groupBy(*KEY).agg(*[F.max_by(c, "version").alias(c) for c in VALUES])
     return newest.select(*RESULT_SCHEMA.fieldNames())

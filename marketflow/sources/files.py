@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from marketflow.schema import BAR_SCHEMA, RESULT_SCHEMA
 
@@ -39,7 +39,7 @@ def read_landed_bars(spark: SparkSession, path: str) -> DataFrame:
 
     Both are partition columns, so a filter on them skips the files.
     """
-    schema = StructType(BAR_SCHEMA.fields).add("sector", "string")
+    schema = StructType([*BAR_SCHEMA.fields, StructField("sector", StringType())])
     return spark.read.schema(schema).json(path)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import time
 
 from marketflow.plans.batch import run_batch
 from marketflow.plans.landing import land_deliveries
@@ -56,12 +55,16 @@ def main() -> None:
             if args.servers
             else follow_sector_tree(spark, args.files)
         )
+        spark.streams.resetTerminated()
         queries = run_live(
             records, args.store, args.checkpoint, args.every, args.delay, dead_letters=args.dead_letters
         )
-        deadline = None if args.seconds is None else time.monotonic() + args.seconds
-        for query in queries:
-            query.awaitTermination(None if deadline is None else max(0.0, deadline - time.monotonic()))
+        try:
+            # ends with the first query that ends or fails
+            spark.streams.awaitAnyTermination(args.seconds)
+        finally:
+            for query in queries:
+                query.stop()
 
 
 if __name__ == "__main__":

@@ -9,12 +9,13 @@ taken before the pending day joins the window: days one and two are equal.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.functions import next_business_day
 from marketflow.operators.models import FEATURES, score
 from marketflow.operators.ranking import last_n_strict
+from marketflow.operators.series import sector_ends
 from marketflow.schema import WINDOW_SIZE
 
 
@@ -86,20 +87,15 @@ def forecast_features(
     """Open, high and low of the next `horizon` business days for every ticker.
 
     Dates follow the newest bar of the whole sector, also for a ticker whose own
-    bars end earlier. The window over a sector sees one row per ticker.
+    bars end earlier. The frame is read twice, once only for sector and time:
+    settle it first if it is not a table already.
     """
     horizon = window_size if horizon is None else horizon
-    own_last = F.element_at(F.col("window.timestamp"), -1)
-    sector_last = F.max(own_last).over(Window.partitionBy("sector"))
-    windows = (
-        recent_windows(frame, window_size)
-        .withColumn("last_ms", sector_last)
-        .withColumn("distinct_window", F.array_distinct("window"))
-    )
-    folded = windows.select(
+    windows = recent_windows(frame, window_size).withColumn("distinct_window", F.array_distinct("window"))
+    folded = windows.join(sector_ends(frame), "sector").select(
         "sector",
         "tickerSymbol",
-        business_days(F.col("last_ms"), horizon).alias("timestamp"),
+        business_days(F.col("max_timestamp"), horizon).alias("timestamp"),
         *[
             slide_means(F.col(f"window.{c}"), F.col(f"distinct_window.{c}"), window_size, horizon).alias(c)
             for c in FEATURES

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.operators.models import FEATURES, score
 from marketflow.operators.ranking import last_n
+from marketflow.operators.series import sector_ends
 from marketflow.schema import DAY_MS, ONE_STEP_ROWS
 
 JOIN_KEYS = ("sector", "tickerSymbol", *FEATURES)
 
 
 def ticker_means(frame: DataFrame, rows: int = ONE_STEP_ROWS) -> DataFrame:
-    """Means of the newest `rows` bars of every ticker, and the sector's newest time."""
+    """Means of the newest `rows` bars of every ticker, and the sector's newest time.
+
+    The frame is read twice, once only for sector and time.
+    """
     newest = last_n(
         frame.select("sector", "tickerSymbol", "timestamp", *FEATURES),
         rows,
@@ -23,11 +27,8 @@ def ticker_means(frame: DataFrame, rows: int = ONE_STEP_ROWS) -> DataFrame:
     per_ticker = newest.groupBy("sector", "tickerSymbol").agg(
         *[F.avg(c).alias(c) for c in FEATURES],
         F.avg("timestamp").alias("mean_timestamp"),
-        F.max("timestamp").alias("_last"),
     )
-    # one row per ticker enters this window
-    sector_last = F.max("_last").over(Window.partitionBy("sector"))
-    return per_ticker.withColumn("max_timestamp", sector_last).drop("_last")
+    return per_ticker.join(sector_ends(frame), "sector")
 
 
 def predict_next(frame: DataFrame, coefficients: DataFrame, rows: int = ONE_STEP_ROWS) -> DataFrame:

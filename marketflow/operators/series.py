@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketflow.functions import format_date, mean_2dp
 from marketflow.schema import RESULT_SCHEMA
+from marketflow.session import settle
 
 
 def with_sector(frame: DataFrame, dimension: DataFrame) -> DataFrame:
@@ -48,6 +49,14 @@ def sector_max_timestamp(frame: DataFrame) -> DataFrame:
     return frame.groupBy("sector").agg(F.max("timestamp").alias("max_timestamp"))
 
 
+def sector_ends(frame: DataFrame) -> DataFrame:
+    """The newest timestamps, settled: one row per sector of known size.
+
+    Joined back it is broadcast, so that no task gathers the tickers of a sector.
+    """
+    return settle(sector_max_timestamp(frame), "ends")
+
+
 def multi_mean(frame: DataFrame) -> DataFrame:
     """Means of close and prediction together; only the close is rounded."""
     return frame.groupBy("sector", "timestamp").agg(

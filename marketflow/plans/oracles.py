@@ -168,16 +168,16 @@ SELECT sector, n, {_r('m_close - bo*m_open - bh*m_high - bl*m_low', digits)} AS
        {_r('bo', digits)} AS coef_open, {_r('bh', digits)} AS coef_high, {_r('bl', digits)} AS coef_low FROM solved"""
 
 
-def _elastic_net(sweeps: int, source: str = "daily") -> str:
+def _elastic_net(sweeps: int, alpha: float = 0.7) -> str:
     def soft(rest: str) -> str:
         return f"sign({rest}) * greatest(abs({rest}) - l1, 0.0) / (1.0 + l2)"
 
-    return f"""{_moments(source)},
+    return f"""{_moments('daily')},
 sd AS (SELECT *, sqrt(c_open_open) AS so, sqrt(c_high_high) AS sh, sqrt(c_low_low) AS sl,
               sqrt(c_close_close) AS sy FROM mo),
 st AS (SELECT *, c_open_high/(so*sh) AS oh, c_open_low/(so*sl) AS ol, c_high_low/(sh*sl) AS hl,
               c_open_close/(so*sy) AS oy, c_high_close/(sh*sy) AS hy, c_low_close/(sl*sy) AS ly,
-              0.3*0.7/sy AS l1, 0.3*(1.0-0.7)/sy AS l2 FROM sd),
+              0.3*{alpha}/sy AS l1, 0.3*(1.0-{alpha})/sy AS l2 FROM sd),
 cd AS (
   SELECT *, 0 AS k, 0.0::DOUBLE AS wo, 0.0::DOUBLE AS wh, 0.0::DOUBLE AS wl FROM st
   UNION ALL
@@ -291,6 +291,8 @@ FROM daily GROUP BY sector""",
     "elastic_net_by_sector": f"WITH RECURSIVE {_DAILY}, {_elastic_net(100)} SELECT sector, n, {_trained(6)} FROM trained",
     # ten iterations of the trained models reach the converged ones to about 1e-5
     "elastic_net_fit": f"WITH RECURSIVE {_DAILY}, {_elastic_net(100)} SELECT sector, {_trained(3)} FROM trained",
+    "elastic_net_fit_one_step": f"""WITH RECURSIVE {_DAILY}, {_elastic_net(100, 0.8)}
+SELECT sector, {_trained(3)} FROM trained""",
     "saved_models": f"""WITH RECURSIVE {_DAILY}, {_elastic_net(100)}
 SELECT sector, tickerSymbol, timestamp, {_r(_DOT, 1)} AS prediction FROM daily JOIN trained USING (sector)""",
     "batch_forecast": f"""WITH RECURSIVE {_DAILY}, {_forecast(10, 10)}, {_elastic_net(100)}, {_HISTORY},

@@ -29,7 +29,14 @@ from marketflow.operators import ranking as R
 from marketflow.operators import records as J
 from marketflow.operators import series as S
 from marketflow.plans.batch import batch_series
-from marketflow.schema import BAR_SCHEMA, SECTORS, TICKER_SECTOR, small_frame, ticker_dimension
+from marketflow.schema import (
+    BAR_SCHEMA,
+    ONE_STEP_ELASTIC_NET,
+    SECTORS,
+    TICKER_SECTOR,
+    small_frame,
+    ticker_dimension,
+)
 from marketflow.session import new_path, settle, use_utc
 from marketflow.sinks import files as files_out
 from marketflow.sinks import results as store
@@ -88,6 +95,11 @@ def _model_bars(frame: DataFrame) -> DataFrame:
     return frame.select("sector", "tickerSymbol", "timestamp", "open", "high", "low", "close")
 
 
+def _settled_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily bars as a table, as the landing job leaves them, for what reads them more than once."""
+    return settle(_model_bars(_daily(spark, sf_dir)), "daily")
+
+
 # --- bars ------------------------------------------------------------------
 
 
@@ -206,7 +218,7 @@ def doc_ids(spark, sf_dir):
 @query
 def serving_overlay(spark, sf_dir):
     """History, forecast and live series as one table, with given models."""
-    daily = settle(_model_bars(_daily(spark, sf_dir)), "daily")
+    daily = _settled_daily(spark, sf_dir)
     intraday = S.with_sector(B.bars(event_ticks(spark, sf_dir), 15, "minute"), ticker_dimension(spark))
     return S.overlay(
         S.published_series(daily, "close", "historical"),
@@ -266,7 +278,7 @@ def ticker_last_n_means(spark, sf_dir):
 
 @query
 def ticker_last_7_means(spark, sf_dir):
-    means = O.ticker_means(_model_bars(_daily(spark, sf_dir)))
+    means = O.ticker_means(_settled_daily(spark, sf_dir))
     return _rounded(means, 6, "open", "high", "low", "mean_timestamp")
 
 
@@ -342,10 +354,17 @@ def elastic_net_fit(spark, sf_dir):
     return _rounded(M.coefficient_frame(spark, models), 3, "intercept", "coef_open", "coef_high", "coef_low")
 
 
+@query
+def elastic_net_fit_one_step(spark, sf_dir):
+    """The models of the one-step job, which weighs the absolute penalty more."""
+    models = M.fit_sector_models(_daily(spark, sf_dir), **ONE_STEP_ELASTIC_NET)
+    return _rounded(M.coefficient_frame(spark, models), 3, "intercept", "coef_open", "coef_high", "coef_low")
+
+
 @query
 def saved_models(spark, sf_dir):
     """Fit, save, load and score: the predicted close of every bar."""
-    daily = settle(_model_bars(_daily(spark, sf_dir)), "daily")
+    daily = _settled_daily(spark, sf_dir)
     root = new_path(spark, "models")
     M.save_models(M.fit_sector_models(daily), root)
     loaded = M.load_models(root, SECTORS)
@@ -362,7 +381,7 @@ def score_fixed_coeffs(spark, sf_dir):
 
 @query
 def standard_scale(spark, sf_dir):
-    daily = settle(_model_bars(_daily(spark, sf_dir)), "daily")
+    daily = _settled_daily(spark, sf_dir)
     scaled = M.standard_scale(daily, "close", name="scaled_close")
     return _rounded(scaled, 6, "scaled_close").select("sector", "tickerSymbol", "timestamp", "scaled_close")
 
@@ -384,26 +403,28 @@ def scaled_regression(spark, sf_dir):
 
 @query
 def forecast_features(spark, sf_dir):
-    frame = FC.forecast_features(_daily(spark, sf_dir))
+    frame = FC.forecast_features(_settled_daily(spark, sf_dir))
     return _rounded(frame, 6, "open", "high", "low")
 
 
 @query
 def forecast_close(spark, sf_dir):
-    frame = FC.forecast(_daily(spark, sf_dir), _fixed_coefficients(spark))
+    frame = FC.forecast(_settled_daily(spark, sf_dir), _fixed_coefficients(spark))
     return _rounded(frame, 6, "prediction").select("sector", "tickerSymbol", "timestamp", "prediction")
 
 
 @query
 def forecast_sector(spark, sf_dir):
-    frame = FC.forecast(_daily(spark, sf_dir), _fixed_coefficients(spark))
+    frame = FC.forecast(_settled_daily(spark, sf_dir), _fixed_coefficients(spark))
     return S.in_order(S.published_series(frame, "prediction", "prediction"))
 
 
 @query
 def forecast_line_items(spark, sf_dir):
     """Feature days of every supplier: window of 12 bars, five days ahead."""
-    frame = FC.forecast_features(_line_daily(spark, sf_dir), window_size=12, horizon=5)
+    frame = FC.forecast_features(
+        settle(_model_bars(_line_daily(spark, sf_dir)), "daily"), window_size=12, horizon=5
+    )
     return _rounded(frame, 4, "open", "high", "low")
 
 
@@ -417,7 +438,7 @@ def batch_forecast(spark, sf_dir):
 
 
 def _one_step(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    history = settle(_model_bars(_daily(spark, sf_dir)), "daily")
+    history = _settled_daily(spark, sf_dir)
     predicted = settle(O.predict_next(history, _fixed_coefficients(spark)), "predicted")
     return history, predicted
 
@@ -458,7 +479,7 @@ def forecast_one_step(spark, sf_dir):
 def union_distinct(spark, sf_dir):
     """Recent bars and the pending forecast day, without duplicates."""
     columns = ["tickerSymbol", "open", "high", "low", "timestamp", "close"]
-    daily = settle(_model_bars(_daily(spark, sf_dir)), "daily")
+    daily = _settled_daily(spark, sf_dir)
     pending = FC.forecast(daily, _fixed_coefficients(spark), horizon=1)
     recent = R.last_n_strict(daily, 10)
     merged = S.union_distinct(
@@ -546,7 +567,7 @@ def result_files(spark, sf_dir):
 def upserted_results(spark, sf_dir):
     """Two versions of the daily close: the later one holds only the last days."""
     path = new_path(spark, "store")
-    daily = settle(_model_bars(_daily(spark, sf_dir)), "daily")
+    daily = _settled_daily(spark, sf_dir)
     store.upsert(S.overlay(S.published_series(daily, "close", "historical")), path, 0)
     corrected = daily.filter(F.col("timestamp") >= EVENTS_END_MS).withColumn("close", F.col("close") + 1)
     store.upsert(S.overlay(S.published_series(corrected, "close", "historical")), path, 1)

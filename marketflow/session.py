@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# folders of local sessions that name none, by application
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def build_session(app_name: str = "marketflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every plan here relies on; `conf` wins."""
     settings = {
@@ -43,9 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="marketflow-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="marketflow-")
+    return _LOCAL_DIRS[application]
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -60,8 +60,6 @@ def test_land_batch_live(spark, deliveries, monkeypatch):
         monkeypatch, "live", "--files", at / "live", "--results", at / "results", "--store", at / "store",
         "--checkpoint", at / "checkpoint", "--every", "1 second", "--seconds", "25",
     )
-    for query in spark.streams.active:
-        query.stop()
     scopes = dict(rows(read_current(spark, str(at / "store")).groupBy("scope").count()))
     assert scopes == {"historical": 120, "prediction": 60, "streaming": 1}
 

@@ -17,6 +17,7 @@ from marketflow.operators.models import FEATURES, score
 from marketflow.operators.ranking import last_n_strict
 from marketflow.operators.series import sector_ends
 from marketflow.schema import WINDOW_SIZE
+from marketflow.session import settle
 
 
 def recent_windows(frame: DataFrame, window_size: int = WINDOW_SIZE) -> DataFrame:
@@ -87,12 +88,16 @@ def forecast_features(
     """Open, high and low of the next `horizon` business days for every ticker.
 
     Dates follow the newest bar of the whole sector, also for a ticker whose own
-    bars end earlier. The frame is read twice, once only for sector and time:
-    settle it first if it is not a table already.
+    bars end earlier. The bars are read once: the windows, one row per ticker,
+    are settled, and the newest bar of a sector is found among them.
     """
     horizon = window_size if horizon is None else horizon
-    windows = recent_windows(frame, window_size).withColumn("distinct_window", F.array_distinct("window"))
-    folded = windows.join(sector_ends(frame), "sector").select(
+    windows = settle(recent_windows(frame, window_size), "windows")
+    own_ends = windows.select("sector", F.element_at("window.timestamp", -1).alias("timestamp"))
+    dated = windows.withColumn("distinct_window", F.array_distinct("window")).join(
+        sector_ends(own_ends), "sector"
+    )
+    folded = dated.select(
         "sector",
         "tickerSymbol",
         business_days(F.col("max_timestamp"), horizon).alias("timestamp"),

@@ -9,6 +9,7 @@ from marketflow.operators.models import FEATURES, score
 from marketflow.operators.ranking import last_n
 from marketflow.operators.series import sector_ends
 from marketflow.schema import DAY_MS, ONE_STEP_ROWS
+from marketflow.session import settle
 
 JOIN_KEYS = ("sector", "tickerSymbol", *FEATURES)
 
@@ -16,7 +17,7 @@ JOIN_KEYS = ("sector", "tickerSymbol", *FEATURES)
 def ticker_means(frame: DataFrame, rows: int = ONE_STEP_ROWS) -> DataFrame:
     """Means of the newest `rows` bars of every ticker, and the sector's newest time.
 
-    The frame is read twice, once only for sector and time.
+    The bars are read once; the means, one row per ticker, are settled.
     """
     newest = last_n(
         frame.select("sector", "tickerSymbol", "timestamp", *FEATURES),
@@ -27,8 +28,10 @@ def ticker_means(frame: DataFrame, rows: int = ONE_STEP_ROWS) -> DataFrame:
     per_ticker = newest.groupBy("sector", "tickerSymbol").agg(
         *[F.avg(c).alias(c) for c in FEATURES],
         F.avg("timestamp").alias("mean_timestamp"),
+        F.max("timestamp").alias("timestamp"),
     )
-    return per_ticker.join(sector_ends(frame), "sector")
+    settled = settle(per_ticker, "means")
+    return settled.drop("timestamp").join(sector_ends(settled), "sector")
 
 
 def predict_next(frame: DataFrame, coefficients: DataFrame, rows: int = ONE_STEP_ROWS) -> DataFrame:

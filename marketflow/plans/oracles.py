@@ -192,9 +192,11 @@ trained AS (
 _TRAINED_COLUMNS = ("b0 AS intercept", "b_open AS coef_open", "b_high AS coef_high", "b_low AS coef_low")
 
 
-def _trained(digits: int) -> str:
+def _trained(digits: int, intercept_digits: int) -> str:
     named = [c.split(" AS ") for c in _TRAINED_COLUMNS]
-    return ", ".join(f"{_r(expression, digits)} AS {name}" for expression, name in named)
+    return ", ".join(
+        f"{_r(column, intercept_digits if name == 'intercept' else digits)} AS {name}" for column, name in named
+    )
 
 
 _STREAM_MEANS = f"""WITH {_TICKS}
@@ -288,11 +290,11 @@ SELECT sector, {_r('regr_slope(close, open)', 6)} AS slope, {_r('regr_intercept(
 FROM daily GROUP BY sector""",
     "ols_by_sector": f"WITH {_DAILY}, {_ols('daily', 6)}",
     "ols_by_region": f"WITH {_LINE_DAILY}, {_ols('daily', 4)}",
-    "elastic_net_by_sector": f"WITH RECURSIVE {_DAILY}, {_elastic_net(100)} SELECT sector, n, {_trained(6)} FROM trained",
+    "elastic_net_by_sector": f"WITH RECURSIVE {_DAILY}, {_elastic_net(100)} SELECT sector, n, {_trained(6, 6)} FROM trained",
     # ten iterations of the trained models reach the converged ones to about 1e-5
-    "elastic_net_fit": f"WITH RECURSIVE {_DAILY}, {_elastic_net(100)} SELECT sector, {_trained(3)} FROM trained",
+    "elastic_net_fit": f"WITH RECURSIVE {_DAILY}, {_elastic_net(100)} SELECT sector, {_trained(3, 2)} FROM trained",
     "elastic_net_fit_one_step": f"""WITH RECURSIVE {_DAILY}, {_elastic_net(100, 0.8)}
-SELECT sector, {_trained(3)} FROM trained""",
+SELECT sector, {_trained(3, 2)} FROM trained""",
     "saved_models": f"""WITH RECURSIVE {_DAILY}, {_elastic_net(100)}
 SELECT sector, tickerSymbol, timestamp, {_r(_DOT, 1)} AS prediction FROM daily JOIN trained USING (sector)""",
     "batch_forecast": f"""WITH RECURSIVE {_DAILY}, {_forecast(10, 10)}, {_elastic_net(100)}, {_HISTORY},

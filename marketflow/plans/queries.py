@@ -100,6 +100,11 @@ def _settled_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settle(_model_bars(_daily(spark, sf_dir)), "daily")
 
 
+def _rounded_models(frame: DataFrame) -> DataFrame:
+    """Ten iterations leave the fourth decimal of a coefficient open, the third of an intercept."""
+    return _rounded(_rounded(frame, 3, "coef_open", "coef_high", "coef_low"), 2, "intercept")
+
+
 # --- bars ------------------------------------------------------------------
 
 
@@ -278,7 +283,7 @@ def ticker_last_n_means(spark, sf_dir):
 
 @query
 def ticker_last_7_means(spark, sf_dir):
-    means = O.ticker_means(_settled_daily(spark, sf_dir))
+    means = O.ticker_means(_daily(spark, sf_dir))
     return _rounded(means, 6, "open", "high", "low", "mean_timestamp")
 
 
@@ -351,14 +356,14 @@ def elastic_net_by_sector(spark, sf_dir):
 def elastic_net_fit(spark, sf_dir):
     """The trained models of the daily job."""
     models = M.fit_sector_models(_daily(spark, sf_dir))
-    return _rounded(M.coefficient_frame(spark, models), 3, "intercept", "coef_open", "coef_high", "coef_low")
+    return _rounded_models(M.coefficient_frame(spark, models))
 
 
 @query
 def elastic_net_fit_one_step(spark, sf_dir):
     """The models of the one-step job, which weighs the absolute penalty more."""
     models = M.fit_sector_models(_daily(spark, sf_dir), **ONE_STEP_ELASTIC_NET)
-    return _rounded(M.coefficient_frame(spark, models), 3, "intercept", "coef_open", "coef_high", "coef_low")
+    return _rounded_models(M.coefficient_frame(spark, models))
 
 
 @query
@@ -403,28 +408,26 @@ def scaled_regression(spark, sf_dir):
 
 @query
 def forecast_features(spark, sf_dir):
-    frame = FC.forecast_features(_settled_daily(spark, sf_dir))
+    frame = FC.forecast_features(_daily(spark, sf_dir))
     return _rounded(frame, 6, "open", "high", "low")
 
 
 @query
 def forecast_close(spark, sf_dir):
-    frame = FC.forecast(_settled_daily(spark, sf_dir), _fixed_coefficients(spark))
+    frame = FC.forecast(_daily(spark, sf_dir), _fixed_coefficients(spark))
     return _rounded(frame, 6, "prediction").select("sector", "tickerSymbol", "timestamp", "prediction")
 
 
 @query
 def forecast_sector(spark, sf_dir):
-    frame = FC.forecast(_settled_daily(spark, sf_dir), _fixed_coefficients(spark))
+    frame = FC.forecast(_daily(spark, sf_dir), _fixed_coefficients(spark))
     return S.in_order(S.published_series(frame, "prediction", "prediction"))
 
 
 @query
 def forecast_line_items(spark, sf_dir):
     """Feature days of every supplier: window of 12 bars, five days ahead."""
-    frame = FC.forecast_features(
-        settle(_model_bars(_line_daily(spark, sf_dir)), "daily"), window_size=12, horizon=5
-    )
+    frame = FC.forecast_features(_line_daily(spark, sf_dir), window_size=12, horizon=5)
     return _rounded(frame, 4, "open", "high", "low")
 
 

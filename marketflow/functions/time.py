@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from marketflow.schema import DAY_MS
+from marketflow.schema import DATE_FORMAT, DAY_MS, INSTANT_FORMAT
 
 _FIXED_UNITS_MS = {
     "minute": 60_000,
@@ -26,13 +26,13 @@ def _epoch_day(ms: Column) -> Column:
 
 
 def format_date(ms: Column) -> Column:
-    """`yyyy-MM-dd` text."""
-    return F.date_from_unix_date(_epoch_day(ms)).cast("string")
+    """The day as text."""
+    return F.date_format(F.date_from_unix_date(_epoch_day(ms)), DATE_FORMAT)
 
 
 def format_instant(ms: Column) -> Column:
     """Text such as `2024-01-02T09:45:00.000+0000`."""
-    return F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd'T'HH:mm:ss.SSSZ")
+    return F.date_format(F.timestamp_millis(ms), INSTANT_FORMAT)
 
 
 def weekday(ms: Column) -> Column:

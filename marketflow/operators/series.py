@@ -11,7 +11,7 @@ from marketflow.session import settle
 
 
 def with_sector(frame: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Add `sector` by ticker.
+    """Add `sector` by ticker; a ticker outside the dimension belongs to none and is left out.
 
     No hint: Spark broadcasts the dimension while its known size is below
     `spark.sql.autoBroadcastJoinThreshold` and merges beyond it, with AQE

@@ -6,18 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from marketflow.operators.bars import dedup_bars, request_bars
-from marketflow.schema import ticker_dimension
+from marketflow.schema import DAILY_FEED, ticker_dimension
 from marketflow.sinks.files import land_bars
 from marketflow.streaming.live import broker_sink
 from marketflow.streaming.sources import follow_sector_tree
 
-# what the two feeds ask for: (multiplier, unit, look-back)
-DAILY = (1, "day", "5 YEARS")
-INTRADAY = (15, "minute", "2 DAYS")
-
-
 def land_request(
-    ticks: DataFrame, path: str, end_ms: int, feed: tuple[int, str, str] = DAILY
+    ticks: DataFrame, path: str, end_ms: int, feed: tuple[int, str, str] = DAILY_FEED
 ) -> None:
     """Answer one feed's request for every ticker at once and land the bars.
 

@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from marketflow.operators.records import parse_records, split_malformed
 from marketflow.operators.series import overlay
-from marketflow.sinks.results import upsert
+from marketflow.sinks.results import next_version, upsert
 from marketflow.sources.files import read_results
 from marketflow.streaming.live import (
     append_files,
@@ -20,8 +20,8 @@ from marketflow.streaming.live import (
 
 
 def seed(spark: SparkSession, result_path: str, store: str) -> None:
-    """Put history and forecast into the store, as its version 0."""
-    upsert(overlay(read_results(spark, result_path)), store, 0)
+    """Put history and forecast into the store; seeding again replaces them."""
+    upsert(overlay(read_results(spark, result_path)), store, next_version(spark, store))
 
 
 def run_live(

@@ -10,37 +10,29 @@ DAY_MS = 86_400_000
 
 # The wire format of a bar. Every measure appears under its short
 # key and, `vw` apart, again under a long name.
-BAR_SCHEMA = T.StructType(
-    [
-        T.StructField("v", T.LongType()),
-        T.StructField("vw", T.DoubleType()),
-        T.StructField("o", T.DoubleType()),
-        T.StructField("c", T.DoubleType()),
-        T.StructField("h", T.DoubleType()),
-        T.StructField("l", T.DoubleType()),
-        T.StructField("t", T.LongType()),
-        T.StructField("n", T.LongType()),
-        T.StructField("tickerSymbol", T.StringType()),
-        T.StructField("volume", T.LongType()),
-        T.StructField("open", T.DoubleType()),
-        T.StructField("close", T.DoubleType()),
-        T.StructField("high", T.DoubleType()),
-        T.StructField("low", T.DoubleType()),
-        T.StructField("timestamp", T.LongType()),
-        T.StructField("numberOfItems", T.LongType()),
-    ]
-)
+BAR_FIELDS = """
+    v long, vw double, o double, c double, h double, l double, t long, n long,
+    tickerSymbol string,
+    volume long, open double, close double, high double, low double, timestamp long, numberOfItems long
+"""
 
 # One row of the serving table: history, forecast and live series alike.
-RESULT_SCHEMA = T.StructType(
-    [
-        T.StructField("sector", T.StringType()),
-        T.StructField("scope", T.StringType()),
-        T.StructField("timestamp", T.StringType()),
-        T.StructField("avg_close", T.DoubleType()),
-        T.StructField("avg_prediction", T.DoubleType()),
-    ]
-)
+RESULT_FIELDS = "sector string, scope string, timestamp string, avg_close double, avg_prediction double"
+
+_TYPES = {"long": T.LongType(), "double": T.DoubleType(), "string": T.StringType()}
+
+
+def _struct(fields: str) -> T.StructType:
+    named = [field.split() for field in fields.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in named])
+
+
+BAR_SCHEMA = _struct(BAR_FIELDS)
+RESULT_SCHEMA = _struct(RESULT_FIELDS)
+
+# The texts of a day and of an instant.
+DATE_FORMAT = "yyyy-MM-dd"
+INSTANT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSZ"
 
 # The six sectors, also the topic and index names.
 SECTORS = ("cgoods", "financial", "energy", "health", "industrial", "tech")
@@ -79,13 +71,17 @@ TICKER_SECTOR = {
     "DOW": "industrial",
 }
 
-# The regression settings of the daily forecast and of the one-step forecast.
+# The regression and window settings of the daily and of the one-step forecast.
 ELASTIC_NET = {"maxIter": 10, "regParam": 0.3, "elasticNetParam": 0.7}
 ONE_STEP_ELASTIC_NET = {"maxIter": 10, "regParam": 0.3, "elasticNetParam": 0.8}
 
 WINDOW_SIZE = 10
 ONE_STEP_ROWS = 7
 
+# What the two feeds ask for, as (multiplier, unit, look-back).
+DAILY_FEED = (1, "day", "5 YEARS")
+INTRADAY_FEED = (15, "minute", "2 DAYS")
+
 
 def small_frame(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
     """A literal frame from a few values per column.

@@ -8,6 +8,7 @@ reads the path that it overwrites.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -19,6 +20,22 @@ KEY = ("sector", "scope", "timestamp")
 VALUES = ("avg_close", "avg_prediction")
 
 
+def next_version(spark: SparkSession, path: str) -> int:
+    """The version above all that the store holds; a store has one writer at a time."""
+    try:
+        newest = _stored(spark, path).agg(F.max("version")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        newest = None
+    return 0 if newest is None else newest + 1
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    schema = StructType([*RESULT_SCHEMA.fields, StructField("version", LongType())])
+    return spark.read.schema(schema).parquet(path)
+
+
 def upsert(series: DataFrame, path: str, version: int) -> None:
     """Write the rows of one version; `series` has the result schema."""
     series.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={version}")
@@ -26,9 +43,7 @@ def upsert(series: DataFrame, path: str, version: int) -> None:
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
     """The newest version of every key; a hash aggregation with map-side combine."""
-    stored = StructType([*RESULT_SCHEMA.fields, StructField("version", LongType())])
-    rows = spark.read.schema(stored).parquet(path)
-    newest = rows.groupBy(*KEY).agg(*[F.max_by(c, "version").alias(c) for c in VALUES])
+    newest = _stored(spark, path).groupBy(*KEY).agg(*[F.max_by(c, "version").alias(c) for c in VALUES])
     return newest.select(*RESULT_SCHEMA.fieldNames())
 
 

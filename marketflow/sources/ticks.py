@@ -45,11 +45,9 @@ def event_ticks(spark: SparkSession, sf_dir: str, look_back: LookBack | None = N
         F.col("value").alias("price"),
         F.get_json_object("props", "$.k").cast("long").alias("volume"),
         (
-            F.unix_micros(ts).cast("decimal(18,0)") * F.lit(Decimal(10**19))
+            F.unix_micros(ts).cast("decimal(17,0)") * F.lit(Decimal(10**19))
             + F.col("event_id").cast("decimal(19,0)")
-        )
-        .cast("decimal(38,0)")
-        .alias("seq"),
+        ).alias("seq"),
     )
 
 
@@ -60,21 +58,13 @@ def line_item_ticks(spark: SparkSession, sf_dir: str, look_back: LookBack | None
     the price, to a millionth, ends the order.
     """
     price = F.col("l_extendedprice") / F.col("l_quantity")
-    line = (
-        F.col("l_orderkey").cast("decimal(19,0)") * F.lit(Decimal(10))
-        + F.col("l_linenumber")
-    ).cast("decimal(21,0)")
+    line = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("decimal(19,0)")
     return _source(spark, sf_dir, "lineitem", "l_shipdate", look_back).select(
         F.col("l_suppkey").cast("string").alias("tickerSymbol"),
         epoch_ms(F.col("l_shipdate")).alias("timestamp"),
         price.alias("price"),
         F.col("l_quantity").cast("long").alias("volume"),
-        (
-            line * F.lit(Decimal(10**13))
-            + F.floor(price * 1_000_000).cast("decimal(13,0)")
-        )
-        .cast("decimal(38,0)")
-        .alias("seq"),
+        (line * F.lit(Decimal(10**13)) + F.floor(price * 1_000_000).cast("decimal(13,0)")).alias("seq"),
     )
 
 

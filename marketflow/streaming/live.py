@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from marketflow.functions import format_instant, mean_2dp
 from marketflow.operators.records import word_count
 from marketflow.operators.series import overlay
-from marketflow.sinks.results import upsert
+from marketflow.sinks.results import next_version, upsert
 
 BAR_MS = 15 * 60_000
 
@@ -74,11 +74,13 @@ def upsert_stream(
     """Upsert the live series into a result store, batch by batch.
 
     `every=None` handles what is there and ends; `every="15 minutes"` keeps going.
-    The batch id is the version, above those of the seed.
+    Versions count up from the newest of the store, so a batch that is repeated
+    after a restart, or a new checkpoint, puts its rows above the older ones.
     """
+    first = next_version(means.sparkSession, store)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(live_series(batch), store, batch_id + 1)
+        upsert(live_series(batch), store, first + batch_id)
 
     writer = means.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     return _triggered(writer, every).start()

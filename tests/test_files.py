@@ -79,6 +79,7 @@ def test_upsert_takes_the_newest_version_and_can_be_repeated(spark, tmp_path):
     for _ in range(2):
         store.upsert(series(spark, ("s", "x", "d2", 2.0), ("s", "x", "d3", 2.0)), path, 1)
     expected = [("d1", 1.0), ("d2", 2.0), ("d3", 2.0)]
+    assert store.next_version(spark, path) == 2 and store.next_version(spark, str(tmp_path / "none")) == 0
     assert rows(store.read_current(spark, path), "timestamp", "avg_close") == expected
     store.compact(spark, path, str(tmp_path / "compacted"))
     assert rows(store.read_current(spark, str(tmp_path / "compacted")), "timestamp", "avg_close") == expected

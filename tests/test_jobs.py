@@ -8,8 +8,8 @@ import pytest
 
 from marketflow import __main__ as cli
 from marketflow.operators.bars import bars
-from marketflow.plans.landing import DAILY, land_deliveries, land_request
-from marketflow.schema import DAY_MS, SECTORS, TICKER_SECTOR
+from marketflow.plans.landing import land_deliveries, land_request
+from marketflow.schema import DAY_MS, INTRADAY_FEED, SECTORS, TICKER_SECTOR
 from marketflow.sinks.results import read_current
 from marketflow.sources.files import read_bars, read_landed_bars, read_results
 from marketflow.sources.ticks import event_ticks
@@ -67,8 +67,8 @@ def test_land_batch_live(spark, deliveries, monkeypatch):
 def test_landing_a_request(spark, small, tmp_path):
     ticks = event_ticks(spark, small)
     end = 1_705_276_800_000
-    land_request(ticks, str(tmp_path), end, DAILY)
-    wanted = bars(ticks.filter(f"timestamp <= {end}"))
+    land_request(ticks, str(tmp_path), end, INTRADAY_FEED)
+    wanted = bars(ticks.filter(f"timestamp between {end - 2 * DAY_MS} and {end}"), 15, "minute")
     assert read_landed_bars(spark, str(tmp_path)).count() == wanted.count()
 
 

@@ -75,6 +75,16 @@ def test_restart_reads_only_new_files(spark, feed, tmp_path):
     assert run(spark, feed, tmp_path, delay=None) == changed
 
 
+def test_a_new_checkpoint_updates_the_same_store(spark, feed, tmp_path):
+    assert run(spark, feed, tmp_path, delay=None, max_files=1) == EXPECTED
+    feed.drop("energy", wire("XOM", START, 90.0))
+    records = src.follow_sector_tree(spark, str(feed.root))
+    for query in run_live(records, str(tmp_path / "store"), str(tmp_path / "other"), every=None, delay=None):
+        query.awaitTermination()
+    got = rows(read_current(spark, str(tmp_path / "store")), "sector", "timestamp", "avg_close")
+    assert got == [("energy", text(START), 80.0), *EXPECTED[1:]]
+
+
 def test_repeated_delivery_counts_without_dedup(spark, feed, tmp_path):
     feed.drop("tech", wire("IBM", START, 50.0), wire("IBM", START, 50.0))
     got = run(spark, feed, tmp_path, delay=None)

@@ -52,10 +52,8 @@ def full_join(history: DataFrame, predicted: DataFrame) -> DataFrame:
     matched = history.join(predicted.select(*keys, "prediction"), keys, "left")
     met = history.select(*keys).join(predicted.select(*keys), keys, "left_semi").distinct()
     unmatched = predicted.join(met, keys, "left_anti")
-    columns = [*keys, "close", "timestamp", "prediction"]
-    return (
-        matched.select(*columns, F.lit(None).cast("long").alias("max_timestamp"))
-        .unionByName(unmatched.select(*[c for c in columns if c not in ("close", "timestamp")], "max_timestamp"), allowMissingColumns=True)
+    return matched.select(*keys, "close", "timestamp", "prediction").unionByName(
+        unmatched.select(*keys, "prediction", "max_timestamp"), allowMissingColumns=True
     )
 
 

@@ -19,7 +19,9 @@ def last_n(
 
     Two exact rounds: the newest `n` of each salted part of a key, then the
     newest `n` of those. The filter sits right on the window, so Spark limits
-    each group before both shuffles, and no task sorts a whole hot key.
+    each group before both shuffles, and no task sorts a whole hot key. It does so
+    up to `spark.sql.optimizer.windowGroupLimitThreshold` rows; for a larger `n`
+    the salts alone spread a key, so give more of them.
     """
     columns = frame.columns
     salt = F.pmod(F.xxhash64(ts, *ties), F.lit(salts))

@@ -280,7 +280,7 @@ FROM ranked JOIN ends USING (sector) WHERE row_num <= 7 GROUP BY sector, tickerS
     "ts_format_date": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date_text FROM orders",
     "ts_format_iso": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g+0000') AS instant_text FROM events",
     "weekday_of": "SELECT o_orderkey, CAST(isodow(o_orderdate) - 1 AS INTEGER) AS weekday FROM orders",
-    "next_business_day_of": f"""SELECT event_id, (epoch_us(ts) // 1000) AS timestamp, {_next_day('(epoch_us(ts) // 1000)')} AS next_ms
+    "next_business_day": f"""SELECT event_id, (epoch_us(ts) // 1000) AS timestamp, {_next_day('(epoch_us(ts) // 1000)')} AS next_ms
 FROM events""",
     # models and forecast
     "assemble_features": f"""WITH {_DAILY}

@@ -17,10 +17,10 @@ from marketflow.functions import (
     epoch_ms,
     format_date,
     format_instant,
-    next_business_day,
     round_half_up,
     weekday,
 )
+from marketflow.functions import next_business_day as following_day
 from marketflow.operators import bars as B
 from marketflow.operators import forecast as FC
 from marketflow.operators import models as M
@@ -309,10 +309,10 @@ def weekday_of(spark, sf_dir):
 
 
 @query
-def next_business_day_of(spark, sf_dir):
+def next_business_day(spark, sf_dir):
     ms = epoch_ms(F.col("ts"))
     return table(spark, sf_dir, "events").select(
-        "event_id", ms.alias("timestamp"), next_business_day(ms).alias("next_ms")
+        "event_id", ms.alias("timestamp"), following_day(ms).alias("next_ms")
     )
 
 

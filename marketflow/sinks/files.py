@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marketflow.operators.bars import to_wire
 from marketflow.operators.records import pretty_json
 from marketflow.operators.series import with_sector
+from marketflow.schema import DAY_MS
 
 
 def land_bars(frame: DataFrame, dimension: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
@@ -17,7 +18,7 @@ def land_bars(frame: DataFrame, dimension: DataFrame, path: str, rows_per_file:
     spread over several files by day, and no file exceeds `rows_per_file`.
     """
     wire = to_wire(with_sector(frame, dimension), "sector")
-    spread = F.pmod(F.floor(F.col("timestamp") / 86_400_000), F.lit(8))
+    spread = F.pmod(F.floor(F.col("timestamp") / DAY_MS), F.lit(8))
     (
         wire.repartition("sector", "tickerSymbol", spread)
         .write.mode("overwrite")
@@ -43,19 +44,12 @@ def write_results(series: DataFrame, path: str) -> None:
     )
 
 
-def write_pretty_json(frame: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+def write_pretty_json(frame: DataFrame, path: str) -> None:
     """Write every row as one indented JSON document in a text file of its own.
 
     For side documents: few rows, one file each.
     """
-    columns = [c for c in frame.columns if c not in partition_by]
-    text = pretty_json(frame.select(*columns)) if not partition_by else frame.select(
-        F.to_json(F.struct(*columns), {"pretty": "true"}).alias("value"), *partition_by
-    )
-    writer = text.write.mode("errorifexists").option("maxRecordsPerFile", 1)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.text(path)
+    pretty_json(frame).write.mode("errorifexists").option("maxRecordsPerFile", 1).text(path)
 
 
 def show(frame: DataFrame, rows: int = 20) -> None:

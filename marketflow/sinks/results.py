@@ -37,8 +37,13 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert(series: DataFrame, path: str, version: int) -> None:
-    """Write the rows of one version; `series` has the result schema."""
-    series.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={version}")
+    """Write the rows of one version; `series` has the result schema.
+
+    The rows of a sector are put together first: a micro-batch has few rows in
+    many partitions, which would each leave a file.
+    """
+    gathered = series.repartition("sector", "scope")
+    gathered.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={version}")
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:

@@ -99,7 +99,9 @@ def console(frame: DataFrame, every: str | None = None, mode: str = "append") ->
     return _triggered(frame.writeStream.outputMode(mode).format("console"), every).start()
 
 
-def broker_sink(records: DataFrame, servers: str, checkpoint: str, every: str | None = "1 second") -> StreamingQuery:
+def broker_sink(
+    records: DataFrame, servers: str, checkpoint: str, every: str | None = "1 second"
+) -> StreamingQuery:
     """Send records to the topic each of them names."""
     writer = (
         records.writeStream.format("kafka")
@@ -109,7 +111,9 @@ def broker_sink(records: DataFrame, servers: str, checkpoint: str, every: str |
     return _triggered(writer, every).start()
 
 
-def append_files(frame: DataFrame, path: str, checkpoint: str, partition_by=(), every: str | None = None) -> StreamingQuery:
+def append_files(
+    frame: DataFrame, path: str, checkpoint: str, partition_by=(), every: str | None = None
+) -> StreamingQuery:
     """Append a stream to Parquet files, once per row."""
     writer = frame.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     if partition_by:

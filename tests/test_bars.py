@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,6 +49,25 @@ def test_rebucket_equals_direct_bars(spark, small):
     assert rows(wide, *columns) == rows(B.bars(source, 1, "day"), *columns)
 
 
+def test_against_brute_force_with_a_hot_ticker(spark):
+    draw = random.Random(4)
+    names = ["HOT", "HOT", "A", "B", "C", "D"]
+    data = [
+        (draw.choice(names), draw.randrange(5 * DAY_MS), draw.randint(100, 9999) / 100, draw.randint(0, 9), i)
+        for i in range(3000)
+    ]
+    expected = {}
+    for name, ms, price, volume, seq in sorted(data, key=lambda r: r[4]):
+        group = expected.setdefault((name, ms - ms % DAY_MS), [])
+        group.append((price, volume))
+    columns = ["tickerSymbol", "timestamp", "open", "high", "low", "close", "volume", "numberOfItems"]
+    got = rows(B.bars(spark.createDataFrame(data, TICK).repartition(8), 1, "day"), *columns)
+    assert got == [
+        (*key, ticks[0][0], max(ticks)[0], min(ticks)[0], ticks[-1][0], sum(v for _, v in ticks), len(ticks))
+        for key, ticks in sorted(expected.items())
+    ]
+
+
 def test_empty(spark, ticks):
     assert B.bars(ticks.limit(0)).collect() == []
 

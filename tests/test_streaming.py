@@ -5,9 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketflow.functions import format_instant
+from marketflow.operators.models import score
 from marketflow.operators.records import parse_records
 from marketflow.plans.live import run_live, seed
-from marketflow.schema import BAR_SCHEMA, DAY_MS, SECTORS
+from marketflow.schema import BAR_SCHEMA, DAY_MS, SECTORS, small_frame
 from marketflow.sinks.files import write_results
 from marketflow.sinks.results import read_current
 from marketflow.streaming import live
@@ -148,6 +149,17 @@ def test_words_are_counted_per_batch(spark, tmp_path):
     assert got in ([("x", 1), ("x", 2), ("y", 1)],)
 
 
+def test_a_stream_is_scored_with_given_models(spark, feed, tmp_path):
+    parsed = parse_records(src.follow_sector_tree(spark, str(feed.root)))
+    bars = parsed.select(F.col("topic").alias("sector"), "data.open", "data.high", "data.low")
+    models = {"sector": ["tech", "energy"], "intercept": [1.0, 0.0]}
+    models |= {f"coef_{c}": [1.0, 0.5] for c in ("open", "high", "low")}
+    scored = score(bars, small_frame(spark, models))
+    live.append_files(scored, str(tmp_path / "out"), str(tmp_path / "checkpoint")).awaitTermination()
+    got = rows(spark.read.parquet(str(tmp_path / "out")), "sector", "prediction")
+    assert got == [("energy", 105.0), ("tech", 151.0), ("tech", 301.0), ("tech", 331.0)]
+
+
 def test_console(spark, feed):
     live.console(src.follow_bars(spark, str(feed.root)).select("tickerSymbol")).awaitTermination()
 

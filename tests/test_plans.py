@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from marketflow.operators.forecast import recent_windows
 from marketflow.plans.queries import QUERIES
 
 
@@ -26,10 +27,23 @@ def test_bars_are_one_hash_aggregation_each(spark, small, name):
     assert text.count("Exchange hashpartitioning") == (2 if name == "bars_multi_day" else 1)
 
 
-@pytest.mark.parametrize("name", ["last_n_strict", "last_n_inclusive", "forecast_features"])
-def test_groups_are_limited_before_both_shuffles(spark, small, name):
-    text = plan(QUERIES[name](spark, small))
-    assert text.count("WindowGroupLimit") == 4 and text.count("row_number(), ") == 4
+def test_groups_are_limited_before_both_shuffles(spark, small):
+    daily = QUERIES["sector_lookup"](spark, small)
+    frames = [
+        QUERIES["last_n_strict"](spark, small),
+        QUERIES["last_n_inclusive"](spark, small),
+        recent_windows(daily),
+    ]
+    for frame in frames:
+        text = plan(frame)
+        assert text.count("WindowGroupLimit") == 4
+        assert text.count("Exchange hashpartitioning") <= 3
+
+
+def test_the_forecast_gathers_no_sector(spark, small):
+    text = plan(QUERIES["forecast_features"](spark, small))
+    assert "Window" not in text and "Exchange hashpartitioning" not in text
+    assert text.count("BroadcastHashJoin") == 1
 
 
 def test_lookup_and_scores_broadcast_the_small_side(spark, small):

@@ -240,7 +240,8 @@ FROM (SELECT CAST(l_orderkey AS VARCHAR) AS tickerSymbol, CAST(l_linenumber AS B
     "sector_completeness": f"""WITH {_INTRADAY},
 expected AS (SELECT sector, count(*) AS expected FROM dim GROUP BY sector),
 present AS (SELECT sector, timestamp, count(*) AS present FROM intraday GROUP BY sector, timestamp)
-SELECT sector, timestamp, present, expected, present >= expected AS complete FROM present JOIN expected USING (sector)""",
+SELECT sector, timestamp, present, expected, present >= expected AS complete
+FROM present JOIN expected USING (sector)""",
     "sector_max_ts": f"WITH {_LINE_DAILY} SELECT sector, max(timestamp) AS max_timestamp FROM daily GROUP BY sector",
     "sql_named_table": f"WITH {_DAILY} SELECT sector, tickerSymbol, timestamp, close, volume FROM daily",
     "doc_ids": f"""WITH {_DAILY}, {_HISTORY}
@@ -256,7 +257,9 @@ UNION ALL SELECT sector, scope, timestamp, NULL, avg_prediction FROM prediction
 UNION ALL SELECT sector, scope, timestamp, avg_close, NULL FROM live""",
     # ranks and windows
     "rank_newest": """SELECT user_id % 30 AS tickerSymbol, (epoch_us(ts) // 1000) AS timestamp, event_id,
-       row_number() OVER (PARTITION BY user_id % 30 ORDER BY (epoch_us(ts) // 1000) DESC, event_id DESC) AS row_num FROM events""",
+       row_number() OVER (
+         PARTITION BY user_id % 30 ORDER BY (epoch_us(ts) // 1000) DESC, event_id DESC) AS row_num
+FROM events""",
     "last_n_strict": f"""WITH {_TICKS}
 SELECT tickerSymbol, ms AS timestamp, price, volume
 FROM (SELECT *, row_number() OVER (PARTITION BY tickerSymbol ORDER BY ms DESC, seq DESC) AS row_num FROM ticks)
@@ -271,7 +274,8 @@ SELECT tickerSymbol, timestamp, close,
          AS moving_mean FROM bars""",
     "ticker_last_n_means": f"""WITH {_DAILY}, {_ranked('daily')}
 SELECT tickerSymbol, {_r('avg(open)', 6)} AS open, {_r('avg(high)', 6)} AS high, {_r('avg(low)', 6)} AS low,
-       {_r('avg(close)', 6)} AS close, max(timestamp) AS timestamp FROM ranked WHERE row_num < 10 GROUP BY tickerSymbol""",
+       {_r('avg(close)', 6)} AS close, max(timestamp) AS timestamp
+FROM ranked WHERE row_num < 10 GROUP BY tickerSymbol""",
     "ticker_last_7_means": f"""{_LAST_7}
 SELECT sector, tickerSymbol, {_r('avg(open)', 6)} AS open, {_r('avg(high)', 6)} AS high, {_r('avg(low)', 6)} AS low,
        {_r('avg(timestamp)', 6)} AS mean_timestamp, any_value(max_timestamp) AS max_timestamp
@@ -280,7 +284,8 @@ FROM ranked JOIN ends USING (sector) WHERE row_num <= 7 GROUP BY sector, tickerS
     "ts_format_date": "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date_text FROM orders",
     "ts_format_iso": "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g+0000') AS instant_text FROM events",
     "weekday_of": "SELECT o_orderkey, CAST(isodow(o_orderdate) - 1 AS INTEGER) AS weekday FROM orders",
-    "next_business_day": f"""SELECT event_id, (epoch_us(ts) // 1000) AS timestamp, {_next_day('(epoch_us(ts) // 1000)')} AS next_ms
+    "next_business_day": f"""SELECT event_id, (epoch_us(ts) // 1000) AS timestamp,
+       {_next_day('(epoch_us(ts) // 1000)')} AS next_ms
 FROM events""",
     # models and forecast
     "assemble_features": f"""WITH {_DAILY}
@@ -290,7 +295,8 @@ SELECT sector, {_r('regr_slope(close, open)', 6)} AS slope, {_r('regr_intercept(
 FROM daily GROUP BY sector""",
     "ols_by_sector": f"WITH {_DAILY}, {_ols('daily', 6)}",
     "ols_by_region": f"WITH {_LINE_DAILY}, {_ols('daily', 4)}",
-    "elastic_net_by_sector": f"WITH RECURSIVE {_DAILY}, {_elastic_net(100)} SELECT sector, n, {_trained(6, 6)} FROM trained",
+    "elastic_net_by_sector": f"""WITH RECURSIVE {_DAILY}, {_elastic_net(100)}
+SELECT sector, n, {_trained(6, 6)} FROM trained""",
     # ten iterations of the trained models reach the converged ones to about 1e-5
     "elastic_net_fit": f"WITH RECURSIVE {_DAILY}, {_elastic_net(100)} SELECT sector, {_trained(3, 2)} FROM trained",
     "elastic_net_fit_one_step": f"""WITH RECURSIVE {_DAILY}, {_elastic_net(100, 0.8)}
@@ -305,7 +311,8 @@ UNION ALL SELECT sector, scope, timestamp, NULL, avg_prediction FROM prediction"
 SELECT sector, tickerSymbol, timestamp, {_r(_DOT, 6)} AS prediction FROM daily JOIN coef USING (sector)""",
     "standard_scale": f"""WITH {_DAILY},
 fit AS (SELECT sector, avg(close) AS m, stddev_samp(close) AS s FROM daily GROUP BY sector)
-SELECT sector, tickerSymbol, timestamp, {_r('(close - m) / s', 6)} AS scaled_close FROM daily JOIN fit USING (sector)""",
+SELECT sector, tickerSymbol, timestamp, {_r('(close - m) / s', 6)} AS scaled_close
+FROM daily JOIN fit USING (sector)""",
     "scaled_regression": f"""WITH {_DAILY},
 fit AS (SELECT avg(close) AS m, stddev_samp(close) AS s, stddev_pop(close) / stddev_samp(close) AS sx,
                avg(high) AS my, stddev_pop(high) AS sy, corr(close, high) AS r FROM daily)
@@ -316,7 +323,8 @@ SELECT sector, tickerSymbol, step, timestamp, {_r('open', 6)} AS open, {_r('high
 FROM forecast""",
     "forecast_close": f"""WITH RECURSIVE {_FORECAST}
 SELECT sector, tickerSymbol, timestamp, {_r(_DOT, 6)} AS prediction FROM forecast JOIN coef USING (sector)""",
-    "forecast_sector": f"WITH RECURSIVE {_FORECAST}, {_FORECAST_SERIES} SELECT * FROM prediction ORDER BY sector, timestamp",
+    "forecast_sector": f"""WITH RECURSIVE {_FORECAST}, {_FORECAST_SERIES}
+SELECT * FROM prediction ORDER BY sector, timestamp""",
     "forecast_line_items": f"""WITH RECURSIVE {_LINE_DAILY}, {_forecast(12, 5)}
 SELECT sector, tickerSymbol, step, timestamp, {_r('open', 4)} AS open, {_r('high', 4)} AS high, {_r('low', 4)} AS low
 FROM forecast""",
@@ -372,10 +380,12 @@ FROM daily GROUP BY sector""",
     # streams
     "stream_sector_avg": _STREAM_MEANS,
     "stream_sector_avg_bounded": _STREAM_MEANS,
-    "stream_dedup": """SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS tickerSymbol, epoch_us(l_shipdate) // 1000 AS timestamp
+    "stream_dedup": """SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS tickerSymbol,
+       epoch_us(l_shipdate) // 1000 AS timestamp
 FROM lineitem""",
     "stream_word_count": _WORDS,
     "stream_to_topics": f"""WITH {_TICKS}
-SELECT sector AS topic, CAST(to_json({{'tickerSymbol': tickerSymbol, 'timestamp': ms - ms % 900000}}) AS VARCHAR) AS value
+SELECT sector AS topic,
+       CAST(to_json({{'tickerSymbol': tickerSymbol, 'timestamp': ms - ms % 900000}}) AS VARCHAR) AS value
 FROM ticks""",
 }

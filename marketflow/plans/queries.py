@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketflow.functions import (
+    bucket_start,
     epoch_ms,
     format_date,
     format_instant,
@@ -33,7 +34,6 @@ from marketflow.schema import (
     BAR_SCHEMA,
     ONE_STEP_ELASTIC_NET,
     SECTORS,
-    TICKER_SECTOR,
     small_frame,
     ticker_dimension,
 )
@@ -41,7 +41,13 @@ from marketflow.session import new_path, settle, use_utc
 from marketflow.sinks import files as files_out
 from marketflow.sinks import results as store
 from marketflow.sources import files as files_in
-from marketflow.sources.ticks import event_ticks, line_item_ticks, supplier_regions, table
+from marketflow.sources.ticks import (
+    event_ticks,
+    events_as_ticks,
+    line_item_ticks,
+    supplier_regions,
+    table,
+)
 from marketflow.streaming import live
 from marketflow.streaming.sources import follow_table
 
@@ -593,13 +599,11 @@ def json_documents(spark, sf_dir):
 
 def _stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream of 15-minute bars of one tick each."""
-    events = follow_table(spark, sf_dir, "events")
-    ms = epoch_ms(F.col("ts"))
-    symbols = F.array(*[F.lit(s) for s in TICKER_SECTOR])
-    bars = events.select(
-        F.element_at(symbols, (F.col("user_id") % 30 + 1).cast("int")).alias("tickerSymbol"),
-        (ms - F.pmod(ms, F.lit(live.BAR_MS))).alias("timestamp"),
-        F.col("value").alias("close"),
+    ticks = events_as_ticks(follow_table(spark, sf_dir, "events"))
+    bars = ticks.select(
+        "tickerSymbol",
+        bucket_start(F.col("timestamp"), 15, "minute").alias("timestamp"),
+        F.col("price").alias("close"),
     )
     return S.with_sector(bars, ticker_dimension(spark))
 

@@ -35,9 +35,14 @@ def _source(spark: SparkSession, sf_dir: str, name: str, ts: str, look_back: Loo
 
 def event_ticks(spark: SparkSession, sf_dir: str, look_back: LookBack | None = None) -> DataFrame:
     """`events` as ticks of the thirty tickers; `look_back` is (end in ms, interval)."""
+    return events_as_ticks(_source(spark, sf_dir, "events", "ts", look_back))
+
+
+def events_as_ticks(events: DataFrame) -> DataFrame:
+    """Rows of `events`, batch or stream, as ticks."""
     symbols = F.array(*[F.lit(symbol) for symbol in TICKER_SECTOR])
     ts = F.col("ts").cast("timestamp")
-    return _source(spark, sf_dir, "events", "ts", look_back).select(
+    return events.select(
         F.element_at(symbols, (F.col("user_id") % len(TICKER_SECTOR) + 1).cast("int")).alias(
             "tickerSymbol"
         ),

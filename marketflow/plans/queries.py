@@ -228,9 +228,13 @@ def doc_ids(spark, sf_dir):
 
 @query
 def serving_overlay(spark, sf_dir):
-    """History, forecast and live series as one table, with given models."""
-    daily = _settled_daily(spark, sf_dir)
-    intraday = S.with_sector(B.bars(event_ticks(spark, sf_dir), 15, "minute"), ticker_dimension(spark))
+    """History, forecast and live series as one table, with given models.
+
+    The ticks are read once: the daily bars come from the 15-minute ones.
+    """
+    narrow = S.with_sector(B.bars(event_ticks(spark, sf_dir), 15, "minute"), ticker_dimension(spark))
+    intraday = settle(narrow, "intraday")
+    daily = settle(_model_bars(B.rebucket(intraday, 1, "day", ("sector", "tickerSymbol"))), "daily")
     return S.overlay(
         S.published_series(daily, "close", "historical"),
         S.published_series(FC.forecast(daily, _fixed_coefficients(spark)), "prediction", "prediction"),

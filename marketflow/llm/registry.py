@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import splitters
+from marketflow.llm import spaced_seeds, splitters
 from marketflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +64,38 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
        NULL::INTEGER AS grown_shard
 FROM placed
 """
+
+
+@query
+def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every overlap of a document with a benchmark item."""
+    return spaced_seeds.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op9_spaced_seeds"] = r"""
+WITH doc_words AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda w: w <> '') AS ws FROM documents
+),
+item_words AS (
+  SELECT item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda w: w <> '') AS ws FROM benchmark
+),
+d AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS p FROM doc_words),
+i AS (
+  SELECT item_id, len(ws) AS l, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS q
+  FROM item_words WHERE len(ws) >= 5
+),
+same AS (
+  SELECT doc_id, item_id, l, n, p - q AS shift, list(q ORDER BY q) AS qs
+  FROM d JOIN i USING (w) GROUP BY ALL HAVING count(*) >= least(l, 11)
+),
+starts AS (SELECT *, unnest(range(greatest(0, -shift), least(l, n - shift) - 12)) AS s FROM same WHERE l >= 13),
+overlapping AS (
+  SELECT DISTINCT doc_id, item_id, l, shift, len(qs) AS matched FROM starts
+  WHERE len(list_filter(qs, lambda x: x BETWEEN s AND s + 12)) >= 11
+  UNION ALL
+  SELECT doc_id, item_id, l, shift, len(qs) FROM same WHERE l < 13 AND len(qs) = l
+)
+SELECT doc_id, item_id, max(matched)::INTEGER AS matched, first(l ORDER BY matched DESC, shift)::INTEGER AS item_tokens,
+       first(shift ORDER BY matched DESC, shift)::INTEGER AS at_token
+FROM overlapping GROUP BY doc_id, item_id
+"""

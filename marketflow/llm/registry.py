@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import spaced_seeds, splitters
+from marketflow.llm import spaced_seeds, splitters, warc
 from marketflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,12 @@ def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through monolithic archives, their normalised form, and back."""
+    return warc.archive_pages(table(spark, sf_dir, "pages"), least_bytes=0).drop("url", "payload")
+
+
 # the remainders of single bytes by which CRC-32 advances, and the CRC of a text's bytes
 CRC_STEPS = """
   SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
@@ -99,3 +105,24 @@ SELECT doc_id, item_id, max(matched)::INTEGER AS matched, first(l ORDER BY match
        first(shift ORDER BY matched DESC, shift)::INTEGER AS at_token
 FROM overlapping GROUP BY doc_id, item_id
 """
+
+# SHA-1 is in DuckDB; base 32 is taken from the digest's 160 bits, five at a time
+ORACLES["op8_warc_normaliser"] = """
+WITH hashed AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(encode(coalesce(html, ''))) AS hex FROM pages
+),
+bits AS (
+  SELECT *, list_aggregate(list_transform(string_split(hex, ''),
+              lambda h: lpad(bin(strpos('0123456789abcdef', h) - 1), 4, '0')), 'string_agg', '') AS b FROM hashed
+),
+coded AS (
+  SELECT page_id, payload, list_aggregate(list_transform(range(32),
+           lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             1 + list_sum(list_transform(range(5), lambda k: (substr(b, 5 * i + k + 1, 1)::INT) * (16 >> k)))::INT, 1)),
+           'string_agg', '') AS digest FROM bits
+)
+SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = max(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> max(page_id) OVER same THEN max(page_id) OVER same END AS refers_to
+FROM coded WINDOW same AS (PARTITION BY payload)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import spaced_seeds, splitters, warc
+from marketflow.llm import spaced_seeds, splitters, tensor_minhash, warc
 from marketflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,15 @@ def op8_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"), least_bytes=0).drop("url", "payload")
 
 
+@query
+def op10_tensor_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents on two-word shingles."""
+    classes, _ = tensor_minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=2)
+    # a class without any id has none to keep it by: its rows stay
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
+    return classes.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 # the remainders of single bytes by which CRC-32 advances, and the CRC of a text's bytes
 CRC_STEPS = """
   SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
@@ -126,3 +135,33 @@ SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, digest AS payloa
        CASE WHEN page_id <> max(page_id) OVER same THEN max(page_id) OVER same END AS refers_to
 FROM coded WINDOW same AS (PARTITION BY payload)
 """
+
+ORACLES["op10_tensor_minhash"] = r"""
+WITH RECURSIVE tokens AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+           ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM tokens
+),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+shingles AS (SELECT doc_id, unnest(s) AS x FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+  JOIN sizes p ON p.doc_id = a.doc_id JOIN sizes q ON q.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, p.n, q.n
+  HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+),
+reach AS (
+  SELECT doc_id, doc_id AS root FROM sizes
+  UNION
+  SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.doc_id
+)
+SELECT doc_id, n::BIGINT AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept
+FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id, n
+"""

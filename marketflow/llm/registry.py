@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import spaced_seeds, splitters, tensor_minhash, warc
+from marketflow.llm import maxscore, spaced_seeds, splitters, tensor_minhash, warc
 from marketflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,30 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors, by integer inner product, of every fiftieth vector."""
+    rows = table(spark, sf_dir, "embeddings").where(F.col("embedding").isNotNull())
+    component = lambda x: x.cast("double")
+    finite = F.forall(
+        "embedding",
+        lambda x: x.isNotNull() & ~F.isnan(component(x)) & (F.abs(component(x)) != F.lit(float("inf"))),
+    )
+    whole = F.transform("embedding", lambda x: F.floor(256 * component(x)))
+    vectors = rows.where(finite).select("vec_id", whole.alias("v"))
+    found = maxscore.top_k(
+        vectors.where(F.col("vec_id") % 50 == 0).select(
+            F.col("vec_id").alias("query_id"), maxscore.query_terms(F.col("v")).alias("terms")
+        ),
+        vectors.select(F.col("vec_id").alias("doc_id"), maxscore.signed_terms(F.col("v")).alias("terms")),
+        k=5,
+        skip_same_id=True,
+    )
+    return found.select(
+        "query_id", "rank", F.col("doc_id").alias("vec_id"), F.col("score").cast("long").alias("score")
+    )
+
+
 @query
 def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents over 16 shards of equal bytes."""
@@ -165,3 +189,17 @@ reach AS (
 SELECT doc_id, n::BIGINT AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept
 FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id, n
 """
+
+ORACLES["op1_maxscore"] = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+  FROM vectors q JOIN vectors d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id
+)
+SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 5
+"""

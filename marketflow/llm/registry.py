@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import maxscore, spaced_seeds, splitters, tensor_minhash, warc
-from marketflow.llm.common import table
+from marketflow.llm import deobfuscation, maxscore, spaced_seeds, splitters, tensor_minhash, warc
+from marketflow.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,6 +59,20 @@ def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document; labels of a third of the ids are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = deobfuscation.fit(docs, table(spark, sf_dir, "labels"), folds=3, held_out=1)
+    scored = deobfuscation.score(docs, model)
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id"), 3) == 1).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= deobfuscation.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op8_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages through monolithic archives, their normalised form, and back."""

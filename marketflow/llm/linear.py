@@ -39,3 +39,65 @@ def fit_logistic(
 
     x = _adam(gradient, np.zeros(size + 1), steps, 0.1)
     return x[:size], float(x[-1])
+
+
+def fit_softmax(
+    at: np.ndarray, columns: np.ndarray, values: np.ndarray, label: np.ndarray, classes: int, size: int, l2: float = 1e-5, steps: int = 200
+) -> np.ndarray:
+    """Weights (`size` + 1, `classes`) of a multinomial logistic regression; the last row holds the intercepts."""
+    rows, truth = len(label), np.eye(classes)[label]
+
+    def gradient(x):
+        x = x.reshape(size + 1, classes)
+        margin = np.stack([_dot(at, columns, values, x[:, k], rows) for k in range(classes)], 1) + x[-1]
+        error = softmax(margin) - truth
+        g = np.stack(
+            [np.bincount(columns, error[at, k] * values, minlength=size + 1) for k in range(classes)], 1
+        )
+        g[-1] = error.sum(0)
+        g /= rows
+        g[:size] += l2 * x[:size]
+        return g.ravel()
+
+    return _adam(gradient, np.zeros((size + 1) * classes), steps, 0.2).reshape(size + 1, classes)
+
+
+def softmax(margin: np.ndarray) -> np.ndarray:
+    powers = np.exp(margin - margin.max(1, keepdims=True))
+    return powers / powers.sum(1, keepdims=True)
+
+
+def fit_ordinal(
+    at: np.ndarray, columns: np.ndarray, values: np.ndarray, grade: np.ndarray, grades: int, size: int, l2: float = 1e-5, steps: int = 200
+) -> tuple[np.ndarray, np.ndarray]:
+    """Shared weights and ordered thresholds of P(grade > k) = sigmoid(weights . x - threshold k).
+
+    The thresholds are a first one plus positive steps (as exponents), so their order
+    can't break while they are fitted by the likelihood of the observed grades.
+    """
+    rows, low = len(grade), np.finfo(float).tiny
+
+    def unpack(x):
+        steps_up = np.exp(np.clip(x[size + 1 :], -20, 20))
+        return x[:size], x[size] + np.concatenate([[0.0], np.cumsum(steps_up)]), steps_up
+
+    def gradient(x):
+        weights, cuts, steps_up = unpack(x)
+        above = sigmoid(_dot(at, columns, values, weights, rows)[:, None] - cuts)
+        tails = np.concatenate([np.ones((rows, 1)), above, np.zeros((rows, 1))], 1)
+        slopes = tails * (1 - tails)
+        r = np.arange(rows)
+        p = np.maximum(tails[r, grade] - tails[r, grade + 1], low)
+        down = -(slopes[r, grade] - slopes[r, grade + 1]) / p
+        by_cut = np.zeros(grades + 1)
+        np.add.at(by_cut, grade, slopes[r, grade] / p)
+        np.add.at(by_cut, grade + 1, -slopes[r, grade + 1] / p)
+        by_cut = by_cut[1:grades]
+        g = np.zeros_like(x)
+        g[:size] = np.bincount(columns, down[at] * values, minlength=size) / rows + l2 * weights
+        g[size] = by_cut.sum() / rows
+        g[size + 1 :] = steps_up * np.cumsum(by_cut[::-1])[::-1][1:] / rows
+        return g
+
+    weights, cuts, _ = unpack(_adam(gradient, np.zeros(size + grades - 1), steps, 0.2))
+    return weights, cuts

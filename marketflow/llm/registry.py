@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import deobfuscation, maxscore, spaced_seeds, splitters, tensor_minhash, warc
+from marketflow.llm import deobfuscation, maxscore, ordinal, spaced_seeds, splitters, tensor_minhash, warc
 from marketflow.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,21 @@ def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probabilities of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rated = labels.where("quality is not null").select("doc_id", ordinal.grades_of_labels().alias("label"))
+    model = ordinal.fit(docs, rated, grades=3)
+    return ordinal.grade(docs, model).select(
+        "doc_id",
+        "expected_grade",
+        F.get("tails", F.lit(0)).alias("p_at_least_1"),
+        F.get("tails", F.lit(1)).alias("p_at_least_2"),
+        "kept",
+    )
+
+
 @query
 def op5_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document; labels of a third of the ids are held out."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import deobfuscation, maxscore, ordinal, spaced_seeds, splitters, tensor_minhash, warc
+from marketflow.llm import deobfuscation, maxscore, mixing, ordinal, spaced_seeds, splitters, tensor_minhash, warc
 from marketflow.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,20 @@ def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: target shares of tokens: prose, toxic, poor
+MIX_TARGETS = [0.93, 0.01, 0.06]
+
+
+@query
+def op3_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Domain memberships of every document and the rate that mixes all to the targets."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labelled = table(spark, sf_dir, "labels").select("doc_id", mixing.domain_of_labels().alias("label"))
+    rated, _ = mixing.rates(docs, labelled, MIX_TARGETS)
+    named = [F.col(f"p{d}").alias(f"p_{name}") for d, name in enumerate(mixing.DOMAINS)]
+    return rated.select("doc_id", "tokens", *named, "rate", "copies")
+
+
 @query
 def op4_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and tail probabilities of every document."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import deobfuscation, maxscore, mixing, ordinal, spaced_seeds, splitters, tensor_minhash, warc
+from marketflow.llm import deobfuscation, hidden_markov, maxscore, mixing, ordinal, spaced_seeds, splitters, tensor_minhash, warc
 from marketflow.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,12 @@ def op5_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probabilities of every document; a fifth of the ids is held out."""
+    return hidden_markov.score(table(spark, sf_dir, "documents").select("doc_id", "text"), folds=5, held_out=1)
+
+
 @query
 def op8_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages through monolithic archives, their normalised form, and back."""

@@ -23,7 +23,7 @@ from marketflow.session import settle
 #: with 14 sub-keys of 3 minhashes a pair of similarity 0.8 shares no key with probability below 1e-4
 WIDTH, DEPTH = 14, 3
 #: rounds of pivots before what is left of a key's members is compared pair by pair
-PIVOT_ROUNDS = 6
+PIVOT_ROUNDS = 3
 BROADCAST_ROWS = 2_000_000
 #: words whose hashes a worker keeps
 CACHED_WORDS = 300_000
@@ -145,9 +145,8 @@ def _verified(pairs: DataFrame, numbered: DataFrame, signed: DataFrame, size: in
         pairs.join(counts.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a")), "a")
         .join(counts.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b")), "b")
         .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-        .distinct()
     )
-    bounded = settle(bounded, "pairs")
+    bounded = settle(bounded, "bounded")
     nodes = bounded.select(F.col("a").alias("row")).union(bounded.select(F.col("b").alias("row"))).distinct()
     nodes = settle(nodes, "nodes")
     sets = settle(_sets(numbered.join(broadcast_if_small(nodes, BROADCAST_ROWS), "row", "left_semi"), size), "sets")
@@ -167,50 +166,69 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
+def _central_first(members: DataFrame) -> DataFrame:
+    """`members` (key, node) with `order`: smaller for a node that meets more others over all its keys.
+
+    A text that many near copies were made from is closer to each of them than they are
+    to each other, so it meets the most members and comes first.
+    """
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
+    order = members.join(sizes, "key").groupBy("node").agg((-F.sum("size")).alias("order"))
+    return members.join(order, "node").select("key", "node", "order")
+
+
 def linked_nodes(signed: DataFrame, numbered: DataFrame, size: int, percent: int, width: int) -> DataFrame | None:
     """(`node`, `label`) of all nodes with a link; None if there are no links.
 
     In rounds, one member of each table key (the pivot) is compared with the key's other
     members; then components are formed. A member is done once it was a pivot, and a
     key once its other members are all in one component, since links inside a component
-    change nothing. Each pivot is taken outside the key's largest component. So a key
-    with m near copies of one text costs about m comparisons, not m squared, and no pair
-    of different components that shares a key stays untested: what is open after
-    `PIVOT_ROUNDS` rounds is compared pair by pair between components.
+    change nothing. The first pivot is the most central member, later ones the most
+    central outside the key's largest component. So a key with m near copies of one
+    text costs about m comparisons, not m squared, and no pair of different components
+    that shares a key stays untested: what is open after `PIVOT_ROUNDS` rounds is
+    compared pair by pair between components.
     """
-    members = settle(_table_keys(signed, width), "members")
-    links, labels = None, None
+    members = settle(_central_first(settle(_table_keys(signed, width), "keys")), "members")
+    links, labels, tested = None, None, None
     for turn in range(PIVOT_ROUNDS + 1):
         open_members = _labelled(members, labels)
-        classes = open_members.groupBy("key", "label").agg(F.count("*").alias("n"), F.min("node").alias("least"))
-        # the largest class by size, then by smallest label; the pivot is the least node outside it
+        classes = open_members.groupBy("key", "label").agg(
+            F.count("*").alias("n"), F.min(F.struct("order", "node")).alias("first")
+        )
         classes = settle(classes, "classes")
+        # the largest class by size, then by smallest label
         keys = classes.groupBy("key").agg(
-            F.max(F.struct("n", (-F.col("label")).alias("order"))).alias("top"), F.count("*").alias("classes")
+            F.max(F.struct("n", (-F.col("label")).alias("least"))).alias("top"), F.count("*").alias("classes")
         ).where("classes > 1")
-        outside = classes.join(keys, "key").where(F.col("label") != -F.col("top.order"))
+        eligible = classes.join(keys, "key")
+        if turn:
+            eligible = eligible.where(F.col("label") != -F.col("top.least"))
         pivots = settle(
-            outside.groupBy("key")
-            .agg(F.min(F.struct("least", "label")).alias("p"))
-            .select("key", F.col("p.least").alias("pivot"), F.col("p.label").alias("pivot_label")),
+            eligible.groupBy("key")
+            .agg(F.min(F.struct("first", "label")).alias("p"))
+            .select("key", F.col("p.first.node").alias("pivot"), F.col("p.label").alias("pivot_label")),
             "pivots",
         )
         if not pivots.limit(1).count():
             break
         open_members = settle(open_members.join(pivots, "key"), "open")
         if turn < PIVOT_ROUNDS:
-            tested = open_members.where("label <> pivot_label").select(
+            pairs = open_members.where("label <> pivot_label").select(
                 F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
             )
         else:
             one, other = open_members.select("key", "node", "label"), open_members.select(
                 "key", F.col("node").alias("other"), F.col("label").alias("other_label")
             )
-            tested = one.join(other, "key").where("node < other and label <> other_label").select(
+            pairs = one.join(other, "key").where("node < other and label <> other_label").select(
                 F.col("node").alias("a"), F.col("other").alias("b")
             )
-        found = _verified(tested.distinct(), numbered, signed, size, percent)
-        members = open_members.where("node <> pivot").select("key", "node")
+        pairs = pairs.distinct()
+        pairs = settle(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = pairs if tested is None else tested.union(pairs)
+        found = _verified(pairs, numbered, signed, size, percent)
+        members = open_members.where("node <> pivot").select("key", "node", "order")
         if found.limit(1).count():
             links = found if links is None else links.union(found)
             labels = components(links)

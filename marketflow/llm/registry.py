@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import deobfuscation, hidden_markov, maxscore, mixing, ordinal, spaced_seeds, splitters, tensor_minhash, warc
+from marketflow.llm import deobfuscation, hidden_markov, lyndon_suffixes, maxscore, mixing, ordinal, spaced_seeds, splitters, tensor_minhash, warc
 from marketflow.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,19 @@ def op5_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_lyndon_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 200 bytes that occur more than once."""
+    left = lyndon_suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op7_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probabilities of every document; a fifth of the ids is held out."""

@@ -15,9 +15,11 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketflow.llm.common import WORD, fold
 from marketflow.llm.linear import fit_logistic, sigmoid
@@ -292,12 +294,12 @@ def score(docs: DataFrame, model: ToxicityModel, restored: bool = False) -> Data
     Whole texts are scored; a null or empty text gets the score of a text without any
     known feature. All columns of `docs` stay; `toxicity` and `restored` are reserved.
     """
-    fields = [f for f in docs.schema.fields if f.name not in ("toxicity", "restored")]
-    docs = docs.select(*[f.name for f in fields])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", toxicity double"
-    schema += ", restored string" if restored else ""
+    docs = docs.drop("toxicity", "restored")
+    schema = T.StructType([*docs.schema.fields, T.StructField("toxicity", T.DoubleType())])
+    if restored:
+        schema = schema.add("restored", T.StringType())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(CharacterModel(model.characters))
         weights = model.weights
 
@@ -307,11 +309,12 @@ def score(docs: DataFrame, model: ToxicityModel, restored: bool = False) -> Data
 
         for batch in batches:
             scores, texts = [], []
-            for text in batch["text"]:
+            for text in batch.column("text").to_pylist():
                 words = restorer.words(text)
                 found = {f for word in set(words) for f in known(word)}
                 scores.append(float(sigmoid(model.intercept + sum(weights[f] for f in sorted(found)))))
                 texts.append(" ".join(words) if restored else "")
-            yield batch.assign(toxicity=scores, **({"restored": texts} if restored else {}))
+            batch = batch.append_column("toxicity", pa.array(scores, pa.float64()))
+            yield batch.append_column("restored", pa.array(texts, pa.string())) if restored else batch
 
-    return docs.mapInPandas(run, schema)
+    return docs.mapInArrow(run, schema)

@@ -14,43 +14,67 @@ SHARD_DOCS, QUERY_BLOCK = 8192, 4096
 HIT_SCHEMA = "query_id long, doc_id long, score double"
 
 
-def signed_terms(vector: Column) -> Column:
-    """A dense document vector as terms: dimension i is term 2 i if positive, 2 i + 1 if negative."""
-    terms = F.transform(
-        vector,
-        lambda x, i: F.struct(
-            F.when(x >= 0, 2 * i).otherwise(2 * i + 1).cast("int").alias("term"), x.cast("double").alias("weight")
-        ),
-    )
-    return F.filter(terms, lambda t: t["weight"] != 0)
+def signed_terms(vector: Column) -> list[Column]:
+    """A dense document vector as `terms` and `weights`: dimension i is term 2 i if positive, 2 i + 1 if negative."""
+    return [
+        F.transform(vector, lambda x, i: F.when(x >= 0, 2 * i).otherwise(2 * i + 1).cast("int")).alias("terms"),
+        F.transform(vector, lambda x: x.cast("double")).alias("weights"),
+    ]
 
 
-def query_terms(vector: Column) -> Column:
-    """A dense query vector as terms: both of each dimension, so that one of them bounds at 0."""
-    both = F.transform(
-        vector,
-        lambda x, i: F.array(
-            F.struct((2 * i).cast("int").alias("term"), x.cast("double").alias("weight")),
-            F.struct((2 * i + 1).cast("int").alias("term"), x.cast("double").alias("weight")),
-        ),
-    )
-    return F.filter(F.flatten(both), lambda t: t["weight"] != 0)
+def query_terms(vector: Column) -> list[Column]:
+    """A dense query vector as `terms` and `weights`: both terms of each dimension, so that one of them bounds at 0."""
+    return [
+        F.flatten(F.transform(vector, lambda x, i: F.array((2 * i).cast("int"), (2 * i + 1).cast("int")))).alias("terms"),
+        F.flatten(F.transform(vector, lambda x: F.array(x.cast("double"), x.cast("double")))).alias("weights"),
+    ]
 
 
 class Shard:
-    """Postings of some documents by term, with the largest and smallest weight of each term."""
+    """Postings of some documents by term, with the largest and smallest weight of each term.
+
+    The postings of a term that a good part of the documents holds are laid out as a
+    column of a matrix, so that several such terms are traversed as one product.
+    """
+
+    DENSE = 1 / 8
 
     def __init__(self, ids: np.ndarray, docs: np.ndarray, terms: np.ndarray, weights: np.ndarray):
-        """`docs` holds positions in `ids`, which must be sorted."""
+        """`docs` holds positions in `ids`, which must be sorted; a weight of 0 is no posting."""
         self.ids = ids
+        docs, terms, weights = docs[weights != 0], terms[weights != 0], weights[weights != 0]
         order = np.lexsort((docs, terms))
         docs, terms, weights = docs[order], terms[order], weights[order]
-        self.known, starts = np.unique(terms, return_index=True)
+        known, starts = np.unique(terms, return_index=True)
         ends = np.append(starts[1:], len(terms))
-        self.postings = {
-            int(t): (docs[a:b], weights[a:b], weights[a:b].max(initial=0.0), weights[a:b].min(initial=0.0))
-            for t, a, b in zip(self.known, starts, ends)
-        }
+        self.postings, self.column, columns = {}, {}, []
+        for t, a, b in zip(known.tolist(), starts, ends):
+            self.postings[t] = (docs[a:b], weights[a:b], weights[a:b].max(initial=0.0), weights[a:b].min(initial=0.0))
+            if b - a >= self.DENSE * len(ids):
+                self.column[t] = len(columns)
+                column = np.zeros(len(ids))
+                column[docs[a:b]] = weights[a:b]
+                columns.append(column)
+        self.matrix = np.array(columns).reshape(len(columns), len(ids))
+
+    def _add(self, scores: np.ndarray, touched: np.ndarray, lists: list) -> None:
+        """Traverse whole postings."""
+        dense = [(self.column[x[4]], x[3]) for x in lists if x[4] in self.column]
+        if dense:
+            scores += np.array([w for _, w in dense]) @ self.matrix[[c for c, _ in dense]]
+            touched[:] = True
+        for _, docs, values, weight, term in lists:
+            if term not in self.column:
+                scores[docs] += weight * values
+                touched[docs] = True
+
+    def _probe(self, some: np.ndarray, entry: tuple) -> np.ndarray:
+        """What a term adds to some documents (sorted positions)."""
+        _, docs, values, weight, term = entry
+        if term in self.column:
+            return weight * self.matrix[self.column[term], some]
+        at = np.minimum(np.searchsorted(docs, some), len(docs) - 1)
+        return np.where(docs[at] == some, weight * values[at], 0.0)
 
     def top(self, query: list[tuple[int, float]], k: int, own: int | None) -> tuple[np.ndarray, np.ndarray]:
         """The k best documents other than `own`: (positions, scores), ties to smaller ids.
@@ -66,7 +90,7 @@ class Shard:
         for term, weight in query:
             if term in self.postings:
                 docs, values, most, least = self.postings[term]
-                lists.append((max(weight * most, weight * least, 0.0), docs, values, weight))
+                lists.append((max(weight * most, weight * least, 0.0), docs, values, weight, term))
         lists.sort(key=lambda x: x[0])
         bounds = np.cumsum([0.0] + [x[0] for x in lists])
         alive = np.ones(len(self.ids), bool)
@@ -77,17 +101,11 @@ class Shard:
         cut = int(np.searchsorted(bounds[1:], threshold, side="left")) if threshold > 0 else 0
         scores = np.zeros(len(self.ids))
         touched = np.zeros(len(self.ids), bool) if threshold > 0 else np.ones(len(self.ids), bool)
-        for bound, docs, values, weight in reversed(lists[cut:]):
-            scores[docs] += weight * values
-            touched[docs] = True
+        self._add(scores, touched, lists[cut:])
         rest = np.flatnonzero(touched & alive)
         for i in range(cut - 1, -1, -1):
             rest = rest[scores[rest] + bounds[i + 1] >= threshold]
-            _, docs, values, weight = lists[i]
-            at = np.searchsorted(docs, rest)
-            at[at == len(docs)] = 0
-            here = docs[at] == rest
-            scores[rest[here]] += weight * values[at[here]]
+            scores[rest] += self._probe(rest, lists[i])
         if len(rest) > k:
             least = np.partition(scores[rest], len(rest) - k)[len(rest) - k]
             rest = rest[scores[rest] >= least]
@@ -98,18 +116,15 @@ class Shard:
         """A first threshold: the k-th best full score among documents high in the best list; -inf if fewer."""
         if not lists:
             return -np.inf
-        _, docs, values, weight = lists[-1]
+        _, docs, values, weight, _ = lists[-1]
         docs, values = docs[alive[docs]], values[alive[docs]]
         if len(docs) < k:
             return -np.inf
         take = min(len(docs), 8 * k)
         some = np.sort(docs[np.argpartition(-weight * values, take - 1)[:take]])
         scores = np.zeros(take)
-        for _, docs, values, weight in lists:
-            at = np.searchsorted(docs, some)
-            at[at == len(docs)] = 0
-            here = docs[at] == some
-            scores[here] += weight * values[at[here]]
+        for entry in lists:
+            scores += self._probe(some, entry)
         return float(np.partition(scores, take - k)[take - k])
 
 
@@ -117,16 +132,16 @@ def _flat(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     """(ids, positions, terms, weights) of rows of term arrays, in the order of ids."""
     frame = frame.sort_values("id", kind="stable")
     counts = [len(t) for t in frame["terms"]]
-    terms = np.array([t["term"] for row in frame["terms"] for t in row], np.int64)
-    weights = np.array([t["weight"] for row in frame["terms"] for t in row], np.float64)
+    terms = np.concatenate([np.empty(0, np.int64), *frame["terms"]]).astype(np.int64)
+    weights = np.concatenate([np.empty(0), *frame["weights"]]).astype(float)
     return frame["id"].to_numpy(), np.repeat(np.arange(len(frame)), counts), terms, weights
 
 
 def top_k(queries: DataFrame, docs: DataFrame, k: int, skip_same_id: bool = False) -> DataFrame:
     """The k documents of largest inner product for each query: query_id, rank, doc_id, score.
 
-    `queries` (query_id, terms) and `docs` (doc_id, terms): terms are arrays of
-    struct<term int, weight double>, each term once. All documents count, those that
+    `queries` (query_id, terms, weights) and `docs` (doc_id, terms, weights): arrays of
+    ints and of doubles, side by side, each term once in a row. All documents count, those that
     share no term with a query at score 0; with fewer than k documents all are returned.
     Ties go to the smaller doc_id. Repeated doc_ids are results of their own, and a
     repeated query_id is answered once (by its smallest terms). Rows with null ids or null terms take no part.
@@ -136,23 +151,23 @@ def top_k(queries: DataFrame, docs: DataFrame, k: int, skip_same_id: bool = Fals
     task: both sides of a group are bounded. Scores are sums of doubles, exact for
     integer weights below 2**53; the shards' k best are merged by rank.
     """
-    docs = docs.select(F.col("doc_id").alias("id"), "terms").where("id is not null and terms is not null")
-    queries = queries.select(F.col("query_id").alias("id"), "terms").where("id is not null and terms is not null")
-    queries = queries.groupBy("id").agg(F.min("terms").alias("terms"))
+    whole = "id is not null and terms is not null and weights is not null"
+    docs = docs.select(F.col("doc_id").alias("id"), "terms", "weights").where(whole)
+    queries = queries.select(F.col("query_id").alias("id"), "terms", "weights").where(whole)
+    queries = queries.groupBy("id").agg(F.min(F.struct("terms", "weights")).alias("q")).select("id", "q.*")
     docs, queries = settle(docs, "docs"), settle(queries, "queries")
     shards, blocks = max(1, -(-docs.count() // SHARD_DOCS)), max(1, -(-queries.count() // QUERY_BLOCK))
-    deal = lambda n: F.pmod(F.xxhash64("id", "terms"), F.lit(n)).cast("int")
+    deal = lambda n: F.pmod(F.xxhash64("id", "weights"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = queries.select("id", "terms", deal(blocks).alias("block")).select("*", every(shards).alias("shard"))
-    right = docs.select("id", "terms", deal(shards).alias("shard")).select("*", every(blocks).alias("block"))
+    left = queries.select("id", "terms", "weights", deal(blocks).alias("block")).select("*", every(shards).alias("shard"))
+    right = docs.select("id", "terms", "weights", deal(shards).alias("shard")).select("*", every(blocks).alias("block"))
 
     def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if asked.empty or held.empty:
             return pd.DataFrame({"query_id": [], "doc_id": [], "score": []})
         shard, found = Shard(*_flat(held)), []
-        for own, terms in zip(asked["id"], asked["terms"]):
-            terms = [(int(t["term"]), float(t["weight"])) for t in terms]
-            best, scores = shard.top(terms, k, int(own) if skip_same_id else None)
+        for own, terms, weights in zip(asked["id"], asked["terms"], asked["weights"]):
+            best, scores = shard.top(list(zip(terms.tolist(), weights.tolist())), k, int(own) if skip_same_id else None)
             found.append(pd.DataFrame({"query_id": own, "doc_id": shard.ids[best], "score": scores}))
         return pd.concat(found)
 

@@ -33,9 +33,9 @@ def op1_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = rows.where(finite).select("vec_id", whole.alias("v"))
     found = maxscore.top_k(
         vectors.where(F.col("vec_id") % 50 == 0).select(
-            F.col("vec_id").alias("query_id"), maxscore.query_terms(F.col("v")).alias("terms")
+            F.col("vec_id").alias("query_id"), *maxscore.query_terms(F.col("v"))
         ),
-        vectors.select(F.col("vec_id").alias("doc_id"), maxscore.signed_terms(F.col("v")).alias("terms")),
+        vectors.select(F.col("vec_id").alias("doc_id"), *maxscore.signed_terms(F.col("v"))),
         k=5,
         skip_same_id=True,
     )

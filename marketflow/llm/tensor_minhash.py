@@ -25,6 +25,8 @@ WIDTH, DEPTH = 14, 3
 #: rounds of pivots before what is left of a key's members is compared pair by pair
 PIVOT_ROUNDS = 3
 BROADCAST_ROWS = 2_000_000
+#: shingles (8 bytes each) of sets that may be broadcast; larger ones are joined by a shuffle
+BROADCAST_SHINGLES = 3_000_000
 #: words whose hashes a worker keeps
 CACHED_WORDS = 300_000
 SEED = 11
@@ -150,6 +152,8 @@ def _verified(pairs: DataFrame, numbered: DataFrame, signed: DataFrame, size: in
     nodes = bounded.select(F.col("a").alias("row")).union(bounded.select(F.col("b").alias("row"))).distinct()
     nodes = settle(nodes, "nodes")
     sets = settle(_sets(numbered.join(broadcast_if_small(nodes, BROADCAST_ROWS), "row", "left_semi"), size), "sets")
+    if (sets.agg(F.sum(F.size("shingles"))).first()[0] or 0) <= BROADCAST_SHINGLES:
+        sets = F.broadcast(sets)
     common = F.size(F.array_intersect("s_a", "s_b"))
     return settle(
         bounded.join(sets.select(F.col("row").alias("a"), F.col("shingles").alias("s_a")), "a")
@@ -177,6 +181,25 @@ def _central_first(members: DataFrame) -> DataFrame:
     return members.join(order, "node").select("key", "node", "order")
 
 
+def _pairs_between(nodes: DataFrame, signed: DataFrame, width: int, percent: int) -> DataFrame:
+    """Each pair of `nodes` (node, label) of different labels that shares a table key, once.
+
+    A pair is given at its smallest common sub-key of the first collection, and only if
+    it shares one of the second too and the sizes allow a link.
+    """
+    side = nodes.join(signed, "node").select(
+        "node", "label", F.col("n_shingles").alias("n"), F.slice("keys", 1, width).alias("firsts"), F.slice("keys", width + 1, width).alias("seconds")
+    )
+    one = side.select(*[F.col(c).alias(f"{c}_a") for c in side.columns], F.explode("firsts").alias("first"))
+    other = side.select(*[F.col(c).alias(f"{c}_b") for c in side.columns], F.explode("firsts").alias("first"))
+    fit = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    once = F.array_min(F.array_intersect("firsts_a", "firsts_b")) == F.col("first")
+    wanted = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & fit & once
+    return one.join(other, "first").where(wanted & F.arrays_overlap("seconds_a", "seconds_b")).select(
+        F.col("node_a").alias("a"), F.col("node_b").alias("b")
+    )
+
+
 def linked_nodes(signed: DataFrame, numbered: DataFrame, size: int, percent: int, width: int) -> DataFrame | None:
     """(`node`, `label`) of all nodes with a link; None if there are no links.
 
@@ -218,12 +241,7 @@ def linked_nodes(signed: DataFrame, numbered: DataFrame, size: int, percent: int
                 F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
             )
         else:
-            one, other = open_members.select("key", "node", "label"), open_members.select(
-                "key", F.col("node").alias("other"), F.col("label").alias("other_label")
-            )
-            pairs = one.join(other, "key").where("node < other and label <> other_label").select(
-                F.col("node").alias("a"), F.col("other").alias("b")
-            )
+            pairs = _pairs_between(open_members.select("node", "label").distinct(), signed, width, percent)
         pairs = pairs.distinct()
         pairs = settle(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = pairs if tested is None else tested.union(pairs)

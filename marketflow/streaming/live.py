@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from marketflow.functions import format_instant, mean_2dp
 from marketflow.operators.records import word_count
 from marketflow.operators.series import overlay
-from marketflow.sinks.results import next_version, upsert
+from marketflow.sinks.results import STREAM, next_version, upsert
 
 BAR_MS = 15 * 60_000
 
@@ -80,7 +80,7 @@ def upsert_stream(
     first = next_version(means.sparkSession, store)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(live_series(batch), store, first + batch_id)
+        upsert(live_series(batch), store, first + batch_id, STREAM)
 
     writer = means.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     return _triggered(writer, every).start()

@@ -85,6 +85,18 @@ def test_upsert_takes_the_newest_version_and_can_be_repeated(spark, tmp_path):
     assert rows(store.read_current(spark, str(tmp_path / "compacted")), "timestamp", "avg_close") == expected
 
 
+def test_a_seed_beside_a_running_stream_stays(spark, tmp_path):
+    path = str(tmp_path / "store")
+    store.upsert(series(spark, ("s", "x", "d1", 1.0)), path, store.next_version(spark, path))
+    first = store.next_version(spark, path)
+    store.upsert(series(spark, ("s", "x", "d2", 2.0)), path, first, store.STREAM)
+    # the seed of the next day takes the version that the stream's next batch has too
+    store.upsert(series(spark, ("s", "x", "d3", 3.0), ("s", "x", "d4", 3.0)), path, store.next_version(spark, path))
+    store.upsert(series(spark, ("s", "x", "d4", 4.0)), path, first + 1, store.STREAM)
+    expected = [("d1", 1.0), ("d2", 2.0), ("d3", 3.0), ("d4", 4.0)]
+    assert rows(store.read_current(spark, path), "timestamp", "avg_close") == expected
+
+
 class FileClient:
     """Stands in for a document index: one file per document id."""
 

@@ -51,6 +51,7 @@ def follow_sector_tree(spark: SparkSession, root: str, max_files: int | None = N
 
 
 def follow_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One Parquet table of a data folder as a stream."""
+    """One Parquet table of a data folder as a stream; the table is a file or a folder of part files."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    # a stream starts from folders; a pattern also matches a single file
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")

@@ -192,3 +192,15 @@ def test_any_source_with_value_and_topic_will_do(spark, tmp_path):
         assert stream.isStreaming and stream.columns == ["value", "topic"]
     finally:
         spark.conf.unset("spark.sql.streaming.schemaInference")
+
+
+def test_a_table_is_a_file_or_a_folder(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"x": [1, 2, 3]}), tmp_path / "one.parquet")
+    spark.range(5).repartition(3).write.parquet(str(tmp_path / "many.parquet"))
+    for name, expected in (("one", 3), ("many", 5)):
+        stream = src.follow_table(spark, str(tmp_path), name)
+        stream.writeStream.format("memory").queryName(f"table_{name}").trigger(availableNow=True).start().awaitTermination()
+        assert spark.table(f"table_{name}").count() == expected

@@ -39,7 +39,9 @@ def recent_windows(frame: DataFrame, window_size: int = WINDOW_SIZE) -> DataFram
 
 
 def _mean(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda total, x: total + x) / F.size(values)
+    """The mean of the values that are not null; null if there are none."""
+    known = F.filter(values, lambda x: x.isNotNull())
+    return F.aggregate(known, F.lit(0.0), lambda total, x: total + x) / F.nullif(F.size(known), F.lit(0))
 
 
 def slide_means(window: Column, distinct_window: Column, window_size: int, horizon: int) -> Column:

@@ -111,3 +111,9 @@ def test_window_of_one_is_refused(spark):
 
 def test_no_bars_no_forecast(spark):
     assert FC.forecast_features(spark.createDataFrame([], SCHEMA), 4).collect() == []
+
+
+def test_means_skip_nulls(spark):
+    frame = spark.sql("select array(1D, null, 3D) as some, cast(array(null, null) as array<double>) as none")
+    got = frame.select(FC._mean(F.col("some")), FC._mean(F.col("none"))).first()
+    assert tuple(got) == (2.0, None)

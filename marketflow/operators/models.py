@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import partial
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -80,10 +81,12 @@ def fit_sector_models(
     rows = moments(frame, inputs, label, key).collect()
     if not rows:
         return {}
-    # the fits wait on small jobs; side by side they take the time of one
+    # the fits wait on small jobs; side by side they take the time of one.
+    # Each is wrapped by itself: fits that share one set of local properties clear each other's
+    tasks = [inheritable_thread_target(spark)(partial(fit, row)) for row in rows]
     pool = ThreadPool(min(8, len(rows)))
     try:
-        return dict(pool.map(inheritable_thread_target(spark)(fit), rows))
+        return dict(pool.map(lambda task: task(), tasks))
     finally:
         pool.close()
 

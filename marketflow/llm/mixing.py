@@ -189,11 +189,14 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: list[float], least: float
     """`docs` with each row as often as its rate says, all columns as they were.
 
     With `least` at 1 no row is lost and the targets are met by repeating rows of the
-    domains that lack tokens. An upper rate keeps repetition in bounds.
+    domains that lack tokens. An upper rate keeps repetition in bounds. Other columns
+    than `doc_id` and `text` may have any name: they are renamed in between.
     """
+    names = docs.columns
+    docs = docs.toDF(*[c if c in ("doc_id", "text") else f"kept_{i}" for i, c in enumerate(names)])
     rated, numbered = rates(docs, labelled, targets, least, most)
     often = settle(rated.where("copies <> 1").select("row", "copies"), "copies")
     counted = numbered.join(often, "row", "left")
     times = F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1))))
     present = F.coalesce("copies", F.lit(1)) > 0
-    return counted.where(present).withColumn("__copy", times).select(*docs.columns)
+    return counted.where(present).withColumn("__copy", times).select(*docs.columns).toDF(*names)

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import broadcast_if_small, text_key, words
@@ -120,24 +120,36 @@ def _sets(rows: DataFrame, size: int) -> DataFrame:
 
 
 def _table_keys(signed: DataFrame, width: int) -> DataFrame:
-    """(`key`, `node`) for the table keys that may have two members.
+    """(`key`, `node`, `weight`) for the table keys that have two members or more.
 
     A table key can only be shared if both its sub-keys are, so sub-keys with one
     holder are dropped before pairs are formed: an exact cut that leaves unique texts
-    with no table keys at all.
+    with no table keys at all. Of table keys with the same members one stands for all:
+    members are told apart by their number and two 64-bit sums of hashes. `weight` is
+    the number of members over all the keys that it stands for.
     """
     single = signed.select("node", F.posexplode("keys").alias("slot", "value"))
     shared = single.groupBy("value").agg(F.count("*").alias("n")).where("n > 1").select("value")
     kept = single.join(shared, "value")
     first = F.when(F.col("slot") < width, F.col("value"))
     second = F.when(F.col("slot") >= width, F.col("value"))
-    return (
-        kept.groupBy("node")
-        .agg(F.collect_list(first).alias("firsts"), F.collect_list(second).alias("seconds"))
-        .select("node", F.explode("firsts").alias("first"), "seconds")
+    halves = settle(
+        kept.groupBy("node").agg(F.collect_list(first).alias("firsts"), F.collect_list(second).alias("seconds")), "halves"
+    )
+    keyed = (
+        halves.select("node", F.explode("firsts").alias("first"), "seconds")
         .select("node", "first", F.explode("seconds").alias("second"))
         .select(F.xxhash64("first", "second").alias("key"), "node")
     )
+    members = ["size", "one", "two"]
+    held = keyed.groupBy("key").agg(
+        F.count("*").alias("size"),
+        F.bit_xor(F.xxhash64("node")).alias("one"),
+        F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"),
+    )
+    chosen = held.where("size > 1").groupBy(*members).agg(F.min("key").alias("key"), F.count("*").alias("times"))
+    chosen = settle(chosen.select("key", (F.col("size") * F.col("times")).alias("weight")), "shared")
+    return keyed.join(chosen, "key")
 
 
 def _verified(pairs: DataFrame, numbered: DataFrame, signed: DataFrame, size: int, percent: int) -> DataFrame:
@@ -171,14 +183,14 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _central_first(members: DataFrame) -> DataFrame:
-    """`members` (key, node) with `order`: smaller for a node that meets more others over all its keys.
+    """`members` (key, node, weight) with `order`: smaller for a node that meets more others over all its keys.
 
     A text that many near copies were made from is closer to each of them than they are
-    to each other, so it meets the most members and comes first.
+    to each other, so it meets the most members and comes first. A node has at most
+    width squared keys, so its window is small.
     """
-    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
-    order = members.join(sizes, "key").groupBy("node").agg((-F.sum("size")).alias("order"))
-    return members.join(order, "node").select("key", "node", "order")
+    order = -F.sum("weight").over(Window.partitionBy("node"))
+    return members.select("key", "node", order.alias("order"))
 
 
 def _pairs_between(nodes: DataFrame, signed: DataFrame, width: int, percent: int) -> DataFrame:
@@ -200,6 +212,33 @@ def _pairs_between(nodes: DataFrame, signed: DataFrame, width: int, percent: int
     )
 
 
+def _first_pivots(members: DataFrame) -> DataFrame:
+    """(`key`, `pivot`, `pivot_label`): the most central member of each key, while every node is its own class."""
+    first = members.groupBy("key").agg(F.min(F.struct("order", "node")).alias("p"))
+    return first.select("key", F.col("p.node").alias("pivot"), F.col("p.node").alias("pivot_label"))
+
+
+def _later_pivots(members: DataFrame) -> DataFrame:
+    """The same for keys of several classes: the most central member outside the key's largest class."""
+    classes = settle(
+        members.groupBy("key", "label").agg(F.count("*").alias("n"), F.min(F.struct("order", "node")).alias("first")),
+        "classes",
+    )
+    # the largest class by size, then by smallest label
+    keys = (
+        classes.groupBy("key")
+        .agg(F.max(F.struct("n", (-F.col("label")).alias("least"))).alias("top"), F.count("*").alias("classes"))
+        .where("classes > 1")
+    )
+    return (
+        classes.join(keys, "key")
+        .where(F.col("label") != -F.col("top.least"))
+        .groupBy("key")
+        .agg(F.min(F.struct("first", "label")).alias("p"))
+        .select("key", F.col("p.first.node").alias("pivot"), F.col("p.label").alias("pivot_label"))
+    )
+
+
 def linked_nodes(signed: DataFrame, numbered: DataFrame, size: int, percent: int, width: int) -> DataFrame | None:
     """(`node`, `label`) of all nodes with a link; None if there are no links.
 
@@ -212,27 +251,11 @@ def linked_nodes(signed: DataFrame, numbered: DataFrame, size: int, percent: int
     that shares a key stays untested: what is open after `PIVOT_ROUNDS` rounds is
     compared pair by pair between components.
     """
-    members = settle(_central_first(settle(_table_keys(signed, width), "keys")), "members")
+    members = settle(_central_first(_table_keys(signed, width)), "members")
     links, labels, tested = None, None, None
     for turn in range(PIVOT_ROUNDS + 1):
         open_members = _labelled(members, labels)
-        classes = open_members.groupBy("key", "label").agg(
-            F.count("*").alias("n"), F.min(F.struct("order", "node")).alias("first")
-        )
-        classes = settle(classes, "classes")
-        # the largest class by size, then by smallest label
-        keys = classes.groupBy("key").agg(
-            F.max(F.struct("n", (-F.col("label")).alias("least"))).alias("top"), F.count("*").alias("classes")
-        ).where("classes > 1")
-        eligible = classes.join(keys, "key")
-        if turn:
-            eligible = eligible.where(F.col("label") != -F.col("top.least"))
-        pivots = settle(
-            eligible.groupBy("key")
-            .agg(F.min(F.struct("first", "label")).alias("p"))
-            .select("key", F.col("p.first.node").alias("pivot"), F.col("p.label").alias("pivot_label")),
-            "pivots",
-        )
+        pivots = settle(_later_pivots(open_members) if turn else _first_pivots(open_members), "pivots")
         if not pivots.limit(1).count():
             break
         open_members = settle(open_members.join(pivots, "key"), "open")

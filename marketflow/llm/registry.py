@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import deobfuscation, hidden_markov, lyndon_suffixes, maxscore, mixing, ordinal, spaced_seeds, splitters, tensor_minhash, warc
+from marketflow.llm import deobfuscation, hidden_markov, lyndon_suffixes, maxscore, mixing, ordinal, resampling, spaced_seeds, splitters, tensor_minhash, warc
 from marketflow.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +136,15 @@ def op10_tensor_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gains towards the benchmark's n-grams of every document, and the drawn quarter."""
+    scored = resampling.resample(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark")
+    )
+    return scored.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 # the remainders of single bytes by which CRC-32 advances, and the CRC of a text's bytes
 CRC_STEPS = """
   SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
@@ -265,3 +274,46 @@ SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score FROM s
 WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER best <= 5
 """
+
+ORACLES["op12_importance_resampling"] = rf"""
+WITH crc_steps AS ({CRC_STEPS}),
+texts AS (SELECT doc_id, text, true AS own FROM documents UNION ALL SELECT NULL, text, false FROM benchmark),
+tokens AS (
+  SELECT row_number() OVER () AS r, doc_id, own, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts
+),
+grams AS (
+  SELECT r, own, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM tokens
+),
+counted AS (SELECT r, own, g, count(*) AS n FROM grams GROUP BY ALL),
+kinds AS (
+  SELECT g, ({CRC.format(text="g")}) % 10000 AS b FROM (SELECT DISTINCT g FROM counted), crc_steps
+),
+held AS (
+  SELECT b, coalesce(sum(n) FILTER (own), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (NOT own), 0)::DOUBLE AS t
+  FROM counted JOIN kinds USING (g) GROUP BY b
+),
+gains AS (
+  SELECT b, floor(1000 * ln((t + 1) * ((SELECT sum(t) FROM held) + 10000)
+                            / ((s + 1) * ((SELECT sum(s) FROM held) + 10000))))::BIGINT AS gain FROM held
+),
+sums AS (
+  SELECT r, sum(n)::BIGINT AS n, sum(n * gain)::BIGINT AS total
+  FROM counted JOIN kinds USING (g) JOIN gains USING (b) GROUP BY r
+),
+weighed AS (
+  SELECT doc_id, len(w) AS words, coalesce(n, 0)::BIGINT AS n_features,
+         coalesce((total - ((total % n) + n) % n) // n, 0)::BIGINT AS weight,
+         ('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+  FROM tokens LEFT JOIN sums USING (r) WHERE own
+),
+scored AS (SELECT *, (weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score FROM weighed),
+ranks AS (
+  SELECT *, CASE WHEN words >= 20 THEN row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id) END AS place FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN place <= 25 * (SELECT count(*) FROM scored WHERE words >= 20) // 100 THEN place END::BIGINT AS rank
+FROM ranks
+"""

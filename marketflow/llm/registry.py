@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import deobfuscation, hidden_markov, lyndon_suffixes, maxscore, mixing, ordinal, resampling, spaced_seeds, splitters, tensor_minhash, warc
+from marketflow.llm import deobfuscation, hard_negatives, hidden_markov, lyndon_suffixes, maxscore, mixing, ordinal, resampling, spaced_seeds, splitters, tensor_minhash, warc
 from marketflow.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,6 +136,15 @@ def op10_tensor_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
 
 
+@query
+def op11_segment_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh label is moved on by one first."""
+    rows = table(spark, sf_dir, "embeddings").where(hard_negatives.is_whole(F.col("embedding")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).cast("int")
+    vectors = rows.select("vec_id", label.alias("label"), hard_negatives.whole_components(F.col("embedding")).alias("v"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 @query
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gains towards the benchmark's n-grams of every document, and the drawn quarter."""
@@ -317,3 +326,30 @@ SELECT doc_id, n_features, weight, score,
        CASE WHEN place <= 25 * (SELECT count(*) FROM scored WHERE words >= 20) // 100 THEN place END::BIGINT AS rank
 FROM ranks
 """
+
+ORACLES["op11_segment_summaries"] = """
+WITH vectors AS (
+  SELECT row_number() OVER () AS r, vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::INTEGER AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same,
+         list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.vec_id % 100 = 0 AND a.r <> b.r
+),
+positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, r) <= 5
+),
+pairs AS (
+  SELECT p.anchor, p.r, p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+         p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY n.score DESC, n.vec_id NULLS LAST, n.r) AS rank
+  FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
+   AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM pairs WHERE rank <= 10
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import deobfuscation, hard_negatives, hidden_markov, lyndon_suffixes, maxscore, mixing, ordinal, resampling, spaced_seeds, splitters, tensor_minhash, warc
+from marketflow.llm import deobfuscation, hard_negatives, hidden_markov, lempel_ziv, lyndon_suffixes, maxscore, mixing, ordinal, resampling, spaced_seeds, splitters, tensor_minhash, warc
 from marketflow.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,6 +154,13 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+@query
+def op13_relative_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 50 words that earlier documents hold."""
+    left = lempel_ziv.remove_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 # the remainders of single bytes by which CRC-32 advances, and the CRC of a text's bytes
 CRC_STEPS = """
   SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
@@ -353,3 +360,22 @@ pairs AS (
 )
 SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM pairs WHERE rank <= 10
 """
+
+ORACLES["op13_relative_lempel_ziv"] = r"""
+WITH tokens AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+starts AS (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS s FROM tokens),
+windows AS (SELECT r, doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS k FROM starts),
+firsts AS (SELECT k, min(doc_id) AS first FROM windows GROUP BY k),
+gone AS (
+  SELECT DISTINCT r, unnest(range(s, s + 50)) AS p FROM windows JOIN firsts USING (k) WHERE first < doc_id
+),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM tokens),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) FILTER (gone.r IS NULL) AS text, count(gone.r) AS n
+  FROM words LEFT JOIN gone USING (r, p) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM tokens LEFT JOIN kept USING (r)
+"""

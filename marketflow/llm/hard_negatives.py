@@ -15,6 +15,8 @@ close only on the last level.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +26,8 @@ from marketflow.session import settle
 
 #: vectors of a shard, and anchors that a task takes through a shard
 SHARD_ROWS, ANCHOR_BLOCK = 16_384, 1024
+#: anchors whose bounds with a shard are held at once
+QUERIES_AT_ONCE = 32
 #: share of the leading components that are segments of their own, by level; segments of doubling size follow
 LEVELS = (1 / 4, 3 / 4, 7 / 8)
 #: bounds are sums of doubles: they are widened by this share of the largest possible score
@@ -80,46 +84,52 @@ class Summaries:
                 # the root of m goes into the mean, so that the products of both are plain
                 self.levels.append((mean * np.sqrt(m), np.sqrt(np.maximum(rest, 0.0))))
 
-    def bounds(self, level: int, asked: "Summaries", q: int, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(least, most) that the scores of query `q` of `asked` with some rows can be."""
+    def bounds(self, level: int, asked: "Summaries", some: slice, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(least, most) that the scores of some queries with some rows can be."""
         (mean, rest), (q_mean, q_rest) = self.levels[level], asked.levels[level]
-        middle, wide = mean[rows] @ q_mean[q], rest[rows] @ q_rest[q] + SLACK * self.size[rows] * asked.size[q] + SLACK
+        size = self.size
+        if len(rows) < len(self.matrix):
+            mean, rest, size = mean[rows], rest[rows], size[rows]
+        middle = q_mean[some] @ mean.T
+        wide = q_rest[some] @ rest.T + np.outer(SLACK * asked.size[some], size) + SLACK
         return middle - wide, middle + wide
 
-    def best(self, asked: "Summaries", q: int, rows: np.ndarray, ties: np.ndarray, k: int, least: float, most: float) -> tuple[np.ndarray, np.ndarray, int]:
-        """The k highest scores of `q` within [least, most] among `rows`: (rows, scores, rows scored exactly).
+    def best(self, asked: "Summaries", some: slice, open_rows: np.ndarray, ties: np.ndarray, k: int, intervals: list) -> tuple[list, int]:
+        """For each of some queries and each of its `intervals` (least, most): the k highest scores inside.
 
-        On each level a row goes if its bounds miss the interval, or if k rows that are
-        certain to lie inside have lower bounds above its upper one. Equal scores stay
-        in and are decided by `ties`.
+        `open_rows`: which rows each query may find. Returns (rows, scores) per query and
+        interval, and how many scores were taken exactly. On each level a row is closed
+        for a query if its bounds miss every interval, or fall short of k rows that are
+        certain to lie inside. Equal scores stay in and are decided by `ties`.
         """
-        floor = least
+        floors = [[least for least, _ in own] for own in intervals]
         for level in range(len(self.levels)):
-            if len(rows) <= k:
-                break
-            low, high = self.bounds(level, asked, q, rows)
-            sure = low[(low >= least) & (high <= most)]
-            if len(sure) >= k:
-                floor = max(floor, float(np.partition(sure, len(sure) - k)[len(sure) - k]))
-            rows = rows[(high >= floor) & (low <= most)]
-        scores = self.matrix[rows] @ asked.matrix[q]
-        scored = len(rows)
-        inside = (scores >= least) & (scores <= most)
-        rows, scores = rows[inside], scores[inside]
-        if len(rows) > k:
-            good = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
-            rows, scores = rows[good], scores[good]
-        order = np.lexsort((ties[rows], -scores))[:k]
-        return rows[order], scores[order], scored
-
-
-def _dealt(queries: DataFrame, vectors: DataFrame, shards: int, blocks: int) -> tuple:
-    """Both sides keyed by (shard, block): each query meets each shard, in bounded groups."""
-    deal = lambda n, c: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = queries.withColumn("block", deal(blocks, "anchor_row")).withColumn("shard", every(shards))
-    right = vectors.withColumn("shard", deal(shards, "row")).withColumn("block", every(blocks))
-    return left.groupBy("shard", "block"), right.groupBy("shard", "block")
+            rows = np.flatnonzero(open_rows.any(0))
+            low, high = self.bounds(level, asked, some, rows)
+            for q, own in enumerate(intervals):
+                here = np.flatnonzero(open_rows[q, rows])
+                least, most, keep = low[q, here], high[q, here], np.zeros(len(here), bool)
+                for i, (_, end) in enumerate(own):
+                    sure = least[(least >= floors[q][i]) & (most <= end)]
+                    if len(sure) >= k:
+                        floors[q][i] = max(floors[q][i], float(np.partition(sure, len(sure) - k)[len(sure) - k]))
+                    keep |= (most >= floors[q][i]) & (least <= end)
+                open_rows[q, rows[here[~keep]]] = False
+        found, scored = [], 0
+        for q, own in enumerate(intervals):
+            rows = np.flatnonzero(open_rows[q])
+            scores = self.matrix[rows] @ asked.matrix[some][q]
+            scored += len(rows)
+            found.append([])
+            for least, most in own:
+                inside = (scores >= least) & (scores <= most)
+                held, got = rows[inside], scores[inside]
+                if len(held) > k:
+                    good = got >= np.partition(got, len(got) - k)[len(got) - k]
+                    held, got = held[good], got[good]
+                order = np.lexsort((ties[held], -got))[:k]
+                found[-1].append((held[order], got[order]))
+        return found, scored
 
 
 def _summaries(vectors: pd.Series, queries: pd.Series, width: int) -> tuple[Summaries, Summaries]:
@@ -168,17 +178,27 @@ def mine(
     shards = max(1, -(-counted["n"] // SHARD_ROWS), min(-(-counted["n"] // 1024), rows.sparkSession.sparkContext.defaultParallelism))
     blocks = max(1, -(-counted["anchors"] // ANCHOR_BLOCK))
 
+    def searched(asked: pd.DataFrame, given: pd.DataFrame, same: bool, k: int, intervals: list) -> Iterator[tuple]:
+        """(query, interval, rows, scores) of a shard; queries of one label go together."""
+        shard, queries = _summaries(given["v"], asked["q"], width)
+        labels, numbers, ties = given["label"].to_numpy(), given["row"].to_numpy(), _ids(given)
+        for first in range(0, len(asked), QUERIES_AT_ONCE):
+            some = slice(first, min(first + QUERIES_AT_ONCE, len(asked)))
+            label, own = (asked[c].to_numpy()[some, None] for c in ("anchor_label", "anchor_row"))
+            open_rows = (labels == label) & (numbers != own) if same else labels != label
+            found, _ = shard.best(queries, some, open_rows, ties, k, intervals[some])
+            for q, by_interval in enumerate(found, first):
+                for i, (rows, scores) in enumerate(by_interval):
+                    yield q, i, given["row"].to_numpy()[rows], given["vec_id"].iloc[rows].to_numpy(), scores
+
     def near(asked: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
         """The shard's best rows of each anchor's label."""
-        found = []
+        found = [pd.DataFrame({"anchor_row": [], "row": [], "vec_id": [], "score": []})]
         if len(asked) and len(given):
-            (shard, queries), ties = _summaries(given["v"], asked["q"], width), _ids(given)
-            labels, numbers = given["label"].to_numpy(), given["row"].to_numpy()
-            for q, (label, own) in enumerate(zip(asked["anchor_label"], asked["anchor_row"])):
-                some = np.flatnonzero((labels == label) & (numbers != own))
-                best, scores, _ = shard.best(queries, q, some, ties, positives, -np.inf, np.inf)
-                found.append(pd.DataFrame({"anchor_row": own, "row": numbers[best], "vec_id": given["vec_id"].iloc[best].to_numpy(), "score": scores}))
-        return pd.concat(found) if found else pd.DataFrame({"anchor_row": [], "row": [], "vec_id": [], "score": []})
+            asked = asked.sort_values("anchor_label")
+            for q, _, row, vec_id, scores in searched(asked, given, True, positives, [[(-np.inf, np.inf)]] * len(asked)):
+                found.append(pd.DataFrame({"anchor_row": asked["anchor_row"].iloc[q], "row": row, "vec_id": vec_id, "score": scores}))
+        return pd.concat(found[1:] or found)
 
     left, right = _dealt(anchors, held, shards, blocks)
     hits = settle(left.cogroup(right).applyInPandas(near, "anchor_row long, row long, vec_id long, score double"), "near")
@@ -189,20 +209,15 @@ def mine(
 
     def far(asked: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
         """The shard's best rows of other labels inside each positive's interval."""
-        found = []
+        found = [pd.DataFrame({"anchor_row": [], "place": [], "row": [], "vec_id": [], "score": []})]
         if len(asked) and len(given):
-            (shard, queries), ties = _summaries(given["v"], asked["q"], width), _ids(given)
-            labels, numbers = given["label"].to_numpy(), given["row"].to_numpy()
-            for q, (own, label, places, scores) in enumerate(zip(asked["anchor_row"], asked["anchor_label"], asked["place"], asked["score"])):
-                other = np.flatnonzero(labels != label)
-                for place, score in zip(places, scores):
-                    # whole scores: the interval's ends are the nearest whole numbers inside
-                    ends = -(-low * int(score) // 100), high * int(score) // 100
-                    if ends[0] > ends[1]:
-                        continue
-                    best, got, _ = shard.best(queries, q, other, ties, negatives, *map(float, ends))
-                    found.append(pd.DataFrame({"anchor_row": own, "place": place, "row": numbers[best], "vec_id": given["vec_id"].iloc[best].to_numpy(), "score": got}))
-        return pd.concat(found) if found else pd.DataFrame({"anchor_row": [], "place": [], "row": [], "vec_id": [], "score": []})
+            asked = asked.sort_values("anchor_label")
+            # whole scores: the interval's ends are the nearest whole numbers inside
+            ends = [[(float(-(-low * int(s) // 100)), float(high * int(s) // 100)) for s in scores] for scores in asked["score"]]
+            for q, i, row, vec_id, scores in searched(asked, given, False, negatives, ends):
+                place = asked["place"].iloc[q][i]
+                found.append(pd.DataFrame({"anchor_row": asked["anchor_row"].iloc[q], "place": place, "row": row, "vec_id": vec_id, "score": scores}))
+        return pd.concat(found[1:] or found)
 
     left, right = _dealt(wanted, held, shards, blocks)
     hits = settle(left.cogroup(right).applyInPandas(far, "anchor_row long, place int, row long, vec_id long, score double"), "far")

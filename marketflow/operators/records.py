@@ -16,13 +16,21 @@ def parse_records(records: DataFrame, schema: StructType = BAR_SCHEMA) -> DataFr
     )
 
 
-def split_malformed(records: DataFrame, schema: StructType = BAR_SCHEMA) -> tuple[DataFrame, DataFrame]:
-    """Parsed records, and the raw ones that carry no timestamp."""
+def split_malformed(
+    records: DataFrame, schema: StructType = BAR_SCHEMA, latest_ms: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Parsed records, and the raw ones that carry no timestamp, or one after `latest_ms`.
+
+    A single bar dated far ahead would carry a watermark past all that is still to come.
+    A `delivery` column stays beside the parsed records.
+    """
     parsed = records.withColumn("data", F.from_json(F.col("value").cast("string"), schema))
     bad = F.col("data.timestamp").isNull()
+    if latest_ms is not None:
+        bad = bad | (F.col("data.timestamp") > latest_ms)
     topic = F.col("topic").cast("string").alias("topic")
     return (
-        parsed.filter(~bad).select("data", topic),
+        parsed.filter(~bad).select("data", topic, *[c for c in records.columns if c == "delivery"]),
         parsed.filter(bad).select(F.col("value").cast("string").alias("value"), topic),
     )
 

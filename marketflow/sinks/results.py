@@ -1,67 +1,40 @@
-"""The keyed result store: idempotent upserts of published rows.
+"""The result store: published rows by sector, scope and timestamp, upserted and compacted.
 
-Every write lands in a folder of its own, `writer=NAME/version=N`; the current row
-of a key is the one of its newest version. Writing a version again replaces its
-folder, so a micro-batch that is retried after a failure changes nothing, and no
-plan reads the path that it overwrites. A daily seed and a running stream are
-writers of their own, so neither replaces a folder of the other.
+A daily seed and a running stream are writers of their own, so neither replaces a
+folder of the other; `keyed` tells how versions and snapshots work.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from marketflow.operators.ranking import document_ids
 from marketflow.schema import RESULT_SCHEMA
+from marketflow.sinks import keyed
+from marketflow.sinks.keyed import BATCH, STREAM, next_version
 
 KEY = ("sector", "scope", "timestamp")
 VALUES = ("avg_close", "avg_prediction")
-BATCH, STREAM = "batch", "stream"
+#: rows of one month share a bucket
+LAYOUT = keyed.Layout(RESULT_SCHEMA, KEY, lambda: F.when(F.col("timestamp").rlike(r"^\d{4}-\d{2}"), F.substring("timestamp", 1, 7)).otherwise("none"))
 
-
-def next_version(spark: SparkSession, path: str) -> int:
-    """The version above all that the store holds; a writer's name has one writer at a time."""
-    try:
-        newest = _stored(spark, path).agg(F.max("version")).first()[0]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        newest = None
-    return 0 if newest is None else newest + 1
-
-
-def _stored(spark: SparkSession, path: str) -> DataFrame:
-    schema = StructType([*RESULT_SCHEMA.fields, StructField("writer", StringType()), StructField("version", LongType())])
-    return spark.read.schema(schema).parquet(path)
+__all__ = ["BATCH", "STREAM", "compact", "index_documents", "next_version", "read_current", "upsert"]
 
 
 def upsert(series: DataFrame, path: str, version: int, writer: str = BATCH) -> None:
-    """Write the rows of one version of a writer; `series` has the result schema.
-
-    The rows of a sector are put together first: a micro-batch has few rows in
-    many partitions, which would each leave a file.
-    """
-    gathered = series.repartition("sector", "scope")
-    gathered.write.mode("overwrite").parquet(f"{path.rstrip('/')}/writer={writer}/version={version}")
+    """Write the rows of one version of a writer; `series` has the result schema."""
+    keyed.upsert(series, path, version, writer, gather=("sector", "scope"))
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of every key; a hash aggregation with map-side combine.
-
-    A seed takes the version above all others, which may be the running stream's
-    next one; that batch comes later, so at equal versions the stream's row counts.
-    """
-    order = 2 * F.col("version") + (F.col("writer") == STREAM).cast("long")
-    newest = _stored(spark, path).groupBy(*KEY).agg(*[F.max_by(c, order).alias(c) for c in VALUES])
-    return newest.select(*RESULT_SCHEMA.fieldNames())
+    """The newest version of every key."""
+    return keyed.read_current(spark, path, LAYOUT)
 
 
-def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Rewrite the current rows as version 0 of a new store at `target`."""
-    read_current(spark, path).write.mode("errorifexists").parquet(f"{target.rstrip('/')}/writer={BATCH}/version=0")
+def compact(spark: SparkSession, path: str) -> bool:
+    """Fold the versions written so far; readers go on meanwhile."""
+    return keyed.compact(spark, path, LAYOUT)
 
 
 def index_documents(series: DataFrame, client_factory) -> None:

@@ -19,11 +19,16 @@ def broker_options(servers: str, topics=SECTORS, starting: str = "earliest") ->
 
 
 def open_records(spark: SparkSession, kind: str = "kafka", **options: str) -> DataFrame:
-    """A stream of `value` and `topic`; the broker's connector is needed only here."""
+    """A stream of `value` and `topic`, and `delivery` if the source numbers its records.
+
+    The broker's connector is needed only here. Records of one key are in one partition,
+    so their offsets tell which delivery of a bar is the last.
+    """
     reader = spark.readStream.format(kind)
     for key, value in options.items():
         reader = reader.option(key, value)
-    return reader.load().select("value", "topic")
+    loaded = reader.load()
+    return loaded.select("value", "topic", *[F.col(c).alias("delivery") for c in loaded.columns if c == "offset"])
 
 
 def follow_bars(

@@ -15,7 +15,7 @@ from marketflow.sources.files import read_bars, read_landed_bars, read_results
 from marketflow.sources.ticks import event_ticks
 from tests.conftest import rows
 from tests.test_files import wire
-from tests.test_streaming import BAR, START
+from tests.test_streaming import START
 
 
 @pytest.fixture
@@ -54,8 +54,6 @@ def test_land_batch_live(spark, deliveries, monkeypatch):
     live_files = at / "live" / "tech"
     live_files.mkdir(parents=True)
     (live_files / "AAPL.txt").write_text(json.dumps(wire("AAPL", START, 100.0)) + "\n")
-    later = json.dumps(wire("AAPL", START + 10 * DAY_MS + BAR, 1.0))
-    (live_files / "IBM.txt").write_text(later + "\n")
     command(
         monkeypatch, "live", "--files", at / "live", "--results", at / "results", "--store", at / "store",
         "--checkpoint", at / "checkpoint", "--every", "1 second", "--seconds", "25",

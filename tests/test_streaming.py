@@ -92,13 +92,48 @@ def test_repeated_delivery_counts_without_dedup(spark, feed, tmp_path):
     assert got[1] == ("tech", text(START), 62.5)
 
 
-def test_dedup_publishes_final_means_once(spark, feed, tmp_path):
+def test_means_are_out_at_once_and_corrected(spark, feed, tmp_path):
     feed.drop("tech", wire("IBM", START, 50.0), wire("IBM", START, 50.0))
-    feed.drop("tech", wire("IBM", START + 30 * DAY_MS, 1.0))
-    assert run(spark, feed, tmp_path, delay="2 days") == EXPECTED
-    # behind the watermark: left out
+    # no later bar has to push them out, and copies count once
+    assert run(spark, feed, tmp_path, max_files=1) == EXPECTED
+    feed.drop("tech", wire("IBM", START, 60.0))
     feed.drop("energy", wire("XOM", START, 90.0))
-    assert run(spark, feed, tmp_path, delay="2 days") == EXPECTED
+    corrected = [("energy", text(START), 80.0), ("tech", text(START), 80.0), EXPECTED[2]]
+    assert run(spark, feed, tmp_path) == corrected
+    assert run(spark, feed, tmp_path) == corrected
+
+
+def test_every_bar_of_a_delivery_is_published(spark, tmp_path):
+    feed = Feed(tmp_path / "raw")
+    feed.drop("tech", *[wire("AAPL", START + k * BAR, 100.0 + k) for k in range(200)])
+    assert len(run(spark, feed, tmp_path)) == 200
+
+
+def test_late_bars_are_counted_and_far_ones_rejected(spark, feed, tmp_path):
+    feed.drop("tech", wire("IBM", START + 30 * DAY_MS, 1.0), wire("IBM", START + 3000 * DAY_MS, 7.0))
+    newest = ("tech", text(START + 30 * DAY_MS), 1.0)
+    assert run(spark, feed, tmp_path, dead_letters=str(tmp_path / "dead")) == [*EXPECTED, newest]
+    dead = spark.read.schema("value string, topic string").parquet(str(tmp_path / "dead"))
+    assert [json.loads(r.value)["close"] for r in dead.collect()] == [7.0]
+    # behind the watermark: left out, and told
+    feed.drop("energy", wire("XOM", START, 90.0), wire("CVX", START + BAR, 90.0))
+    records = src.follow_sector_tree(spark, str(feed.root))
+    queries = run_live(records, str(tmp_path / "store"), str(tmp_path / "checkpoint"), every=None)
+    for query in queries:
+        query.awaitTermination()
+    assert live.losses(queries[0]) == 2
+    current = read_current(spark, str(tmp_path / "store"))
+    assert rows(current, "sector", "timestamp", "avg_close") == [*EXPECTED, newest]
+
+
+def test_a_batch_that_is_repeated_changes_nothing(spark, tmp_path):
+    store = str(tmp_path / "store")
+    batch = lambda *values: spark.createDataFrame(list(values), "sector string, tickerSymbol string, timestamp long, close double")
+    live.correct_means(batch(("tech", "IBM", START, 1.0), ("tech", "AAPL", START, 3.0)), store, 0)
+    for _ in range(2):
+        live.correct_means(batch(("tech", "IBM", START, 5.0)), store, 1)
+    live.correct_means(batch(), store, 2)
+    assert rows(read_current(spark, store), "timestamp", "avg_close") == [(text(START), 4.0)]
 
 
 def test_malformed_lines_go_to_dead_letters(spark, feed, tmp_path):

@@ -374,12 +374,26 @@ SELECT sector, 'historical' AS scope, {_date('timestamp')} AS timestamp, {_r('av
 FROM (SELECT sector, timestamp, CASE WHEN timestamp >= {EVENTS_END_MS} THEN close + 1 ELSE close END AS close
       FROM daily) corrected
 GROUP BY sector, corrected.timestamp""",
+    "compacted_store": f"""WITH {_DAILY}
+SELECT sector, 'historical' AS scope, {_date('timestamp')} AS timestamp, {_r('avg(close + 1)', 2)} AS avg_close
+FROM daily GROUP BY sector, daily.timestamp""",
     "json_documents": f"""WITH {_DAILY}
 SELECT sector, CAST(sum(volume) AS BIGINT) AS volume, CAST(sum(numberOfItems) AS BIGINT) AS numberOfItems
 FROM daily GROUP BY sector""",
     # streams
     "stream_sector_avg": _STREAM_MEANS,
     "stream_sector_avg_bounded": _STREAM_MEANS,
+    "live_deduped_means": f"""WITH {_DIM},
+given AS (
+  SELECT sector, tickerSymbol, epoch_us(ts) // 1000 // 900000 * 900000 AS start, value, event_id
+  FROM events JOIN dim ON no = user_id % 30),
+deliveries AS (
+  SELECT sector, tickerSymbol, start, value AS close, event_id AS delivery FROM given
+  UNION ALL
+  SELECT sector, tickerSymbol, start, value + 1, event_id + (1::BIGINT << 40) FROM given WHERE event_id % 7 = 0),
+last AS (SELECT sector, tickerSymbol, start, arg_max(close, delivery) AS close FROM deliveries GROUP BY ALL)
+SELECT sector, 'streaming' AS scope, {_instant('start')} AS timestamp, {_r('avg(close)', 2)} AS avg_close
+FROM last GROUP BY sector, start""",
     "stream_dedup": """SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS tickerSymbol,
        epoch_us(l_shipdate) // 1000 AS timestamp
 FROM lineitem""",

@@ -8,6 +8,7 @@ depends on its order.
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -587,6 +588,30 @@ def upserted_results(spark, sf_dir):
     return store.read_current(spark, path).select("sector", "scope", "timestamp", "avg_close")
 
 
+@query
+def compacted_store(spark, sf_dir):
+    """A year of daily closes upserted month by month, twice, with a compaction after every fifth version.
+
+    The second round changes every close; a reader opened before the last compaction and
+    one after it see the same rows.
+    """
+    path = new_path(spark, "store")
+    daily = _settled_daily(spark, sf_dir)
+    version = 0
+    for raised in (0, 1):
+        series = S.overlay(S.published_series(daily.withColumn("close", F.col("close") + raised), "close", "historical"))
+        for part in range(6):
+            store.upsert(series.where(F.pmod(F.crc32("timestamp"), F.lit(6)) == part), path, version)
+            version += 1
+            if version % 5 == 0:
+                store.compact(spark, path)
+    before = store.read_current(spark, path)
+    store.compact(spark, path)
+    after = store.read_current(spark, path)
+    columns = ["sector", "scope", "timestamp", "avg_close"]
+    return before.select(*columns).unionByName(after.select(*columns)).distinct()
+
+
 @query
 def json_documents(spark, sf_dir):
     """Sector documents as indented JSON, one file each, and read back."""
@@ -634,6 +659,36 @@ def stream_sector_avg_bounded(spark, sf_dir):
     return store.read_current(spark, f"{path}/store").select("sector", "scope", "timestamp", "avg_close")
 
 
+@query
+def live_deduped_means(spark, sf_dir):
+    """Live means over three rounds of deliveries: bars, copies of some, changed prices of some.
+
+    The last delivery of a bar counts, whichever micro-batch it comes in.
+    """
+    path = new_path(spark, "stream")
+    ticks = event_ticks(spark, sf_dir).withColumn("event", (F.col("seq") % F.lit(Decimal(10**19))).cast("long"))
+    bars = S.with_sector(ticks, ticker_dimension(spark)).select(
+        "sector",
+        "tickerSymbol",
+        bucket_start(F.col("timestamp"), 15, "minute").alias("timestamp"),
+        F.col("price").alias("close"),
+        F.col("event").alias("delivery"),
+    )
+    bars = settle(bars, "bars")
+    early = F.col("delivery") % 10 < 6
+    changed = bars.where("delivery % 7 = 0").withColumn("close", F.col("close") + 1)
+    rounds = (
+        bars.where(early),
+        bars.where(~early).unionByName(bars.where("delivery % 5 = 0")),
+        changed.withColumn("delivery", F.col("delivery") + (1 << 40)),
+    )
+    for part in rounds:
+        part.write.mode("append").parquet(f"{path}/deliveries")
+    stream = spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 6).parquet(f"{path}/deliveries")
+    _finish(live.correct_stream(stream, f"{path}/store", f"{path}/checkpoint", delay="400 days", compact_every=2))
+    return store.read_current(spark, f"{path}/store").select("sector", "scope", "timestamp", "avg_close")
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """Line items as a stream of bars: one delivery per supplier and ship date."""

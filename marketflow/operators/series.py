@@ -20,6 +20,20 @@ def with_sector(frame: DataFrame, dimension: DataFrame) -> DataFrame:
     return frame.join(dimension, "tickerSymbol")
 
 
+def assign_sectors(frame: DataFrame, dimension: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(bars with a sector, bars without): none is lost on the way.
+
+    A `sector` that the frame brings (from the folder of a delivery) counts first, then
+    the dimension's. Bars without sector, ticker or time are the second frame.
+    """
+    own = F.col("sector") if "sector" in frame.columns else F.lit(None).cast("string")
+    known = dimension.select("tickerSymbol", F.col("sector").alias("_known"))
+    named = frame.withColumn("_own", own).drop("sector").join(known, "tickerSymbol", "left")
+    named = named.withColumn("sector", F.coalesce("_own", "_known")).drop("_own", "_known")
+    whole = F.col("sector").isNotNull() & F.col("tickerSymbol").isNotNull() & F.col("timestamp").isNotNull()
+    return named.where(whole), named.where(~whole)
+
+
 def sector_mean(frame: DataFrame, value: str, name: str | None = None) -> DataFrame:
     """Mean of `value` per sector and timestamp over the tickers present."""
     return frame.groupBy("sector", "timestamp").agg(mean_2dp(F.col(value)).alias(name or f"avg_{value}"))

@@ -7,26 +7,28 @@ from pyspark.sql import functions as F
 
 from marketflow.operators.bars import to_wire
 from marketflow.operators.records import pretty_json
-from marketflow.operators.series import with_sector
-from marketflow.schema import DAY_MS
+from marketflow.operators.series import assign_sectors
 
 
-def land_bars(frame: DataFrame, dimension: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+def land_bars(frame: DataFrame, dimension: DataFrame, path: str, rejects: str | None = None, rows_per_file: int = 1_000_000) -> None:
     """Write bars as JSON lines under `sector=/tickerSymbol=`, replacing those tickers.
 
-    Only the folders of the tickers at hand are overwritten. A hot ticker is
-    spread over several files by day, and no file exceeds `rows_per_file`.
+    Only the folders of the tickers at hand are overwritten. AQE gathers the bars of a
+    ticker in one file and splits those of a hot one by their size; no file exceeds
+    `rows_per_file`. Bars without sector, ticker or time are appended to `rejects`
+    (`{path}-rejects`), as they are.
     """
-    wire = to_wire(with_sector(frame, dimension), "sector")
-    spread = F.pmod(F.floor(F.col("timestamp") / DAY_MS), F.lit(8))
+    known, unknown = assign_sectors(frame, dimension)
     (
-        wire.repartition("sector", "tickerSymbol", spread)
+        to_wire(known, "sector")
+        .hint("rebalance", "sector", "tickerSymbol")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy("sector", "tickerSymbol")
         .json(path)
     )
+    unknown.write.mode("append").json(rejects or f"{path.rstrip('/')}-rejects")
 
 
 def write_results(series: DataFrame, path: str) -> None:
@@ -55,5 +57,3 @@ def write_pretty_json(frame: DataFrame, path: str) -> None:
 def show(frame: DataFrame, rows: int = 20) -> None:
     """Print the first rows."""
     frame.show(rows, truncate=False)
-
-

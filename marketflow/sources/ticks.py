@@ -60,7 +60,7 @@ def line_item_ticks(spark: SparkSession, sf_dir: str, look_back: LookBack | None
     """`lineitem` as ticks of its suppliers; ship dates carry no time of day.
 
     Lines of one day follow their order and line number; that pair repeats, so
-    the price, to a millionth, ends the order.
+    the price, to a millionth, ends the order. Prices of 9e12 and more are equal in it.
     """
     price = F.col("l_extendedprice") / F.col("l_quantity")
     line = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("decimal(19,0)")
@@ -69,7 +69,7 @@ def line_item_ticks(spark: SparkSession, sf_dir: str, look_back: LookBack | None
         epoch_ms(F.col("l_shipdate")).alias("timestamp"),
         price.alias("price"),
         F.col("l_quantity").cast("long").alias("volume"),
-        (line * F.lit(Decimal(10**13)) + F.floor(price * 1_000_000).cast("decimal(13,0)")).alias("seq"),
+        (line * F.lit(Decimal(10**19)) + F.floor(F.least(price, F.lit(9e12)) * 1_000_000).cast("decimal(19,0)")).alias("seq"),
     )
 
 

@@ -260,6 +260,11 @@ UNION ALL SELECT sector, scope, timestamp, avg_close, NULL FROM live""",
        row_number() OVER (
          PARTITION BY user_id % 30 ORDER BY (epoch_us(ts) // 1000) DESC, event_id DESC) AS row_num
 FROM events""",
+    "rank_line_items": """SELECT l_returnflag, epoch_us(l_shipdate) // 1000 AS timestamp, l_orderkey, l_linenumber, l_extendedprice,
+       row_number() OVER (
+         PARTITION BY l_returnflag
+         ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC) AS row_num
+FROM lineitem""",
     "last_n_strict": f"""WITH {_TICKS}
 SELECT tickerSymbol, ms AS timestamp, price, volume
 FROM (SELECT *, row_number() OVER (PARTITION BY tickerSymbol ORDER BY ms DESC, seq DESC) AS row_num FROM ticks)
@@ -394,6 +399,10 @@ deliveries AS (
 last AS (SELECT sector, tickerSymbol, start, arg_max(close, delivery) AS close FROM deliveries GROUP BY ALL)
 SELECT sector, 'streaming' AS scope, {_instant('start')} AS timestamp, {_r('avg(close)', 2)} AS avg_close
 FROM last GROUP BY sector, start""",
+    "stream_bars": f"WITH {_INTRADAY} SELECT {_bar_columns()} FROM bars",
+    "stream_scored": f"""WITH {_DAILY}, {_COEF}
+SELECT sector, tickerSymbol, timestamp, {_r(f"{_DOT} + timestamp // {DAY_MS} % 2", 6)} AS prediction
+FROM daily JOIN coef USING (sector)""",
     "stream_dedup": """SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS tickerSymbol,
        epoch_us(l_shipdate) // 1000 AS timestamp
 FROM lineitem""",

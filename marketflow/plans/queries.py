@@ -33,6 +33,7 @@ from marketflow.operators import series as S
 from marketflow.plans.batch import batch_series
 from marketflow.schema import (
     BAR_SCHEMA,
+    DAY_MS,
     ONE_STEP_ELASTIC_NET,
     SECTORS,
     small_frame,
@@ -49,6 +50,7 @@ from marketflow.sources.ticks import (
     supplier_regions,
     table,
 )
+from marketflow.streaming import bars as streamed
 from marketflow.streaming import live
 from marketflow.streaming.sources import follow_table
 
@@ -255,6 +257,15 @@ def rank_newest(spark, sf_dir):
     return R.rank_newest(ticks, ties=("event_id",))
 
 
+@query
+def rank_line_items(spark, sf_dir):
+    """The rank of every line item within its return flag: three keys hold all rows."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag", epoch_ms(F.col("l_shipdate")).alias("timestamp"), "l_orderkey", "l_linenumber", "l_extendedprice"
+    )
+    return R.rank_by_ranges(lines, ("l_returnflag",), ties=("l_orderkey", "l_linenumber", "l_extendedprice"))
+
+
 @query
 def last_n_strict(spark, sf_dir):
     """Window size 10 keeps nine ticks per ticker."""
@@ -637,6 +648,10 @@ def _stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.with_sector(bars, ticker_dimension(spark))
 
 
+def _ddl(frame: DataFrame) -> str:
+    return ", ".join(f"{name} {kind}" for name, kind in frame.dtypes)
+
+
 def _finish(streaming_query) -> None:
     streaming_query.awaitTermination()
 
@@ -689,6 +704,35 @@ def live_deduped_means(spark, sf_dir):
     return store.read_current(spark, f"{path}/store").select("sector", "scope", "timestamp", "avg_close")
 
 
+@query
+def stream_bars(spark, sf_dir):
+    """15-minute bars of the events as a stream, over several micro-batches whose ticks lie across each other."""
+    path = new_path(spark, "stream")
+    ticks = settle(event_ticks(spark, sf_dir), "ticks")
+    for part in range(3):
+        ticks.where(F.pmod(F.xxhash64("timestamp", "tickerSymbol"), F.lit(3)) == part).write.mode("append").parquet(f"{path}/ticks")
+    stream = spark.readStream.schema(ticks.schema).option("maxFilesPerTrigger", 6).parquet(f"{path}/ticks")
+    bars = streamed.stream_bars(stream, 15, "minute", delay="400 days")
+    _finish(streamed.upsert_bars(bars, f"{path}/bars", f"{path}/checkpoint", compact_every=2))
+    return _rounded(streamed.read_live_bars(spark, f"{path}/bars"), 4, "vw")
+
+
+@query
+def stream_scored(spark, sf_dir):
+    """Daily bars scored as they come; between two rounds the models change."""
+    path = new_path(spark, "stream")
+    daily = _settled_daily(spark, sf_dir)
+    odd = F.floor(F.col("timestamp") / DAY_MS) % 2
+    models = _fixed_coefficients(spark)
+    for part, raised in ((0, 0.0), (1, 1.0)):
+        streamed.publish_models(models.withColumn("intercept", F.col("intercept") + raised), f"{path}/models")
+        daily.where(odd == part).write.mode("append").parquet(f"{path}/bars")
+        stream = spark.readStream.schema(daily.schema).parquet(f"{path}/bars")
+        _finish(streamed.score_stream(stream, f"{path}/models", f"{path}/out", f"{path}/checkpoint"))
+    scored = spark.read.schema(f"{_ddl(daily)}, prediction double").parquet(f"{path}/out")
+    return _rounded(scored, 6, "prediction").select("sector", "tickerSymbol", "timestamp", "prediction")
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """Line items as a stream of bars: one delivery per supplier and ship date."""

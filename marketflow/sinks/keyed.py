@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-#: snapshots whose files stay
-KEEP = 2
+#: snapshots whose files stay, the state before the first one included: a reader outlives KEEP - 1 compactions
+KEEP = 3
 BATCH, STREAM = "batch", "stream"
 
 
@@ -227,6 +227,8 @@ def compact(spark: SparkSession, path: str, layout: Layout) -> bool:
 def _vacuum(folder: Folder) -> None:
     """Delete what none of the newest snapshots needs."""
     kept = _snapshots(folder)[-KEEP:]
+    if kept[-1].number < KEEP:
+        return
     for name in folder.names("_current"):
         if name.isdigit() and int(name) < kept[0].number:
             folder.delete(f"_current/{name}")

@@ -123,7 +123,7 @@ def correct_stream(
             results.compact(batch.sparkSession, store)
 
     writer = last_deliveries(bars, delay).writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-    return _triggered(writer.foreachBatch(write), every).start()
+    return triggered(writer.foreachBatch(write), every).start()
 
 
 def losses(query: StreamingQuery) -> int:
@@ -143,7 +143,8 @@ def live_series(means: DataFrame) -> DataFrame:
     )
 
 
-def _triggered(writer, every: str | None):
+def triggered(writer, every: str | None):
+    """`None` handles what is there and ends."""
     return writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
 
 
@@ -169,7 +170,7 @@ def upsert_stream(
             results.compact(batch.sparkSession, store)
 
     writer = means.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
-    return _triggered(writer, every).start()
+    return triggered(writer, every).start()
 
 
 def memory_table(means: DataFrame, name: str, every: str | None = None) -> StreamingQuery:
@@ -177,12 +178,12 @@ def memory_table(means: DataFrame, name: str, every: str | None = None) -> Strea
     writer = (
         means.sort("sector", "timestamp").writeStream.outputMode("complete").format("memory").queryName(name)
     )
-    return _triggered(writer, every).start()
+    return triggered(writer, every).start()
 
 
 def console(frame: DataFrame, every: str | None = None, mode: str = "append") -> StreamingQuery:
     """Print every micro-batch."""
-    return _triggered(frame.writeStream.outputMode(mode).format("console"), every).start()
+    return triggered(frame.writeStream.outputMode(mode).format("console"), every).start()
 
 
 def broker_sink(
@@ -194,7 +195,7 @@ def broker_sink(
         .option("kafka.bootstrap.servers", servers)
         .option("checkpointLocation", checkpoint)
     )
-    return _triggered(writer, every).start()
+    return triggered(writer, every).start()
 
 
 def append_files(
@@ -204,7 +205,7 @@ def append_files(
     writer = frame.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return _triggered(writer, every).start()
+    return triggered(writer, every).start()
 
 
 def count_words(lines: DataFrame, path: str, checkpoint: str, every: str | None = "60 seconds") -> StreamingQuery:
@@ -214,4 +215,4 @@ def count_words(lines: DataFrame, path: str, checkpoint: str, every: str | None
         word_count(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     writer = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
-    return _triggered(writer, every).start()
+    return triggered(writer, every).start()

@@ -39,6 +39,11 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0).cast("long"))
 
 
+def apart(docs: DataFrame, *used: str) -> DataFrame:
+    """`docs` with every column but the `used` ones under a name that clashes with nothing; `toDF` takes the old names back."""
+    return docs.toDF(*[c if c in used else f"kept_{i}" for i, c in enumerate(docs.columns)])
+
+
 def is_small(df: DataFrame, max_rows: int) -> bool:
     """Whether a settled table has at most `max_rows` rows, so that it may be broadcast."""
     return df.limit(max_rows + 1).count() <= max_rows

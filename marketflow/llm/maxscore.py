@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketflow.llm.resampling import ranked
 from marketflow.session import settle
 
 #: documents of a shard, and queries that a task takes through a shard at once
@@ -181,3 +182,24 @@ def top_k(queries: DataFrame, docs: DataFrame, k: int, skip_same_id: bool = Fals
         .where(F.col("rank") <= k)
         .select("query_id", "rank", "doc_id", "score")
     )
+
+
+def top_k_rows(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
+    """The k best other rows of each row for which `is_query` holds: query_id, rank, vec_id, score.
+
+    `vectors`: vec_id, v (dense). Rows are numbered in the order of vec_id (nulls last)
+    and searched by that number, so a row that repeats an id is a row of its own, as
+    query and as result, one with a null id is found too, and only the query's own row is left out.
+    """
+    numbered = ranked(vectors.select("vec_id", "v"), [F.asc_nulls_last("vec_id"), F.asc("v")], "vectors")
+    found = top_k(
+        numbered.where(is_query).select(F.col("rank").alias("query_id"), *query_terms(F.col("v"))),
+        numbered.select(F.col("rank").alias("doc_id"), *signed_terms(F.col("v"))),
+        k,
+        skip_same_id=True,
+    )
+    found = settle(found, "found")
+    named = lambda number, name: numbered.select(F.col("rank").alias(number), F.col("vec_id").alias(name))
+    return found.withColumnsRenamed({"query_id": "q", "doc_id": "d"}).join(named("q", "query_id"), "q").join(
+        named("d", "vec_id"), "d"
+    ).select("query_id", "rank", "vec_id", "score")

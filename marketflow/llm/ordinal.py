@@ -33,8 +33,9 @@ class OrdinalModel:
 
 
 def grades_of_labels() -> Column:
-    """Ratings from the given labels: 0 poor, 1 good prose that is toxic, 2 good prose."""
-    return F.when(F.col("quality") > 0, 2 - F.greatest(F.least(F.col("toxic"), F.lit(1)), F.lit(0))).otherwise(0).cast("int")
+    """Ratings from the given labels: 0 poor, 1 good prose that is toxic, 2 good prose; none if either label is null."""
+    graded = F.when(F.col("quality") > 0, F.when(F.col("toxic") > 0, 1).otherwise(2)).otherwise(0)
+    return F.when(F.col("quality").isNotNull() & F.col("toxic").isNotNull(), graded).cast("int")
 
 
 def sampled_features(docs: DataFrame, rated: DataFrame, rows: int) -> DataFrame:

@@ -23,25 +23,10 @@ def query(function: Query) -> Query:
 @query
 def op1_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best other vectors, by integer inner product, of every fiftieth vector."""
-    rows = table(spark, sf_dir, "embeddings").where(F.col("embedding").isNotNull())
-    component = lambda x: x.cast("double")
-    finite = F.forall(
-        "embedding",
-        lambda x: x.isNotNull() & ~F.isnan(component(x)) & (F.abs(component(x)) != F.lit(float("inf"))),
-    )
-    whole = F.transform("embedding", lambda x: F.floor(256 * component(x)))
-    vectors = rows.where(finite).select("vec_id", whole.alias("v"))
-    found = maxscore.top_k(
-        vectors.where(F.col("vec_id") % 50 == 0).select(
-            F.col("vec_id").alias("query_id"), *maxscore.query_terms(F.col("v"))
-        ),
-        vectors.select(F.col("vec_id").alias("doc_id"), *maxscore.signed_terms(F.col("v"))),
-        k=5,
-        skip_same_id=True,
-    )
-    return found.select(
-        "query_id", "rank", F.col("doc_id").alias("vec_id"), F.col("score").cast("long").alias("score")
-    )
+    rows = table(spark, sf_dir, "embeddings").where(hard_negatives.is_whole(F.col("embedding")))
+    vectors = rows.select("vec_id", hard_negatives.whole_components(F.col("embedding")).alias("v"))
+    found = maxscore.top_k_rows(vectors, F.col("vec_id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
 
 
 @query
@@ -208,7 +193,7 @@ item_words AS (
 d AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS p FROM doc_words),
 i AS (
   SELECT item_id, len(ws) AS l, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS q
-  FROM item_words WHERE len(ws) >= 5
+  FROM item_words WHERE len(ws) >= 1
 ),
 same AS (
   SELECT doc_id, item_id, l, n, p - q AS shift, list(q ORDER BY q) AS qs
@@ -279,15 +264,15 @@ FROM reach JOIN sizes USING (doc_id) GROUP BY doc_id, n
 
 ORACLES["op1_maxscore"] = """
 WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 scored AS (
-  SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
-  FROM vectors q JOIN vectors d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id
+  SELECT q.r, q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+  FROM vectors q JOIN vectors d ON q.vec_id % 50 = 0 AND d.r <> q.r
 )
 SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score FROM scored
-WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+WINDOW best AS (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST)
 QUALIFY row_number() OVER best <= 5
 """
 

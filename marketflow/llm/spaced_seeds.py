@@ -10,15 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import broadcast_if_small, text_key
+from marketflow.llm.common import apart, broadcast_if_small, text_key
 from marketflow.session import settle
 
 #: fixed values: any 13 aligned tokens with at most 2 replaced ones hold one of these masks untouched
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
 #: tokens of an aligned window, and how many of them must be equal (0.8 of it, rounded up)
 WINDOW, AGREE = 13, 11
-#: items with fewer tokens say too little to convict a text
-LEAST_TOKENS = 5
 #: rows of seeds (24 bytes each) and of items that may be broadcast; beyond it the join is a shuffle
 BROADCAST_ROWS = 1_000_000
 
@@ -67,13 +65,14 @@ def _agreeing_window(equal: Column, window: int, agree: int) -> Column:
     return whole | ((F.size(zeros) > spare) & stretch)
 
 
-def contaminations(docs: DataFrame, tests: DataFrame, id_column: str = "doc_id") -> DataFrame:
+def contaminations(docs: DataFrame, tests: DataFrame, id_column: str = "doc_id", least_tokens: int = 1) -> DataFrame:
     """One row per training id and test item that overlap, with the best alignment.
 
     Tokens are runs of letters, marks and digits in lower case. A text overlaps an item
     of 13 tokens or more if some 13 aligned neighbours have at least 11 equal tokens,
-    replaced tokens included; the two masks find every such window. An item of 5 to 12
-    tokens must occur whole. Items with fewer tokens, null and empty texts overlap with
+    replaced tokens included; the two masks find every such window. An item of fewer
+    tokens must occur whole. Items without tokens, or with less than `least_tokens` if a
+    caller finds that too little to convict a text, and null and empty texts overlap with
     nothing. Repeated rows share the row of their id, and rows with a null id that of
     null; items that share an `item_id` count as variants of one.
 
@@ -88,12 +87,12 @@ def contaminations(docs: DataFrame, tests: DataFrame, id_column: str = "doc_id")
     items = settle(
         tests.select(
             "item_id", token_hashes(F.col("text")).alias("__item"), F.monotonically_increasing_id().alias("__number")
-        ).where(F.size("__item") >= LEAST_TOKENS),
+        ).where(F.size("__item") >= max(least_tokens, 1)),
         "items",
     )
     counts = items.select(F.size("__item").alias("n"))
-    longest = counts.agg(F.max("n")).first()[0] or LEAST_TOKENS
-    short = counts.where(F.col("n") < WINDOW).distinct().orderBy("n").collect()  # 8 values at most
+    longest = counts.agg(F.max("n")).first()[0] or 1
+    short = counts.where(F.col("n") < WINDOW).distinct().orderBy("n").collect()  # 12 values at most
     lengths = [row["n"] for row in short]
 
     whole = F.col("__mask") >= len(MASKS)
@@ -153,13 +152,14 @@ def contaminations(docs: DataFrame, tests: DataFrame, id_column: str = "doc_id")
     )
 
 
-def decontaminate(docs: DataFrame, tests: DataFrame) -> DataFrame:
+def decontaminate(docs: DataFrame, tests: DataFrame, least_tokens: int = 1) -> DataFrame:
     """The rows of `docs` whose text overlaps with no test item, all columns as they were.
 
     Rows are told apart by their text, so null and repeated ids are no trouble; equal
-    texts go or stay together. No column but `text` is looked at; `__key` is reserved.
+    texts go or stay together. No column but `text` is looked at; the others may have any name.
     """
+    names, docs = docs.columns, apart(docs, "text")
     keyed = docs.withColumn("__key", text_key(F.col("text")))
-    found = contaminations(keyed.select("__key", "text"), tests, id_column="__key")
+    found = contaminations(keyed.select("__key", "text"), tests, "__key", least_tokens)
     leaks = settle(found.select("__key").distinct(), "leaks")
-    return keyed.join(broadcast_if_small(leaks, BROADCAST_ROWS), "__key", "left_anti").select(*docs.columns)
+    return keyed.join(broadcast_if_small(leaks, BROADCAST_ROWS), "__key", "left_anti").select(*docs.columns).toDF(*names)

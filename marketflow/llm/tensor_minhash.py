@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import broadcast_if_small, text_key, words
+from marketflow.llm.common import apart, broadcast_if_small, text_key, words
 from marketflow.llm.components import components
 from marketflow.session import settle
 
@@ -315,11 +315,12 @@ def near_duplicates(
 def keep_one_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """`docs` with one row of each near-duplicate class: the smallest doc_id (nulls last), then the first row stored.
 
-    All columns stay as they were. Rows with blank texts are all kept.
+    All columns stay as they were, whatever their names. Rows with blank texts are all kept.
     """
+    names, docs = docs.columns, apart(docs, "doc_id", "text")
     classes, numbered = near_duplicates(docs, size, percent)
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row")
     chosen = classes.groupBy("label").agg(F.min(order).alias("first")).select(F.col("first.row").alias("row"))
     dropped = settle(classes.select("row").join(chosen, "row", "left_anti"), "dropped")
     kept = numbered.join(broadcast_if_small(dropped, BROADCAST_ROWS), "row", "left_anti")
-    return kept.select(*docs.columns)
+    return kept.select(*docs.columns).toDF(*names)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketflow.llm.common import WORD, fold
+from marketflow.llm.common import WORD, apart, fold
 from marketflow.llm.linear import fit_logistic, sigmoid
 from marketflow.session import settle
 
@@ -34,7 +34,9 @@ READINGS = {
 #: other signs as noise; a mark for any letter; a run read as one or two letters; joined single letters
 READ, NOISE, EDGE_NOISE, EDGE_DIGIT, SIGN, ANY, ONCE, TWICE, JOIN = 0.7, 12.0, 0.6, 8.0, 0.3, 2.0, 0.5, 1.0, 1.0
 LETTERS = 28  # the end of a word, a to z, any other letter
-WORDS_KEPT = 200_000
+WORDS_KEPT = 20_000
+#: longer tokens keep this many readings a position
+EXACT, BEAM = 64, 32
 
 #: rows of labels and features of the model, by which the fit is bounded
 SAMPLE_ROWS, MODEL_FEATURES = 20_000, 4096
@@ -126,23 +128,42 @@ class CharacterModel:
         else:
             yield end, "", EDGE_NOISE if edge else SIGN
 
-    def decode(self, token: str) -> tuple[str, float]:
-        """The best reading of a token and its score."""
-        ahead: list[dict] = [{} for _ in range(len(token) + 1)]
-        ahead[0][(0, 0)] = (0.0, "")
+    def decode(self, token: str, parts: bool = False) -> tuple[str, float]:
+        """The best reading of a token and its score; with `parts`, of single letters that may be several words.
+
+        The best way into every (position, last two letters) is kept with the step that
+        led there. Tokens of up to `EXACT` signs are decoded exactly, of any more the `BEAM`
+        best ways go on from each position, so the work grows with the length alone.
+        """
+        logs, ways = self.logs, [{} for _ in range(len(token) + 1)]
+        ways[0][(0, 0)] = (0.0, None, "")
         for at in range(len(token)):
-            for (a, b), (score, read) in ahead[at].items():
+            here = ways[at]
+            if len(token) > EXACT and len(here) > BEAM:
+                here = ways[at] = dict(sorted(here.items(), key=lambda w: -w[1][0])[:BEAM])
+            for (a, b), (score, _, _) in here.items():
                 for end, letters, cost in self.arcs(token, at):
                     x, y, total = a, b, score - cost
                     for letter in letters:
                         c = _code(letter)
-                        total += self.logs[x][y][c]
+                        total += logs[x][y][c]
                         x, y = y, c
-                    old = ahead[end].get((x, y))
+                    ahead = ways[end]
+                    old = ahead.get((x, y))
                     if old is None or total > old[0]:
-                        ahead[end][(x, y)] = (total, read + letters)
-        score, read = max((total + self.logs[a][b][0], read) for (a, b), (total, read) in ahead[-1].items())
-        return read, score
+                        ahead[(x, y)] = (total, (at, a, b), letters)
+                    if parts and y and end < len(token):  # a word may end here
+                        total += logs[x][y][0]
+                        old = ahead.get((0, 0))
+                        if old is None or total > old[0]:
+                            ahead[(0, 0)] = (total, (at, a, b), letters + " ")
+        last = max(ways[-1].items(), key=lambda w: w[1][0] + logs[w[0][0]][w[0][1]][0])
+        (a, b), (score, step, letters) = last
+        score, read = score + logs[a][b][0], [letters]
+        while step is not None:
+            _, step, letters = ways[step[0]][step[1:]]
+            read.append(letters)
+        return "".join(reversed(read)), score
 
 
 def _plain(token: str) -> bool:
@@ -168,8 +189,6 @@ class Restorer:
             token = token[:-1]
         if not token or _plain(token) or not any(c.isalpha() for c in token):
             return token
-        if len(token) > 64:  # no disguised word is that long; such a token is judged by its parts
-            return " ".join(map(self.token, (token[i : i + 64] for i in range(0, len(token), 64))))
         return self.model.decode(token)[0]
 
     def words(self, text: str | None) -> list[str]:
@@ -188,12 +207,12 @@ class Restorer:
         return restored + self._joined(singles)
 
     def _joined(self, singles: list[str]) -> list[str]:
-        """Single letters in a row: one word if the models like that better."""
-        if len(singles) < 3 or len(singles) > 64 or not any(c.isalpha() for c in singles):
+        """Single letters in a row, however many: the words they spell if the models like that better."""
+        if len(singles) < 3 or not any(c.isalpha() for c in singles):
             return singles
-        read, score = self.model.decode("".join(singles))
+        read, score = self.model.decode("".join(singles), parts=True)
         apart = sum(self.model.word(c) if c.isalpha() else -READ for c in singles)
-        return [read] if score - JOIN > apart else singles
+        return read.split() if score - JOIN > apart else singles
 
 
 def _features(word: str) -> list[int]:
@@ -234,22 +253,22 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1) -
     chosen = settle(chosen, "labels")
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
-    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         restorer = Restorer(CharacterModel(counts))
         for batch in batches:
             for doc_id, text, label in zip(batch["doc_id"], batch["text"], batch["label"]):
                 found = {f for word in set(restorer.words(text)) for f in _features(word)}
-                yield pd.DataFrame({"doc_id": doc_id, "label": label, "feature": np.array(sorted(found), np.int64)})
+                yield pd.DataFrame({"doc_id": [doc_id], "label": [label], "features": [np.array(sorted(found), np.int64)]})
 
     held = settle(
-        sample.select("doc_id", "text", "label").mapInPandas(explode, "doc_id long, label int, feature long"), "features"
+        sample.select("doc_id", "text", "label").mapInPandas(features, "doc_id long, label int, features array<long>"), "features"
     )
     totals = {r["label"]: r["n"] for r in chosen.groupBy("label").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
     if not bad or not good:
         share = bad / (bad + good) if bad + good else 0.5
         return ToxicityModel(counts, {}, float(np.log(max(share, 1e-3) / max(1 - share, 1e-3))))
-    by_feature = held.groupBy("feature").agg(
+    by_feature = held.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(
         F.sum("label").alias("in_bad"), F.sum(1 - F.col("label")).alias("in_good")
     )
     # G statistic of the feature against the label: what chance alone would hardly give
@@ -270,8 +289,16 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1) -
         .limit(MODEL_FEATURES)
         .select("feature")
     )
-    picked = settle(picked, "picked")
-    rows = held.join(F.broadcast(picked), "feature").groupBy("doc_id", "label").agg(F.collect_list("feature").alias("has"))
+    wanted = np.array(sorted(r["feature"] for r in picked.collect()), np.int64)  # MODEL_FEATURES at most
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(features=[np.intersect1d(f, wanted) for f in batch["features"]])
+
+    # rows that repeat an id are one example; their number is bounded by that of the labels
+    rows = held.mapInPandas(cut, held.schema).groupBy("doc_id", "label").agg(
+        F.array_distinct(F.flatten(F.collect_list("features"))).alias("has")
+    )
     rows = chosen.join(rows.select("doc_id", "has"), "doc_id", "left").orderBy("doc_id")
 
     def train(frame: pd.DataFrame) -> pd.DataFrame:
@@ -288,6 +315,12 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1) -
     return ToxicityModel(counts, {f: w for f, w in weights.items() if f >= 0}, weights.get(-1, 0.0))
 
 
+def clean(docs: DataFrame, model: ToxicityModel, below: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs` that score below a threshold, with all their columns as they were, whatever their names."""
+    scored = score(apart(docs, "text"), model)
+    return scored.where(F.col("toxicity") < below).drop("toxicity").toDF(*docs.columns)
+
+
 def score(docs: DataFrame, model: ToxicityModel, restored: bool = False) -> DataFrame:
     """`docs` with `toxicity` (0 to 1) and, if asked for, the `restored` text.
 

@@ -8,9 +8,11 @@ import numpy as np
 import xxhash
 
 from marketflow.llm.common import words
+from marketflow.llm.lempel_ziv import Rolling
+from marketflow.llm.spans import NOT_BLANK, word_spans
 
 BITS = 16
-WORDS_KEPT = 200_000
+WORDS_KEPT = 20_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -46,3 +48,27 @@ def hashed(text: str | None, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
     numbers, counts = np.unique(np.concatenate([pairs.ravel(), np.array(extra, np.int64)]), return_counts=True)
     values = np.sqrt(counts)
     return numbers, values / np.sqrt((values**2).sum())
+
+
+_CODES = np.random.default_rng(17).integers(0, 2**63, 256, dtype=np.uint64)
+
+
+def hashed_rows(data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> tuple[np.ndarray, ...]:
+    """(row of each entry, feature numbers, values, words of each row) of many lower-cased texts at once.
+
+    The same features as `hashed` gives each text; a word is looked up once for all its
+    occurrences, which are told by 64-bit hashes.
+    """
+    starts, ends, rows = word_spans(data, offsets, NOT_BLANK)
+    n = np.bincount(rows, minlength=len(offsets) - 1)
+    hashes = Rolling(_CODES[data]).spans(starts, ends) ^ (ends - starts).astype(np.uint64)
+    _, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
+    texts = (data[a:b].tobytes().decode("utf-8", "surrogatepass") for a, b in zip(starts[first].tolist(), ends[first].tolist()))
+    pairs = np.array([hasher[w] for w in texts], np.int64).reshape(-1, 2)
+    again = rows[1:][(kind[1:] == kind[:-1]) & (rows[1:] == rows[:-1])]
+    size = (1 << 20) + np.minimum(np.frexp(n.astype(float))[1], 20) & hasher.mask
+    at = np.concatenate([np.repeat(rows, 2), np.arange(len(n)), again])
+    numbers = np.concatenate([pairs[kind].ravel(), size, np.full(len(again), hasher.mask)])
+    cells, counts = np.unique(at * (hasher.mask + 1) + numbers, return_counts=True)
+    at, numbers = cells // (hasher.mask + 1), cells & hasher.mask
+    return at, numbers, np.sqrt(counts / np.bincount(at, counts, len(n))[at]), n

@@ -7,25 +7,30 @@ expected token totals of the domains match their targets.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import words
-from marketflow.llm.features import BITS, Hasher, hashed
+from marketflow.llm.common import apart
+from marketflow.llm.features import BITS, Hasher, hashed_rows
 from marketflow.llm.linear import fit_softmax, softmax
 from marketflow.llm.ordinal import entries, sampled_features
+from marketflow.llm.spans import LOWER, flat, row_slices
 from marketflow.session import settle
 
 #: labelled rows the classifier is fitted on, at most
 SAMPLE_ROWS = 12_000
 #: domains told by the given labels: good prose, toxic text, poor text
 DOMAINS = ("prose", "toxic", "poor")
-#: largest miss of a domain's share of all tokens, and steps until the fit stops anyway
-TOLERANCE, STEPS = 1e-4, 60
+#: largest miss of a domain's share of all tokens; share of the squared misses by which a fit that can't meet them may be off
+TOLERANCE, PROVEN = 1e-4, 1e-2
+
+log = logging.getLogger(__name__)
 
 
 def domain_of_labels() -> Column:
@@ -54,22 +59,23 @@ def memberships(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """`row`, `doc_id`, `tokens` (words of the whole text) and `p0`, `p1`, ... (they sum to 1) per row of `docs` (row, doc_id, text)."""
     domains = weights.shape[1]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
-            margin, tokens = np.zeros((len(batch), domains)), []
-            for k, text in enumerate(batch["text"]):
-                numbers, values = hashed(text, hasher)
-                margin[k] = values @ weights[numbers] + weights[-1]
-                tokens.append(len(words(text)))
-            hasher.trim()
-            p = softmax(margin) if len(batch) else margin
-            yield pd.DataFrame(
-                {"row": batch["row"], "doc_id": batch["doc_id"], "tokens": tokens, **{f"p{d}": p[:, d] for d in range(domains)}}
-            )
+            data, offsets = flat(batch.column("text"))
+            for first, last in row_slices(offsets):
+                at, numbers, values, tokens = hashed_rows(
+                    LOWER[data[offsets[first] : offsets[last]]], offsets[first : last + 1] - offsets[first], hasher
+                )
+                hasher.trim()
+                margin = [np.bincount(at, weights[numbers, d] * values, last - first) + weights[-1, d] for d in range(domains)]
+                columns = [batch.column(c).slice(first, last - first) for c in ("row", "doc_id")]
+                columns += [pa.array(tokens, pa.int64()), *map(pa.array, softmax(np.stack(margin, 1)).T.copy())]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "tokens", *[f"p{d}" for d in range(domains)]])
 
     schema = "row long, doc_id long, tokens long, " + ", ".join(f"p{d} double" for d in range(domains))
-    return docs.select("row", "doc_id", "text").mapInPandas(run, schema)
+    given = docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    return given.mapInArrow(run, schema)
 
 
 def _advance(p: np.ndarray, history: list[np.ndarray], least: float, most: float) -> np.ndarray:
@@ -93,13 +99,17 @@ def fit_rates(
     squared misses of the expected token totals over rates between `least` and `most`,
     from rates of 1, by projected gradient: each step goes against the gradient, scaled
     by the curvature of the rows whose rates are free to move, and is projected onto the
-    bounds. A scaled step that does not improve the fit is halved, and where halving
-    does not help, plain gradient steps finish; so the fit never gets worse. The totals
-    aimed at are `targets` times `budget` times all tokens; by default `budget` is 1 or,
-    where rates may not fall below 1, just what lets every domain with a positive target
-    reach it without shrinking, 4 at most.
+    bounds. Every pass tries the scaled step, parts of it and the plain one, and takes the best,
+    so the fit never gets worse. The totals aimed at are `targets` times `budget` times
+    all tokens; by default `budget` is 1 or, where rates may not fall below 1, just what
+    lets every domain with a positive target reach it without shrinking, `most` at most.
 
-    Every step is one aggregation over all rows that brings a few numbers per pair of
+    It ends when the targets are met to `TOLERANCE`, or when the fit is proven to be the
+    best that the bounds allow: the gradient tells how much any other rates could gain,
+    as the misses are convex, and that is below `PROVEN` of what is left. The shares
+    reached are returned, and told in the log if they miss the targets.
+
+    Every pass is one aggregation over all rows that brings a few numbers per pair of
     domains to the driver. A table without tokens keeps its rates at 1 (within the bounds).
     """
     domains, goal = len(targets), np.array(targets, float) / max(sum(targets), 1e-12)
@@ -107,51 +117,58 @@ def fit_rates(
     every = int(held.agg(F.sum("tokens")).first()[0] or 0)
     if not every:
         return [], np.zeros(domains)
-    cells = [f"c{k}" for k in range(domains + 2 * domains**2)]
+    square = domains * domains
 
-    def measured(history: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Shares reached, and the curvature of the free rows and of all."""
+    def measured(history: list[np.ndarray], steps: list[np.ndarray], slope: np.ndarray) -> tuple[list, float, np.ndarray]:
+        """Shares and free curvature after each step; the gain still possible from `history`; the curvature of all rows."""
+        cells = [f"c{k}" for k in range(len(steps) * (domains + square) + 1 + square)]
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             total = np.zeros(len(cells))
             for batch in batches:
                 p, weight = batch[columns].to_numpy(), batch["tokens"].to_numpy() / every
-                rate = _advance(p, history, least, most)
-                free = (rate > least) & (rate < most)
-                curves = (p * (weight * free)[:, None]).T @ p, (p * weight[:, None]).T @ p
-                total += np.concatenate([(rate * weight) @ p, *[c.ravel() for c in curves]])
+                now, found = _advance(p, history, least, most), []
+                for step in steps:
+                    rate = np.clip(now - p @ step, least, most)
+                    free = (rate > least) & (rate < most)
+                    found += [(rate * weight) @ p, ((p * (weight * free)[:, None]).T @ p).ravel()]
+                down = p @ slope
+                gap = weight @ np.where(down > 0, down * (now - least), down * (now - most))
+                total += np.concatenate([*found, [gap], ((p * weight[:, None]).T @ p).ravel()])
             yield pd.DataFrame([total], columns=cells)
 
         parts = held.select("tokens", *columns).mapInPandas(run, ", ".join(f"{c} double" for c in cells))
-        found = np.array(parts.agg(*[F.sum(c) for c in cells]).first(), float)
-        square = domains * domains
-        free, full = found[domains : domains + square], found[domains + square :]
-        return found[:domains], free.reshape(domains, domains), full.reshape(domains, domains)
+        got = np.array(parts.agg(*[F.sum(c) for c in cells]).first(), float)
+        each = got[: len(steps) * (domains + square)].reshape(len(steps), domains + square)
+        return [(x[:domains], x[domains:].reshape(domains, domains)) for x in each], got[-1 - square], got[-square:].reshape(domains, domains)
 
     history: list[np.ndarray] = []
-    at, free, full = measured(history)
+    still = np.zeros(domains)
+    [(at, free)], _, full = measured(history, [still], still)
     if budget is None:
-        budget = 1.0 if least < 1 else min(4.0, max(1.0, *(s / g for s, g in zip(at, goal) if g > 0)))
+        budget = 1.0 if least < 1 else min(most, max(1.0, *(s / g for s, g in zip(at, goal) if g > 0)))
     goal = goal * budget
-    scale, plain = 1.0, False
     longest = float(np.linalg.eigvalsh(full)[-1])
-    for _ in range(STEPS):
+    ridge = 1e-6 * max(np.trace(full), 1e-9) * np.eye(domains)
+    while True:
         miss = at - goal
+        left = float((miss**2).sum())
         if np.abs(miss).max() <= TOLERANCE:
             break
-        ridge = 1e-6 * max(np.trace(full), 1e-9) * np.eye(domains)
         curve = free if np.trace(free) > 1e-9 else full
-        step = miss / longest if plain else scale * np.linalg.solve(curve + ridge, miss)
-        new, new_free, _ = measured([*history, step])
-        gain = float((miss**2).sum() - ((new - goal) ** 2).sum())
-        if gain > 1e-3 * float((miss**2).sum()):
-            history, at, free, scale = [*history, step], new, new_free, min(1.0, 2 * scale)
-        elif plain:  # the bounds forbid a better fit
+        scaled = np.linalg.solve(curve + ridge, miss)
+        steps = [scaled * part for part in (1.0, 0.5, 0.25, 0.1, 0.02)] + [miss / longest]
+        tried, gap, _ = measured(history, steps, miss)
+        # half the squared misses can't fall by more than the gap
+        if 2 * gap <= PROVEN * left:
+            log.warning("the bounds keep the shares from their targets: reached %s of %s", at.round(5).tolist(), goal.round(5).tolist())
+            break
+        best = min(range(len(steps)), key=lambda k: float(((tried[k][0] - goal) ** 2).sum()))
+        if float(((tried[best][0] - goal) ** 2).sum()) >= left:  # nothing above rounding is to be gained
+            log.warning("the fit ends by rounding: reached %s of %s", at.round(5).tolist(), goal.round(5).tolist())
             break
-        elif scale > 0.1:
-            scale /= 2
-        else:
-            plain = True
+        history.append(steps[best])
+        at, free = tried[best]
     return history, at
 
 
@@ -193,7 +210,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: list[float], least: float
     than `doc_id` and `text` may have any name: they are renamed in between.
     """
     names = docs.columns
-    docs = docs.toDF(*[c if c in ("doc_id", "text") else f"kept_{i}" for i, c in enumerate(names)])
+    docs = apart(docs, "doc_id", "text")
     rated, numbered = rates(docs, labelled, targets, least, most)
     often = settle(rated.where("copies <> 1").select("row", "copies"), "copies")
     counted = numbered.join(often, "row", "left")

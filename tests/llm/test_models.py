@@ -197,3 +197,72 @@ def test_pipeline_stages_work_on_what_is_left(spark):
     items = spark.read.parquet(f"{folder}/benchmark.parquet").collect()
     assert not any(leaked(t, x["text"]) for _, t in rows for x in items)
     assert done.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 5
+
+
+@pytest.mark.parametrize("length", [40, 474, 5000])
+def test_letters_in_a_row_are_read_whatever_their_number(spark, length):
+    docs, labels = toxic_frames(spark)
+    model = deobfuscation.fit(docs, labels)
+    spelled = " ".join("grumpfish" if k == length // 2 else GOOD[k % len(GOOD)] for k in range(length // 5))
+    if length < 400:
+        spelled = "meet a grumpfish and sing"
+    else:
+        spelled += " grumpfish"
+    frame = spark.createDataFrame([(1, " ".join(spelled.replace(" ", ""))), (2, "x" + spelled.replace(" ", "-") + "!")], "doc_id long, text string")
+    rows = deobfuscation.score(frame, model, restored=True).orderBy("doc_id").collect()
+    # the ends of words are found too
+    assert "grumpfish" in rows[0]["restored"].split() and rows[0]["toxicity"] >= 0.7
+    assert "grumpfish" in rows[1]["restored"]
+
+
+def test_texts_hashed_together_equal_texts_hashed_alone(messy):
+    import pyarrow as pa
+
+    from marketflow.llm import features, spans
+
+    texts = [r.text for r in messy.collect()] + ["a a a b", "Ünïcode ünïcode X9 x9 x9"]
+    data, offsets = spans.flat(pa.array(texts, pa.string()))
+    hasher = features.Hasher()
+    at, numbers, values, n = features.hashed_rows(spans.LOWER[data], offsets, hasher)
+    for k, text in enumerate(texts):
+        alone = features.hashed(text, features.Hasher())
+        assert numbers[at == k].tolist() == alone[0].tolist() and values[at == k] == pytest.approx(alone[1])
+        assert n[k] == len(words(text))
+
+
+def test_rates_end_where_nothing_can_be_gained(spark, caplog):
+    r = np.random.default_rng(6)
+    p = r.dirichlet([0.5, 0.2, 0.3], 400)
+    rows = [(i, i, 10, *map(float, q)) for i, q in enumerate(p)]
+    held = spark.createDataFrame(rows, "row long, doc_id long, tokens long, p0 double, p1 double, p2 double")
+    _, reached = mixing.fit_rates(held, [0.92, 0.0, 0.08], 1.0, 4.0)
+    assert "keep the shares from their targets" in caplog.text and (reached >= p.mean(0) - 1e-9).all()
+
+
+def test_ratings_need_both_labels(spark):
+    rows = [(1, 1, 0), (2, 1, 1), (3, 0, 1), (4, 1, None), (5, None, 1), (6, 0, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+    assert [x[0] for x in frame.select(ordinal.grades_of_labels()).collect()] == [2, 1, 0, None, None, None]
+
+
+CLASHING = {"lang": "toxicity", "row": "restored", "label": "row", "key": "__key", "tokens": "kept_0"}
+
+
+def test_stages_keep_all_values_of_columns_of_any_name(spark, messy, label_frame):
+    from marketflow.llm import spaced_seeds, tensor_minhash
+
+    docs = messy.withColumnsRenamed(CLASHING)
+    docs = docs.withColumn("row", F.monotonically_increasing_id() * 7 + 100)
+    given = {str(r) for r in docs.collect()}
+    model = deobfuscation.fit(docs, label_frame)
+    tests = spark.createDataFrame([(1, "no such passage of the benchmark is in any of the given texts at all")], "item_id long, text string")
+    labelled = label_frame.select("doc_id", mixing.domain_of_labels().alias("label"))
+    for kept in (
+        deobfuscation.clean(docs, model, below=2.0),
+        tensor_minhash.keep_one_each(docs),
+        spaced_seeds.decontaminate(docs, tests),
+        mixing.mix(docs, labelled, [0.6, 0.2, 0.2]),
+    ):
+        assert kept.columns == docs.columns
+        rows = {str(r) for r in kept.collect()}
+        assert rows and rows <= given

@@ -146,3 +146,12 @@ def test_whole_stream_and_members_parse_alike():
     with pytest.raises(EOFError):
         list(warc.records_of(io.BytesIO(gzip.compress(b"".join(records))[:-2000])))
     assert hashlib.sha1(b"").hexdigest()[:4] == "da39"
+
+
+def test_rows_are_told_apart_by_row_not_by_id(spark):
+    rows = [(0, [2.0, 1.0]), (0, [2.0, 1.0]), (1, [3.0, 0.0]), (2, [0.0, -1.0]), (None, [9.0, 9.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, v array<double>")
+    found = sorted(map(tuple, maxscore.top_k_rows(vectors, F.col("vec_id") == 0, 3).collect()), key=str)
+    # each of the two rows finds the other, and the row without an id
+    assert found == sorted([(0, 1, None, 27.0), (0, 2, 1, 6.0), (0, 3, 0, 5.0)] * 2, key=str)
+    assert maxscore.top_k_rows(vectors.where("vec_id > 9"), F.col("vec_id") == 0, 3).count() == 0

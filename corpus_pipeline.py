@@ -7,7 +7,6 @@ kept. All but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from marketflow.llm import deobfuscation, mixing, spaced_seeds, splitters, tensor_minhash
 from marketflow.llm.common import table
@@ -21,8 +20,7 @@ TARGETS = [0.92, 0.0, 0.08]
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose restored text scores below the threshold; the labels of all ids may be learnt from."""
     model = deobfuscation.fit(docs, table(spark, sf_dir, "labels"), folds=1, held_out=1)
-    scored = deobfuscation.score(docs, model)
-    return scored.where(F.col("toxicity") < deobfuscation.THRESHOLD).select(*docs.columns)
+    return deobfuscation.clean(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

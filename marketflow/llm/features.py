@@ -16,11 +16,34 @@ WORDS_KEPT = 20_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+#: words of a to z with signs of ASCII around them, whose core and shape need no search
+PLAIN = re.compile(rb"([^a-z0-9\x80-\xff]*)([a-z]+)([^a-z0-9\x80-\xff]*)\Z")
+
+
 class Hasher(dict):
     """Feature numbers of a word, kept for a bounded number of words (see `trim`)."""
 
     def __init__(self, bits: int = BITS):
         self.mask = (1 << bits) - 1
+        self.shapes: dict[tuple[bytes, bytes], int] = {}
+
+    def of(self, word: bytes) -> tuple[int, int]:
+        """The same numbers from a word's bytes."""
+        if word.isalpha():
+            return xxhash.xxh32_intdigest(b"w" + word) & self.mask, self._shape(b"", b"")
+        plain = PLAIN.match(word)
+        if plain:
+            before, core, after = plain.groups()
+            return xxhash.xxh32_intdigest(b"w" + core) & self.mask, self._shape(before, after)
+        return self[word.decode("utf-8", "surrogatepass")]
+
+    def _shape(self, before: bytes, after: bytes) -> int:
+        number = self.shapes.get((before, after))
+        if number is None:
+            if len(self.shapes) > WORDS_KEPT:
+                self.shapes.clear()
+            number = self.shapes[before, after] = xxhash.xxh32_intdigest(b"s" + (before + b"a" + after)[:12]) & self.mask
+        return number
 
     def __missing__(self, word: str) -> tuple[int, int]:
         number = lambda text: xxhash.xxh32_intdigest(text.encode("utf-8", "surrogatepass")) & self.mask
@@ -63,8 +86,9 @@ def hashed_rows(data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> tuple[
     n = np.bincount(rows, minlength=len(offsets) - 1)
     hashes = Rolling(_CODES[data]).spans(starts, ends) ^ (ends - starts).astype(np.uint64)
     _, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
-    texts = (data[a:b].tobytes().decode("utf-8", "surrogatepass") for a, b in zip(starts[first].tolist(), ends[first].tolist()))
-    pairs = np.array([hasher[w] for w in texts], np.int64).reshape(-1, 2)
+    raw, of = data.tobytes(), hasher.of
+    found = [of(raw[a:b]) for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+    pairs = np.array(found, np.int64).reshape(-1, 2)
     again = rows[1:][(kind[1:] == kind[:-1]) & (rows[1:] == rows[:-1])]
     size = (1 << 20) + np.minimum(np.frexp(n.astype(float))[1], 20) & hasher.mask
     at = np.concatenate([np.repeat(rows, 2), np.arange(len(n)), again])

@@ -78,36 +78,26 @@ def memberships(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     return given.mapInArrow(run, schema)
 
 
-def _advance(p: np.ndarray, history: list[np.ndarray], least: float, most: float) -> np.ndarray:
-    """Rates after the projected steps so far.
-
-    A document's rate depends on its memberships and on the steps in the domains alone,
-    so it is replayed instead of stored: no state per document travels.
-    """
-    rate = np.clip(np.ones(len(p)), least, most)
-    for step in history:
-        rate = np.clip(rate - p @ step, least, most)
-    return rate
-
-
 def fit_rates(
     held: DataFrame, targets: list[float], least: float = 0.0, most: float = 16.0, budget: float | None = None
-) -> tuple[list[np.ndarray], np.ndarray]:
-    """The steps that lead to the rates (for `apply_rates`) and the shares of tokens they reach.
+) -> tuple[np.ndarray, np.ndarray]:
+    """The step in the domains that leads to the rates (for `apply_rates`) and the shares of tokens they reach.
 
     `held`: settled memberships. `targets`: a weight per domain, of sum 1. Minimises the
-    squared misses of the expected token totals over rates between `least` and `most`,
-    from rates of 1, by projected gradient: each step goes against the gradient, scaled
-    by the curvature of the rows whose rates are free to move, and is projected onto the
-    bounds. Every pass tries the scaled step, parts of it and the plain one, and takes the best,
-    so the fit never gets worse. The totals aimed at are `targets` times `budget` times
-    all tokens; by default `budget` is 1 or, where rates may not fall below 1, just what
-    lets every domain with a positive target reach it without shrinking, `most` at most.
-
-    It ends when the targets are met to `TOLERANCE`, or when the fit is proven to be the
-    best that the bounds allow: the gradient tells how much any other rates could gain,
-    as the misses are convex, and that is below `PROVEN` of what is left. The shares
-    reached are returned, and told in the log if they miss the targets.
+    squared misses of the expected token totals over rates between `least` and `most`
+    by projected gradient: a document's rate is 1 less its memberships times the
+    gradient steps summed so far, projected onto the bounds, so no state per document
+    travels. A step is scaled by the curvature of the rows whose rates are free to move;
+    every pass tries it, parts of it and the plain one, and takes the best. Of all rates that fit,
+    those nearest to 1 are found: `w (rate - 1)**2` is added to the misses with a weight
+    that falls tenfold each time its optimum is reached. The totals aimed at are `targets`
+    times `budget` times all tokens; by default `budget` is 1 or, where rates may not fall
+    below 1, just what lets every domain with a positive target reach it without
+    shrinking, `most` at most.
+
+    It ends when the targets are met to `TOLERANCE`, or when the weight left is too
+    small to hide more than `PROVEN` of the squared misses: then the bounds forbid a better fit,
+    which the log tells together with the shares reached.
 
     Every pass is one aggregation over all rows that brings a few numbers per pair of
     domains to the driver. A table without tokens keeps its rates at 1 (within the bounds).
@@ -116,72 +106,63 @@ def fit_rates(
     columns = [f"p{d}" for d in range(domains)]
     every = int(held.agg(F.sum("tokens")).first()[0] or 0)
     if not every:
-        return [], np.zeros(domains)
-    square = domains * domains
+        return np.zeros(domains), np.zeros(domains)
+    each = 1 + domains + 2 * domains * domains
 
-    def measured(history: list[np.ndarray], steps: list[np.ndarray], slope: np.ndarray) -> tuple[list, float, np.ndarray]:
-        """Shares and free curvature after each step; the gain still possible from `history`; the curvature of all rows."""
-        cells = [f"c{k}" for k in range(len(steps) * (domains + square) + 1 + square)]
+    def measured(totals: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each sum of steps: distance of the rates from 1 with their linear part, shares, curvature of free rows and of all."""
+        cells = [f"c{k}" for k in range(len(totals) * each)]
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            total = np.zeros(len(cells))
+            sums = np.zeros((len(totals), each))
             for batch in batches:
                 p, weight = batch[columns].to_numpy(), batch["tokens"].to_numpy() / every
-                now, found = _advance(p, history, least, most), []
-                for step in steps:
-                    rate = np.clip(now - p @ step, least, most)
+                for k, total in enumerate(totals):
+                    pull = p @ total
+                    rate = np.clip(1 - pull, least, most)
                     free = (rate > least) & (rate < most)
-                    found += [(rate * weight) @ p, ((p * (weight * free)[:, None]).T @ p).ravel()]
-                down = p @ slope
-                gap = weight @ np.where(down > 0, down * (now - least), down * (now - most))
-                total += np.concatenate([*found, [gap], ((p * weight[:, None]).T @ p).ravel()])
-            yield pd.DataFrame([total], columns=cells)
+                    near = weight @ (rate * pull + 0.5 * (rate - 1) ** 2)
+                    curves = [((p * held_by[:, None]).T @ p).ravel() for held_by in (weight * free, weight)]
+                    sums[k] += np.concatenate([[near], (rate * weight) @ p, *curves])
+            yield pd.DataFrame([sums.ravel()], columns=cells)
 
         parts = held.select("tokens", *columns).mapInPandas(run, ", ".join(f"{c} double" for c in cells))
-        got = np.array(parts.agg(*[F.sum(c) for c in cells]).first(), float)
-        each = got[: len(steps) * (domains + square)].reshape(len(steps), domains + square)
-        return [(x[:domains], x[domains:].reshape(domains, domains)) for x in each], got[-1 - square], got[-square:].reshape(domains, domains)
+        got = np.array(parts.agg(*[F.sum(c) for c in cells]).first(), float).reshape(len(totals), each)
+        cut = 1 + domains + domains * domains
+        return [(g[0], g[1 : 1 + domains], g[1 + domains : cut].reshape(domains, -1), g[cut:].reshape(domains, -1)) for g in got]
 
-    history: list[np.ndarray] = []
-    still = np.zeros(domains)
-    [(at, free)], _, full = measured(history, [still], still)
+    total, weight, widest = np.zeros(domains), 1e-2, max(most - 1, 1 - least, 0.0)
+    near, at, free, full = measured([total])[0]
     if budget is None:
         budget = 1.0 if least < 1 else min(most, max(1.0, *(s / g for s, g in zip(at, goal) if g > 0)))
     goal = goal * budget
-    longest = float(np.linalg.eigvalsh(full)[-1])
-    ridge = 1e-6 * max(np.trace(full), 1e-9) * np.eye(domains)
-    while True:
-        miss = at - goal
-        left = float((miss**2).sum())
-        if np.abs(miss).max() <= TOLERANCE:
-            break
-        curve = free if np.trace(free) > 1e-9 else full
-        scaled = np.linalg.solve(curve + ridge, miss)
-        steps = [scaled * part for part in (1.0, 0.5, 0.25, 0.1, 0.02)] + [miss / longest]
-        tried, gap, _ = measured(history, steps, miss)
-        # half the squared misses can't fall by more than the gap
-        if 2 * gap <= PROVEN * left:
-            log.warning("the bounds keep the shares from their targets: reached %s of %s", at.round(5).tolist(), goal.round(5).tolist())
-            break
-        best = min(range(len(steps)), key=lambda k: float(((tried[k][0] - goal) ** 2).sum()))
-        if float(((tried[best][0] - goal) ** 2).sum()) >= left:  # nothing above rounding is to be gained
+    even = np.eye(domains)
+    while np.abs(at - goal).max() > TOLERANCE:
+        slope = at - goal - weight * total
+        value = near - total @ goal - 0.5 * weight * total @ total
+        if np.abs(slope).max() <= 0.1 * max(TOLERANCE, np.abs(at - goal).max()):
+            left = float(((at - goal) ** 2).sum())
+            if weight * widest**2 <= PROVEN * left or weight < 1e-12:
+                log.warning("the bounds keep the shares from their targets: reached %s of %s", at.round(5).tolist(), goal.round(5).tolist())
+                break
+            weight /= 10
+            continue
+        scaled, plain = np.linalg.solve(free + weight * even, slope), np.linalg.solve(full + weight * even, slope)
+        tries = [total + scaled * part for part in (1.0, 0.5, 0.2, 0.05, 0.01)] + [total + plain * part for part in (1.0, 4.0)]
+        tried = measured(tries)
+        gains = [t[0] - x @ goal - 0.5 * weight * x @ x for t, x in zip(tried, tries)]
+        best = int(np.argmax(gains))
+        if gains[best] <= value:  # what is left is rounding
             log.warning("the fit ends by rounding: reached %s of %s", at.round(5).tolist(), goal.round(5).tolist())
             break
-        history.append(steps[best])
-        at, free = tried[best]
-    return history, at
+        total, (near, at, free, full) = tries[best], tried[best]
+    return total, at
 
 
-def apply_rates(held: DataFrame, history: list, domains: int, least: float = 0.0, most: float = 16.0) -> DataFrame:
+def apply_rates(held: DataFrame, total: np.ndarray, domains: int, least: float = 0.0, most: float = 16.0) -> DataFrame:
     """`held` with `rate` and `copies`: the rate rounded up or down by the hash of `row`, so that it holds on average."""
-    columns = [f"p{d}" for d in range(domains)]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(rate=_advance(batch[columns].to_numpy(), history, least, most))
-
-    kinds = ", ".join(f"{name} {kind}" for name, kind in held.dtypes)
-    rated = held.mapInPandas(run, f"{kinds}, rate double")
+    pull = sum((F.col(f"p{d}") * float(total[d]) for d in range(domains)), F.lit(0.0))
+    rated = held.withColumn("rate", F.greatest(F.lit(float(least)), F.least(F.lit(float(most)), 1 - pull)))
     toss = F.pmod(F.xxhash64("row", F.lit(29)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return rated.withColumn("copies", F.floor(F.round("rate", 9) + toss).cast("int"))
 
@@ -198,8 +179,8 @@ def rates(
     numbered = settle(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
     weights = fit_domains(numbered, labelled, len(targets))
     held = settle(memberships(numbered, weights), "memberships")
-    history, _ = fit_rates(held, targets, least, most)
-    return apply_rates(held, history, len(targets), least, most), numbered
+    total, _ = fit_rates(held, targets, least, most)
+    return apply_rates(held, total, len(targets), least, most), numbered
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: list[float], least: float = 1.0, most: float = 4.0) -> DataFrame:

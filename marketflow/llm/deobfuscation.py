@@ -9,6 +9,8 @@ itself. A logistic model over the restored words and their heads gives the score
 
 from __future__ import annotations
 
+import re
+import string
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,7 +36,8 @@ READINGS = {
 #: other signs as noise; a mark for any letter; a run read as one or two letters; joined single letters
 READ, NOISE, EDGE_NOISE, EDGE_DIGIT, SIGN, ANY, ONCE, TWICE, JOIN = 0.7, 12.0, 0.6, 8.0, 0.3, 2.0, 0.5, 1.0, 1.0
 LETTERS = 28  # the end of a word, a to z, any other letter
-WORDS_KEPT = 20_000
+#: decoded tokens and words with known features that a task keeps
+WORDS_KEPT, KNOWN_KEPT = 60_000, 100_000
 #: longer tokens keep this many readings a position
 EXACT, BEAM = 64, 32
 
@@ -45,6 +48,11 @@ LEAST_GAIN = 15.0
 THRESHOLD = 0.7
 
 
+#: signs of ASCII without a reading, which are noise at the ends of a word, and a run of three
+SIGNS = "".join(c for c in string.punctuation if c not in READINGS)
+RUN = re.compile(r"(.)\1\1")
+
+
 def _code(letter: str) -> int:
     return ord(letter) - 96 if "a" <= letter <= "z" else 27
 
@@ -176,7 +184,12 @@ class Restorer:
 
     def __init__(self, model: CharacterModel):
         self.model = model
-        self.token = lru_cache(WORDS_KEPT)(self._token)
+        self.decoded = lru_cache(WORDS_KEPT)(self._token)
+
+    def token(self, token: str) -> str:
+        """A token as it is read; plain words are their own reading and need no place among those kept."""
+        word = token.lower().strip(SIGNS)
+        return word if word.isascii() and word.isalpha() and not RUN.search(word) else self.decoded(token)
 
     def _token(self, token: str) -> str:
         if token.isascii() is False:
@@ -336,7 +349,7 @@ def score(docs: DataFrame, model: ToxicityModel, restored: bool = False) -> Data
         restorer = Restorer(CharacterModel(model.characters))
         weights = model.weights
 
-        @lru_cache(WORDS_KEPT)
+        @lru_cache(KNOWN_KEPT)
         def known(word: str) -> tuple[int, ...]:
             return tuple(f for f in _features(word) if f in weights)
 

@@ -180,6 +180,18 @@ def test_scores_of_messy_rows(spark, messy, empty):
     assert hidden_markov.score(empty).count() == 0
 
 
+def test_scores_do_not_depend_on_which_words_every_task_knows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    shown = lambda share: {r["doc_id"]: r for r in hidden_markov.score(docs, known_share=share).collect()}
+    every, some = shown(hidden_markov.KNOWN), shown(hidden_markov.FREQUENT)
+    assert every.keys() == some.keys()
+    for i, r in every.items():
+        assert (r["n_tokens"], r["n_known"]) == (some[i]["n_tokens"], some[i]["n_known"])
+        assert r["score"] == pytest.approx(some[i]["score"], rel=1e-9) and r["base_score"] == pytest.approx(some[i]["base_score"], rel=1e-9)
+    held = [r for r in every.values() if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
 def test_pipeline_stages_work_on_what_is_left(spark):
     import corpus_pipeline
 

@@ -13,6 +13,8 @@ from marketflow.llm.spans import NOT_BLANK, word_spans
 
 BITS = 16
 WORDS_KEPT = 20_000
+#: bits of the number of places that keep the features of words by their 64-bit hashes, 16 bytes each
+PLACE_BITS = 18
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -26,6 +28,22 @@ class Hasher(dict):
     def __init__(self, bits: int = BITS):
         self.mask = (1 << bits) - 1
         self.shapes: dict[tuple[bytes, bytes], int] = {}
+        self.keys = np.zeros(1 << PLACE_BITS, np.uint64)
+        self.found = np.zeros((1 << PLACE_BITS, 2), np.int32)
+
+    def of_hashed(self, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, raw: bytes) -> np.ndarray:
+        """The numbers of different words (spans of `raw`) with these hashes; a place keeps the word seen last."""
+        place = (hashes >> np.uint64(64 - PLACE_BITS)).astype(np.int64)
+        pairs = self.found[place].astype(np.int64)
+        new = np.flatnonzero(self.keys[place] != hashes)
+        if len(new):
+            of = self.of
+            pairs[new] = np.array([of(raw[a:b]) for a, b in zip(starts[new].tolist(), ends[new].tolist())], np.int64)
+            # of words that share a place one is kept, whole
+            place, last = np.unique(place[new][::-1], return_index=True)
+            new = new[::-1][last]
+            self.keys[place], self.found[place] = hashes[new], pairs[new]
+        return pairs
 
     def of(self, word: bytes) -> tuple[int, int]:
         """The same numbers from a word's bytes."""
@@ -85,10 +103,8 @@ def hashed_rows(data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> tuple[
     starts, ends, rows = word_spans(data, offsets, NOT_BLANK)
     n = np.bincount(rows, minlength=len(offsets) - 1)
     hashes = Rolling(_CODES[data]).spans(starts, ends) ^ (ends - starts).astype(np.uint64)
-    _, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
-    raw, of = data.tobytes(), hasher.of
-    found = [of(raw[a:b]) for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-    pairs = np.array(found, np.int64).reshape(-1, 2)
+    different, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
+    pairs = hasher.of_hashed(different, starts[first], ends[first], data.tobytes())
     again = rows[1:][(kind[1:] == kind[:-1]) & (rows[1:] == rows[:-1])]
     size = (1 << 20) + np.minimum(np.frexp(n.astype(float))[1], 20) & hasher.mask
     at = np.concatenate([np.repeat(rows, 2), np.arange(len(n)), again])

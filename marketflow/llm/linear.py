@@ -41,25 +41,54 @@ def fit_logistic(
     return x[:size], float(x[-1])
 
 
+class _Entries:
+    """Sparse entries (row, column, value) in the order of rows and of columns: sums by either are sums of neighbours."""
+
+    def __init__(self, at: np.ndarray, columns: np.ndarray, values: np.ndarray, rows: int):
+        self.rows, self.size = rows, len(values)
+        self.used, column = np.unique(columns, return_inverse=True)
+        by_row, by_column = np.argsort(at, kind="stable"), np.argsort(column, kind="stable")
+        self.column, self.row_values = column[by_row], values[by_row]
+        self.row, self.column_values = at[by_column], values[by_column]
+        self.held, self.row_starts = np.unique(at[by_row], return_index=True)
+        self.column_starts = np.unique(column[by_column], return_index=True)[1]
+
+    def by_row(self, weights: np.ndarray) -> np.ndarray:
+        """Sum of values times the weights of their (used) columns, per row."""
+        sums = np.zeros(self.rows)
+        if self.size:
+            sums[self.held] = np.add.reduceat(weights[self.column] * self.row_values, self.row_starts)
+        return sums
+
+    def by_column(self, errors: np.ndarray) -> np.ndarray:
+        """Sum of values times the errors of their rows, per used column."""
+        return np.add.reduceat(errors[self.row] * self.column_values, self.column_starts) if self.size else np.zeros(0)
+
+
 def fit_softmax(
     at: np.ndarray, columns: np.ndarray, values: np.ndarray, label: np.ndarray, classes: int, size: int, l2: float = 1e-5, steps: int = 200
 ) -> np.ndarray:
-    """Weights (`size` + 1, `classes`) of a multinomial logistic regression; the last row holds the intercepts."""
-    rows, truth = len(label), np.eye(classes)[label]
+    """Weights (`size` + 1, `classes`) of a multinomial logistic regression; the last row holds the intercepts.
+
+    Columns without entries keep weights of 0.
+    """
+    rows, truth, entries = len(label), np.eye(classes)[label], _Entries(at, columns, values, len(label))
+    used = len(entries.used)
 
     def gradient(x):
-        x = x.reshape(size + 1, classes)
-        margin = np.stack([_dot(at, columns, values, x[:, k], rows) for k in range(classes)], 1) + x[-1]
-        error = softmax(margin) - truth
-        g = np.stack(
-            [np.bincount(columns, error[at, k] * values, minlength=size + 1) for k in range(classes)], 1
-        )
-        g[-1] = error.sum(0)
-        g /= rows
-        g[:size] += l2 * x[:size]
+        x = x.reshape(classes, used + 1)
+        margin = np.stack([entries.by_row(x[k, :used]) + x[k, used] for k in range(classes)], 1)
+        error = np.ascontiguousarray((softmax(margin) - truth).T)
+        g = np.empty_like(x)
+        for k in range(classes):
+            g[k, :used] = entries.by_column(error[k]) / rows + l2 * x[k, :used]
+        g[:, used] = error.sum(1) / rows
         return g.ravel()
 
-    return _adam(gradient, np.zeros((size + 1) * classes), steps, 0.2).reshape(size + 1, classes)
+    found = _adam(gradient, np.zeros(classes * (used + 1)), steps, 0.2).reshape(classes, used + 1)
+    weights = np.zeros((size + 1, classes))
+    weights[entries.used], weights[size] = found[:, :used].T, found[:, used]
+    return weights
 
 
 def softmax(margin: np.ndarray) -> np.ndarray:

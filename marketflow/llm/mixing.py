@@ -8,7 +8,7 @@ expected token totals of the domains match their targets.
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,6 +25,8 @@ from marketflow.session import settle
 
 #: labelled rows the classifier is fitted on, at most
 SAMPLE_ROWS = 12_000
+#: rows that the descent of the rates starts on, at most
+START_ROWS = 50_000
 #: domains told by the given labels: good prose, toxic text, poor text
 DOMAINS = ("prose", "toxic", "poor")
 #: largest miss of a domain's share of all tokens; share of the squared misses by which a fit that can't meet them may be off
@@ -78,6 +80,47 @@ def memberships(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     return given.mapInArrow(run, schema)
 
 
+def _sums(p: np.ndarray, weight: np.ndarray, totals: list[np.ndarray], least: float, most: float) -> np.ndarray:
+    """A row for each sum of steps: distance of the rates from 1 with their linear part, shares, curvature of free rows and of all."""
+    rows = []
+    for total in totals:
+        pull = p @ total
+        rate = np.clip(1 - pull, least, most)
+        free = (rate > least) & (rate < most)
+        near = weight @ (rate * pull + 0.5 * (rate - 1) ** 2)
+        curves = [((p * held_by[:, None]).T @ p).ravel() for held_by in (weight * free, weight)]
+        rows.append(np.concatenate([[near], (rate * weight) @ p, *curves]))
+    return np.array(rows)
+
+
+def _descend(
+    measured: Callable[[list[np.ndarray]], np.ndarray], goal: np.ndarray, total: np.ndarray, weight: float, widest: float
+) -> tuple[np.ndarray, np.ndarray, float, str]:
+    """(sum of steps, shares reached, weight left, why it ended), from `total` and `weight` on; `measured` is `_sums` of all rows."""
+    domains, even = len(goal), np.eye(len(goal))
+    cut = 1 + domains + domains * domains
+    parts = lambda g: (g[0], g[1 : 1 + domains], g[1 + domains : cut].reshape(domains, -1), g[cut:].reshape(domains, -1))
+    near, at, free, full = parts(measured([total])[0])
+    while np.abs(at - goal).max() > TOLERANCE:
+        slope = at - goal - weight * total
+        value = near - total @ goal - 0.5 * weight * total @ total
+        if np.abs(slope).max() <= 0.1 * max(TOLERANCE, np.abs(at - goal).max()):
+            left = float(((at - goal) ** 2).sum())
+            if weight * widest**2 <= PROVEN * left or weight < 1e-12:
+                return total, at, weight, "the bounds keep the shares from their targets"
+            weight /= 10
+            continue
+        scaled, plain = np.linalg.solve(free + weight * even, slope), np.linalg.solve(full + weight * even, slope)
+        tries = [total + scaled * part for part in (1.0, 0.5, 0.2, 0.05, 0.01)] + [total + plain * part for part in (1.0, 4.0)]
+        tried = [parts(g) for g in measured(tries)]
+        gains = [t[0] - x @ goal - 0.5 * weight * x @ x for t, x in zip(tried, tries)]
+        best = int(np.argmax(gains))
+        if gains[best] <= value:  # what is left is rounding
+            return total, at, weight, "the fit ends by rounding"
+        total, (near, at, free, full) = tries[best], tried[best]
+    return total, at, weight, ""
+
+
 def fit_rates(
     held: DataFrame, targets: list[float], least: float = 0.0, most: float = 16.0, budget: float | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -97,9 +140,10 @@ def fit_rates(
 
     It ends when the targets are met to `TOLERANCE`, or when the weight left is too
     small to hide more than `PROVEN` of the squared misses: then the bounds forbid a better fit,
-    which the log tells together with the shares reached.
+    which the log tells together with the shares reached. Both are judged on all rows.
 
-    Every pass is one aggregation over all rows that brings a few numbers per pair of
+    The descent starts where it ends on `START_ROWS` rows at most, taken by hash, and goes on
+    over all rows: every pass is one aggregation that brings a few numbers per pair of
     domains to the driver. A table without tokens keeps its rates at 1 (within the bounds).
     """
     domains, goal = len(targets), np.array(targets, float) / max(sum(targets), 1e-12)
@@ -109,53 +153,30 @@ def fit_rates(
         return np.zeros(domains), np.zeros(domains)
     each = 1 + domains + 2 * domains * domains
 
-    def measured(totals: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray, np.ndarray]]:
-        """For each sum of steps: distance of the rates from 1 with their linear part, shares, curvature of free rows and of all."""
+    def measured(totals: list[np.ndarray]) -> np.ndarray:
         cells = [f"c{k}" for k in range(len(totals) * each)]
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             sums = np.zeros((len(totals), each))
             for batch in batches:
-                p, weight = batch[columns].to_numpy(), batch["tokens"].to_numpy() / every
-                for k, total in enumerate(totals):
-                    pull = p @ total
-                    rate = np.clip(1 - pull, least, most)
-                    free = (rate > least) & (rate < most)
-                    near = weight @ (rate * pull + 0.5 * (rate - 1) ** 2)
-                    curves = [((p * held_by[:, None]).T @ p).ravel() for held_by in (weight * free, weight)]
-                    sums[k] += np.concatenate([[near], (rate * weight) @ p, *curves])
+                sums += _sums(batch[columns].to_numpy(), batch["tokens"].to_numpy() / every, totals, least, most)
             yield pd.DataFrame([sums.ravel()], columns=cells)
 
         parts = held.select("tokens", *columns).mapInPandas(run, ", ".join(f"{c} double" for c in cells))
-        got = np.array(parts.agg(*[F.sum(c) for c in cells]).first(), float).reshape(len(totals), each)
-        cut = 1 + domains + domains * domains
-        return [(g[0], g[1 : 1 + domains], g[1 + domains : cut].reshape(domains, -1), g[cut:].reshape(domains, -1)) for g in got]
+        return np.array(parts.agg(*[F.sum(c) for c in cells]).first(), float).reshape(len(totals), each)
 
-    total, weight, widest = np.zeros(domains), 1e-2, max(most - 1, 1 - least, 0.0)
-    near, at, free, full = measured([total])[0]
     if budget is None:
-        budget = 1.0 if least < 1 else min(most, max(1.0, *(s / g for s, g in zip(at, goal) if g > 0)))
-    goal = goal * budget
-    even = np.eye(domains)
-    while np.abs(at - goal).max() > TOLERANCE:
-        slope = at - goal - weight * total
-        value = near - total @ goal - 0.5 * weight * total @ total
-        if np.abs(slope).max() <= 0.1 * max(TOLERANCE, np.abs(at - goal).max()):
-            left = float(((at - goal) ** 2).sum())
-            if weight * widest**2 <= PROVEN * left or weight < 1e-12:
-                log.warning("the bounds keep the shares from their targets: reached %s of %s", at.round(5).tolist(), goal.round(5).tolist())
-                break
-            weight /= 10
-            continue
-        scaled, plain = np.linalg.solve(free + weight * even, slope), np.linalg.solve(full + weight * even, slope)
-        tries = [total + scaled * part for part in (1.0, 0.5, 0.2, 0.05, 0.01)] + [total + plain * part for part in (1.0, 4.0)]
-        tried = measured(tries)
-        gains = [t[0] - x @ goal - 0.5 * weight * x @ x for t, x in zip(tried, tries)]
-        best = int(np.argmax(gains))
-        if gains[best] <= value:  # what is left is rounding
-            log.warning("the fit ends by rounding: reached %s of %s", at.round(5).tolist(), goal.round(5).tolist())
-            break
-        total, (near, at, free, full) = tries[best], tried[best]
+        present = measured([np.zeros(domains)])[0][1 : 1 + domains]
+        budget = 1.0 if least < 1 else min(most, max(1.0, *(s / g for s, g in zip(present, goal) if g > 0)))
+    goal, widest = goal * budget, max(most - 1, 1 - least, 0.0)
+    total, weight = np.zeros(domains), 1e-2
+    start = held.orderBy(F.xxhash64("row"), "row").limit(START_ROWS).select("tokens", *columns).toPandas()
+    if start["tokens"].sum():
+        p, share = start[columns].to_numpy(), (start["tokens"] / start["tokens"].sum()).to_numpy()
+        total, _, weight, _ = _descend(lambda totals: _sums(p, share, totals, least, most), goal, total, weight, widest)
+    total, at, _, why = _descend(measured, goal, total, weight, widest)
+    if why:
+        log.warning("%s: reached %s of %s", why, at.round(5).tolist(), goal.round(5).tolist())
     return total, at
 
 

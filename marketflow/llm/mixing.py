@@ -25,7 +25,7 @@ from marketflow.session import settle
 
 #: labelled rows the classifier is fitted on, at most
 SAMPLE_ROWS = 12_000
-#: rows that the descent of the rates starts on, at most
+#: rows that the descent of the rates starts on, as many on average (all of fewer)
 START_ROWS = 50_000
 #: domains told by the given labels: good prose, toxic text, poor text
 DOMAINS = ("prose", "toxic", "poor")
@@ -142,13 +142,13 @@ def fit_rates(
     small to hide more than `PROVEN` of the squared misses: then the bounds forbid a better fit,
     which the log tells together with the shares reached. Both are judged on all rows.
 
-    The descent starts where it ends on `START_ROWS` rows at most, taken by hash, and goes on
+    The descent starts where it ends on about `START_ROWS` rows, taken by hash, and goes on
     over all rows: every pass is one aggregation that brings a few numbers per pair of
     domains to the driver. A table without tokens keeps its rates at 1 (within the bounds).
     """
     domains, goal = len(targets), np.array(targets, float) / max(sum(targets), 1e-12)
     columns = [f"p{d}" for d in range(domains)]
-    every = int(held.agg(F.sum("tokens")).first()[0] or 0)
+    rows, every = held.agg(F.count("*"), F.coalesce(F.sum("tokens"), F.lit(0))).first()
     if not every:
         return np.zeros(domains), np.zeros(domains)
     each = 1 + domains + 2 * domains * domains
@@ -170,7 +170,8 @@ def fit_rates(
         budget = 1.0 if least < 1 else min(most, max(1.0, *(s / g for s, g in zip(present, goal) if g > 0)))
     goal, widest = goal * budget, max(most - 1, 1 - least, 0.0)
     total, weight = np.zeros(domains), 1e-2
-    start = held.orderBy(F.xxhash64("row"), "row").limit(START_ROWS).select("tokens", *columns).toPandas()
+    chosen = F.pmod(F.xxhash64("row", F.lit(31)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, START_ROWS / rows))
+    start = held.where(chosen).select("tokens", *columns).toPandas()
     if start["tokens"].sum():
         p, share = start[columns].to_numpy(), (start["tokens"] / start["tokens"].sum()).to_numpy()
         total, _, weight, _ = _descend(lambda totals: _sums(p, share, totals, least, most), goal, total, weight, widest)

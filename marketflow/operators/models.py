@@ -11,7 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketflow.schema import ELASTIC_NET, small_frame
@@ -164,16 +164,16 @@ def trend_by_key(frame: DataFrame, feature: str = "open", label: str = "close",
     )
 
 
-def elastic_net_by_key(
-    frame: DataFrame,
+def elastic_net_of(
+    figures: DataFrame,
+    keys: list[str],
     inputs=FEATURES,
     label: str = "close",
-    key: str = "sector",
     regParam: float = ELASTIC_NET["regParam"],
     elasticNetParam: float = ELASTIC_NET["elasticNetParam"],
     sweeps: int = 500,
 ) -> DataFrame:
-    """The converged elastic net of every key as one Spark job.
+    """The converged elastic net of every row of `moments`, or of `rolling_moments`, named by `keys`.
 
     Coordinate descent on the correlations, as a fold over an array: for many
     keys, where one fit per key would be too many jobs. Standardized features,
@@ -181,11 +181,12 @@ def elastic_net_by_key(
     """
     order = [*inputs, label]
     std = {c: F.sqrt(F.col(f"cov_{c}_{c}")) for c in order}
-    l1 = F.lit(regParam * elasticNetParam) / F.col("_std")
-    l2 = F.lit(regParam * (1.0 - elasticNetParam)) / F.col("_std")
+    # a label without spread leaves all coefficients 0
+    l1 = F.try_divide(F.lit(regParam * elasticNetParam), F.col("_std"))
+    l2 = F.try_divide(F.lit(regParam * (1.0 - elasticNetParam)), F.col("_std"))
     size = len(inputs)
 
-    scaled = moments(frame, inputs, label, key).withColumn("_std", std[label])
+    scaled = figures.withColumn("_std", std[label])
     corr = F.array(
         *[F.array(*[F.try_divide(_cov(r, c, order), std[r] * std[c]) for c in order]) for r in inputs]
     )
@@ -211,7 +212,61 @@ def elastic_net_by_key(
     intercept = F.col(f"mean_{label}")
     for name in inputs:
         intercept = intercept - F.col(f"coef_{name}") * F.col(f"mean_{name}")
-    return fitted.select(key, "n", intercept.alias("intercept"), *[f"coef_{c}" for c in inputs])
+    return fitted.select(*keys, "n", intercept.alias("intercept"), *[f"coef_{c}" for c in inputs])
+
+
+def elastic_net_by_key(frame: DataFrame, inputs=FEATURES, label: str = "close", key: str = "sector", **params) -> DataFrame:
+    """The converged elastic net of every key as one Spark job (`params` as for `elastic_net_of`)."""
+    return elastic_net_of(moments(frame, inputs, label, key), [key], inputs, label, **params)
+
+
+def rolling_moments(
+    frame: DataFrame, span: int, inputs=FEATURES, label: str = "close", key: str = "sector", time: str = "timestamp"
+) -> DataFrame:
+    """`moments` of every key over the `span` up to each of its times, that time included, the other end not.
+
+    The sums of a time are added to a running total when it enters the window and
+    taken back when it leaves, so the window slides without reading a row twice. The bars are
+    summed by key and time first: what is ordered are two rows per time, bounded by
+    the calendar. Values are taken from the mean of their key, so that the difference
+    of sums keeps its digits. Rows that lack the key, the time or a value are left out.
+    """
+    columns = [*inputs, label]
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    complete = frame.dropna(subset=[key, time, *columns])
+    middles = settle(complete.groupBy(key).agg(*[F.avg(c).alias(f"_mid_{c}") for c in columns]), "middles")
+    off = {c: F.col(c) - F.col(f"_mid_{c}") for c in columns}
+    sums = {f"_sum_{c}": F.sum(off[c]) for c in columns} | {f"_sum_{a}_{b}": F.sum(off[a] * off[b]) for a, b in pairs}
+    daily = complete.join(middles, key).groupBy(key, time).agg(
+        F.count(F.lit(1)).alias("n"), *[total.alias(name) for name, total in sums.items()]
+    )
+    turn = F.explode(F.array(*[F.struct((F.col(time) + d).alias("at"), F.lit(s).alias("sign")) for d, s in ((0, 1), (span, -1))]))
+    turns = daily.withColumn("_turn", turn).groupBy(key, F.col("_turn.at").alias(time)).agg(
+        F.max("_turn.sign").alias("_enters"), *[F.sum(F.col(c) * F.col("_turn.sign")).alias(c) for c in ("n", *sums)]
+    )
+    running = Window.partitionBy(key).orderBy(time).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slid = turns.withColumns({c: F.sum(c).over(running) for c in ("n", *sums)}).where("_enters = 1")
+
+    def cov(a: str, b: str) -> Column:
+        square = F.col(f"_sum_{a}_{b}") / F.col("n")
+        value = square - F.col(f"_sum_{a}") * F.col(f"_sum_{b}") / (F.col("n") * F.col("n"))
+        # a window of equal values leaves rounding only
+        return F.when((F.col("n") > 1) & (value > square * 1e-12), value).otherwise(0.0) if a == b else value
+
+    return slid.join(middles, key).select(
+        key,
+        time,
+        "n",
+        *[(F.col(f"_mid_{c}") + F.col(f"_sum_{c}") / F.col("n")).alias(f"mean_{c}") for c in columns],
+        *[cov(a, b).alias(f"cov_{a}_{b}") for a, b in pairs],
+    )
+
+
+def elastic_net_rolling(
+    frame: DataFrame, span: int, inputs=FEATURES, label: str = "close", key: str = "sector", time: str = "timestamp", **params
+) -> DataFrame:
+    """The converged elastic net of every key at each of its times, fitted on the `span` up to it."""
+    return elastic_net_of(rolling_moments(frame, span, inputs, label, key, time), [key, time], inputs, label, **params)
 
 
 def standard_scale(frame: DataFrame, column: str, key: str = "sector", name: str | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -35,6 +35,25 @@ def split_malformed(
     )
 
 
+def with_unknown(records: DataFrame, schema: StructType = BAR_SCHEMA, value: str = "value") -> DataFrame:
+    """`data` struct, and the top-level fields that `schema` lacks as variants by name in `unknown`.
+
+    Fields that a feed adds, or sends in a new shape, are kept as they came, numbers as
+    numbers and records as records. Text that is no JSON object has neither; other columns stay.
+    """
+    text = F.col(value).cast("string")
+    # records that are no object, or name a field twice, parse to null
+    fields = F.from_json(text, "map<string, variant>")
+    unknown = F.map_filter(fields, lambda name, _: ~name.isin(schema.fieldNames()))
+    kept = [c for c in records.columns if c not in (value, "data", "unknown")]
+    return records.select(*kept, F.from_json(text, schema).alias("data"), unknown.alias("unknown"))
+
+
+def unknown_field(name: str) -> Column:
+    """One of the `unknown` fields as a variant; null where the record lacks it."""
+    return F.try_element_at("unknown", F.lit(name))
+
+
 def to_records(frame: DataFrame, topic: str = "sector") -> DataFrame:
     """Rows as JSON messages with the topic they go to; one query feeds all topics."""
     body = [c for c in frame.columns if c != topic]

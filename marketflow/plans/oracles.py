@@ -168,11 +168,15 @@ SELECT sector, n, {_r('m_close - bo*m_open - bh*m_high - bl*m_low', digits)} AS
        {_r('bo', digits)} AS coef_open, {_r('bh', digits)} AS coef_high, {_r('bl', digits)} AS coef_low FROM solved"""
 
 
-def _elastic_net(sweeps: int, alpha: float = 0.7) -> str:
+def _elastic_net(sweeps: int, alpha: float = 0.7, source: str = "daily") -> str:
     def soft(rest: str) -> str:
         return f"sign({rest}) * greatest(abs({rest}) - l1, 0.0) / (1.0 + l2)"
 
-    return f"""{_moments('daily')},
+    def spread(weight: str, deviation: str) -> str:
+        # without spread the coefficients are 0
+        return f"CASE WHEN isfinite({weight}*sy/{deviation}) THEN {weight}*sy/{deviation} ELSE 0.0 END"
+
+    return f"""{_moments(source)},
 sd AS (SELECT *, sqrt(c_open_open) AS so, sqrt(c_high_high) AS sh, sqrt(c_low_low) AS sl,
               sqrt(c_close_close) AS sy FROM mo),
 st AS (SELECT *, c_open_high/(so*sh) AS oh, c_open_low/(so*sl) AS ol, c_high_low/(sh*sl) AS hl,
@@ -184,7 +188,8 @@ cd AS (
   SELECT c.* EXCLUDE (k, wo, wh, wl, wo1, wh1), k + 1, wo1, wh1, {soft('(ly - ol*wo1 - hl*wh1)')}
   FROM (SELECT *, {soft('(hy - oh*wo1 - hl*wl)')} AS wh1
         FROM (SELECT *, {soft('(oy - oh*wh - ol*wl)')} AS wo1 FROM cd WHERE k < {sweeps})) c),
-done AS (SELECT *, wo*sy/so AS b_open, wh*sy/sh AS b_high, wl*sy/sl AS b_low FROM cd WHERE k = {sweeps}),
+done AS (SELECT *, {spread('wo', 'so')} AS b_open, {spread('wh', 'sh')} AS b_high, {spread('wl', 'sl')} AS b_low
+         FROM cd WHERE k = {sweeps}),
 trained AS (
   SELECT sector, n, m_close - b_open*m_open - b_high*m_high - b_low*m_low AS b0, b_open, b_high, b_low FROM done)"""
 
@@ -302,6 +307,15 @@ FROM daily GROUP BY sector""",
     "ols_by_region": f"WITH {_LINE_DAILY}, {_ols('daily', 4)}",
     "elastic_net_by_sector": f"""WITH RECURSIVE {_DAILY}, {_elastic_net(100)}
 SELECT sector, n, {_trained(6, 6)} FROM trained""",
+    "elastic_net_rolling": f"""WITH RECURSIVE {_DAILY},
+windows AS (
+  SELECT e.sector || ' ' || e.until AS sector, open, high, low, close
+  FROM (SELECT DISTINCT sector, timestamp AS until FROM daily) e
+  JOIN daily d ON d.sector = e.sector AND d.timestamp > e.until - {10 * DAY_MS} AND d.timestamp <= e.until),
+{_elastic_net(100, source='windows')}
+SELECT split_part(sector, ' ', 1) AS sector, CAST(split_part(sector, ' ', 2) AS BIGINT) AS timestamp, n,
+       {_r('b0', 4)} AS intercept, {_r('b_open', 4)} AS coef_open, {_r('b_high', 4)} AS coef_high,
+       {_r('b_low', 4)} AS coef_low FROM trained""",
     # ten iterations of the trained models reach the converged ones to about 1e-5
     "elastic_net_fit": f"WITH RECURSIVE {_DAILY}, {_elastic_net(100)} SELECT sector, {_trained(3, 2)} FROM trained",
     "elastic_net_fit_one_step": f"""WITH RECURSIVE {_DAILY}, {_elastic_net(100, 0.8)}
@@ -364,6 +378,8 @@ FROM (SELECT tickerSymbol, open, high, low, timestamp, close FROM ranked WHERE r
 SELECT sector, CAST(to_json({{'timestamp': timestamp, 'avg_close': avg_close}}) AS VARCHAR) AS document FROM history""",
     "record_key": """SELECT CAST(to_json({'k': CAST(regexp_extract(props, '[0-9]+') AS BIGINT)}) AS VARCHAR) AS value
 FROM events""",
+    "variant_record_key": """SELECT event_id, CAST(props ->> '$.hello' AS VARCHAR) AS hello,
+       CAST(props ->> '$.k' AS BIGINT) AS k, CAST(len(json_keys(props)) AS INTEGER) AS fields FROM events""",
     "route_by_tag": f"""WITH {_DAILY}
 SELECT sector AS topic, CAST(to_json({{'tickerSymbol': tickerSymbol, 'timestamp': timestamp, 'close': close,
        'volume': volume}}) AS VARCHAR) AS value FROM daily""",

@@ -13,6 +13,7 @@ from decimal import Decimal
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from marketflow.functions import (
     bucket_start,
@@ -374,6 +375,13 @@ def elastic_net_by_sector(spark, sf_dir):
     return _rounded(frame, 6, "intercept", "coef_open", "coef_high", "coef_low")
 
 
+@query
+def elastic_net_rolling(spark, sf_dir):
+    """The converged elastic net of every sector and day over the ten days up to it."""
+    frame = M.elastic_net_rolling(_settled_daily(spark, sf_dir), 10 * DAY_MS, sweeps=100)
+    return _rounded(frame, 4, "intercept", "coef_open", "coef_high", "coef_low")
+
+
 @query
 def elastic_net_fit(spark, sf_dir):
     """The trained models of the daily job."""
@@ -550,6 +558,14 @@ def record_key(spark, sf_dir):
     return J.record_key(events, "some_record")
 
 
+@query
+def variant_record_key(spark, sf_dir):
+    """The fields that a schema without any leaves over, and one of them as it came."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("props").alias("value"))
+    kept = J.with_unknown(events, StructType([StructField("hello", StringType())]))
+    return kept.select("event_id", "data.hello", J.unknown_field("k").cast("long").alias("k"), F.size("unknown").alias("fields"))
+
+
 @query
 def route_by_tag(spark, sf_dir):
     bars = _daily(spark, sf_dir).select("sector", "tickerSymbol", "timestamp", "close", "volume")

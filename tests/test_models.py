@@ -111,3 +111,25 @@ def test_scaled_regression_predicts(bars):
     scored = fitted.transform(bars.select("close", F.col("high").alias("Output")))
     error = scored.select(F.avg(F.abs(F.col("prediction") - F.col("Output")))).first()[0]
     assert error < 2.0
+
+
+def test_rolling_fit_equals_a_refit_of_every_window(spark, bars):
+    span = 40
+    slid = M.elastic_net_rolling(bars, span, sweeps=50)
+    at = {(r["sector"], r["timestamp"]): r for r in slid.collect()}
+    assert len(at) == 600
+    for last in (0, 7, 39, 40, 41, 150, 299):
+        window = bars.where(f"timestamp > {last - span} and timestamp <= {last}")
+        for r in M.elastic_net_by_key(window, sweeps=50).collect():
+            got = at[r["sector"], last]
+            assert got["n"] == r["n"] == min(last + 1, span)
+            for c in ("intercept", "coef_open", "coef_high", "coef_low"):
+                assert math.isclose(got[c], r[c], rel_tol=1e-6, abs_tol=1e-6), (last, c)
+
+
+def test_rolling_fit_of_gaps_nulls_and_constants(spark):
+    data = [("a", "T", t, 1.0, 1.0, 1.0, 1.0) for t in (0, 1, 50)] + [("a", "U", 1, 2.0, 2.0, None, 2.0), (None, "T", 1, 1.0, 1.0, 1.0, 1.0)]
+    frame = spark.createDataFrame(data, SCHEMA)
+    found = {r["timestamp"]: (r["n"], r["coef_open"], r["intercept"]) for r in M.elastic_net_rolling(frame, 10).collect()}
+    assert found == {0: (1, 0.0, 1.0), 1: (2, 0.0, 1.0), 50: (1, 0.0, 1.0)}
+    assert M.elastic_net_rolling(frame.limit(0), 10).count() == 0

@@ -65,3 +65,15 @@ def test_union_distinct_goes_by_name(spark):
     a = spark.createDataFrame([(1, "x")], "n int, t string")
     b = spark.createDataFrame([("x", 1), ("y", 2)], "t string, n int")
     assert rows(S.union_distinct(a, b)) == [(1, "x"), (2, "y")]
+
+
+def test_unknown_fields_are_kept_as_they_came(spark):
+    values = ['{"t": 5, "c": 1.5, "venue": "X", "depth": {"bid": [1, 2]}}', '{"t": 6}', "no record", None, "[1]"]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, value string")
+    got = J.with_unknown(frame).select(
+        "id", "data.t", F.map_keys("unknown").alias("names"), F.to_json(J.unknown_field("depth")).alias("depth")
+    )
+    found = {r["id"]: (r["t"], r["names"] and sorted(r["names"]), r["depth"]) for r in got.collect()}
+    assert found[0] == (5, ["depth", "venue"], '{"bid":[1,2]}')
+    assert found[1] == (6, [], None)
+    assert all(found[i][0] is None and not found[i][1] and found[i][2] is None for i in (2, 3, 4))

@@ -28,7 +28,7 @@ BROADCAST_ROWS = 2_000_000
 #: shingles (8 bytes each) of sets that may be broadcast; larger ones are joined by a shuffle
 BROADCAST_SHINGLES = 3_000_000
 #: words whose hashes a worker keeps
-CACHED_WORDS = 300_000
+CACHED_WORDS = 50_000
 SEED = 11
 
 

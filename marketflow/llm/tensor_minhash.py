@@ -8,22 +8,25 @@ full shingle sets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import apart, broadcast_if_small, text_key, words
 from marketflow.llm.components import components
 from marketflow.session import settle
 
-#: with 14 sub-keys of 3 minhashes a pair of similarity 0.8 shares no key with probability below 1e-4
-WIDTH, DEPTH = 14, 3
-#: rounds of pivots before what is left of a key's members is compared pair by pair
-PIVOT_ROUNDS = 3
+#: the probability that a pair just similar enough shares no table key
+MISSED = 1e-4
+#: rounds of pivots before what is left of the keys' members is joined by its rarest shingles
+PIVOT_ROUNDS = 2
+#: classes of set sizes between a size and its double
+SIZE_CLASSES = 24
 BROADCAST_ROWS = 2_000_000
 #: shingles (8 bytes each) of sets that may be broadcast; larger ones are joined by a shuffle
 BROADCAST_SHINGLES = 3_000_000
@@ -32,6 +35,17 @@ CACHED_WORDS = 50_000
 SEED = 11
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """(`width`, `depth`): sub-keys of a collection and minhashes of a sub-key.
+
+    A sub-key is shared with probability (percent / 100) ** depth, a collection shares
+    none of its `width` with at most half of `MISSED`. At 80: 14 sub-keys of 3 minhashes.
+    """
+    depth = 3 if percent >= 75 else 2 if percent >= 50 else 1
+    shared = min(max(percent, 1) / 100, 0.99) ** depth
+    return max(1, math.ceil(math.log(MISSED / 2) / math.log(1 - shared))), depth
+
+
 class _WordHashes(dict):
     def __missing__(self, word: str) -> int:
         value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
@@ -193,23 +207,58 @@ def _central_first(members: DataFrame) -> DataFrame:
     return members.select("key", "node", order.alias("order"))
 
 
-def _pairs_between(nodes: DataFrame, signed: DataFrame, width: int, percent: int) -> DataFrame:
-    """Each pair of `nodes` (node, label) of different labels that shares a table key, once.
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log2(n) * SIZE_CLASSES).cast("int")
 
-    A pair is given at its smallest common sub-key of the first collection, and only if
-    it shares one of the second too and the sizes allow a link.
+
+def _rare_first(nodes: DataFrame, numbered: DataFrame, size: int, percent: int) -> DataFrame:
+    """(`node`, `label`, `n`, `i`, `shingle`): shared shingles at the front of each set, rarest first.
+
+    `i` is the place in the set, counted from 0. Only as many places are given as a linked
+    set must share one of.
+    """
+    wanted = broadcast_if_small(nodes.select(F.col("node").alias("row")), BROADCAST_ROWS)
+    sets = settle(_sets(numbered.join(wanted, "row", "left_semi"), size), "sets")
+    held = sets.select(F.col("row").alias("node"), F.explode("shingles").alias("shingle"))
+    common = settle(held.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1"), "common")
+    ordered = F.sort_array(F.collect_list(F.struct(F.coalesce("held", F.lit(1)).alias("held"), "shingle")))
+    ranked = held.join(common, "shingle", "left").groupBy("node").agg(ordered.alias("ordered"))
+    sized = ranked.join(nodes, "node").withColumn("n", F.size("ordered"))
+    front = F.slice("ordered", F.lit(1), F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1)
+    places = sized.select("node", "label", "n", F.posexplode(front).alias("i", "at")).where("at.held > 1")
+    return settle(places.select("node", "label", "n", "i", "at.shingle"), "places")
+
+
+def _pairs_between(nodes: DataFrame, numbered: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs of `nodes` (node, label) of different labels that may be linked; no link is missing.
+
+    Shingles are ordered by their number of holders. If the first shingle that two sets
+    have in common is at places i and j, at most the smaller of n_a - i and n_b - j are
+    common, so that must reach the overlap that their sizes ask for. Sets meet at a
+    shingle and the size class of the smaller one, which already bounds both places:
+    near copies of one text, each with changes of its own, have these first and do not
+    meet at the shingles that all of them share.
     """
-    side = nodes.join(signed, "node").select(
-        "node", "label", F.col("n_shingles").alias("n"), F.slice("keys", 1, width).alias("firsts"), F.slice("keys", width + 1, width).alias("seconds")
+    places = _rare_first(nodes, numbered, size, percent)
+    least = F.ceil(F.col("n") * percent / 100)
+    enough = (100 + percent) * (F.col("n") - F.col("i"))
+    smaller = places.where(enough >= 2 * percent * F.col("n")).withColumn("class", _size_class(F.col("n")))
+    # a set of a class has no fewer shingles than this
+    low = F.greatest(least, F.floor(F.pow(F.lit(2.0), F.col("class") / SIZE_CLASSES)) - 1)
+    larger = places.withColumn("class", F.explode(F.sequence(_size_class(least), _size_class(F.col("n"))))).where(
+        enough >= percent * (F.col("n") + low)
     )
-    one = side.select(*[F.col(c).alias(f"{c}_a") for c in side.columns], F.explode("firsts").alias("first"))
-    other = side.select(*[F.col(c).alias(f"{c}_b") for c in side.columns], F.explode("firsts").alias("first"))
-    fit = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    once = F.array_min(F.array_intersect("firsts_a", "firsts_b")) == F.col("first")
-    wanted = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & fit & once
-    return one.join(other, "first").where(wanted & F.arrays_overlap("seconds_a", "seconds_b")).select(
-        F.col("node_a").alias("a"), F.col("node_b").alias("b")
+    one = smaller.select("class", "shingle", *[F.col(c).alias(f"{c}_a") for c in ("node", "label", "n", "i")])
+    other = larger.select("class", "shingle", *[F.col(c).alias(f"{c}_b") for c in ("node", "label", "n", "i")])
+    both = (100 + percent) * F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b"))
+    may = (
+        (F.struct("n_a", "node_a") < F.struct(F.col("n_b").alias("n_a"), F.col("node_b").alias("node_a")))
+        & (F.col("label_a") != F.col("label_b"))
+        & (100 * F.col("n_a") >= percent * F.col("n_b"))
+        & (both >= percent * (F.col("n_a") + F.col("n_b")))
     )
+    met = one.join(other, ["class", "shingle"]).where(may)
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
 
 
 def _first_pivots(members: DataFrame) -> DataFrame:
@@ -247,9 +296,9 @@ def linked_nodes(signed: DataFrame, numbered: DataFrame, size: int, percent: int
     key once its other members are all in one component, since links inside a component
     change nothing. The first pivot is the most central member, later ones the most
     central outside the key's largest component. So a key with m near copies of one
-    text costs about m comparisons, not m squared, and no pair of different components
-    that shares a key stays untested: what is open after `PIVOT_ROUNDS` rounds is
-    compared pair by pair between components.
+    text costs about m comparisons, not m squared, and no link between different
+    components that share a key stays untested: the members of keys that are open after
+    `PIVOT_ROUNDS` rounds are joined by the rarest shingles of their sets.
     """
     members = settle(_central_first(_table_keys(signed, width)), "members")
     links, labels, tested = None, None, None
@@ -264,7 +313,7 @@ def linked_nodes(signed: DataFrame, numbered: DataFrame, size: int, percent: int
                 F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
             )
         else:
-            pairs = _pairs_between(open_members.select("node", "label").distinct(), signed, width, percent)
+            pairs = _pairs_between(settle(open_members.select("node", "label").distinct(), "left"), numbered, size, percent)
         pairs = pairs.distinct()
         pairs = settle(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = pairs if tested is None else tested.union(pairs)
@@ -277,7 +326,7 @@ def linked_nodes(signed: DataFrame, numbered: DataFrame, size: int, percent: int
 
 
 def near_duplicates(
-    docs: DataFrame, size: int = 5, percent: int = 80, width: int = WIDTH, depth: int = DEPTH
+    docs: DataFrame, size: int = 5, percent: int = 80
 ) -> tuple[DataFrame, DataFrame]:
     """Near-duplicate classes of `docs` (doc_id, text, more): (classes, numbered docs).
 
@@ -290,8 +339,9 @@ def near_duplicates(
     text with fewer words is one shingle; null, empty and blank texts are classes of
     their own. Equal texts are one node, so copies cost nothing after the first pass.
     `component_id` ignores null ids and is null if a class has no other. Columns named
-    `row` are replaced.
+    `row` are replaced. `banding` chooses the tables by `percent`.
     """
+    width, depth = banding(percent)
     numbered = settle(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
     keyed = numbered.select("row", "doc_id", text_key(F.col("text")).alias("key"))
     signatures = settle(_signatures(numbered, size, width, depth), "signatures")

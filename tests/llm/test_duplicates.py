@@ -36,25 +36,25 @@ def classes(rows, size, percent):
     return [find(i) for i in range(len(rows))], [len(s) for s in sets]
 
 
-def near_copies(seed, groups=6, copies=12):
+def near_copies(seed, groups=6, copies=12, changed=12):
     r = random.Random(seed)
     rows = []
     for g in range(groups):
         base = [f"g{g}w{r.randrange(60)}" for _ in range(r.choice([3, 40, 120]))]
         for _ in range(copies):
             text = list(base)
-            for _ in range(r.randrange(0, 1 + len(base) // 12)):
+            for _ in range(r.randrange(0, 1 + len(base) // changed)):
                 text[r.randrange(len(text))] = f"e{r.randrange(10**6)}"
             rows.append((len(rows) + 10, " ".join(text)))
     return rows
 
 
-@pytest.mark.parametrize("size,rounds", [(2, 3), (5, 0)])
-def test_classes_equal_all_pairs(spark, monkeypatch, size, rounds):
+@pytest.mark.parametrize("size,rounds,percent,changed", [(2, 2, 80, 12), (5, 0, 80, 12), (2, 0, 80, 6), (2, 0, 50, 3), (2, 0, 60, 4), (2, 0, 90, 20)])
+def test_classes_equal_all_pairs(spark, monkeypatch, size, rounds, percent, changed):
     monkeypatch.setattr(tensor_minhash, "PIVOT_ROUNDS", rounds)
-    rows = near_copies(size)
-    found, _ = tensor_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size=size)
-    root, counts = classes(rows, size, 80)
+    rows = near_copies(size, changed=changed)
+    found, _ = tensor_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size, percent)
+    root, counts = classes(rows, size, percent)
     least = {}
     for (i, _), k in zip(rows, root):
         least[k] = min(least.get(k, i), i)
@@ -62,6 +62,34 @@ def test_classes_equal_all_pairs(spark, monkeypatch, size, rounds):
     assert sorted(map(tuple, found.select("doc_id", "n_shingles", "component_id").collect())) == expected
 
 
+def test_tables_follow_the_similarity():
+    assert tensor_minhash.banding(80) == (14, 3)
+    for percent in range(5, 101, 5):
+        width, depth = tensor_minhash.banding(percent)
+        missed = 1 - (1 - (1 - (percent / 100) ** depth) ** width) ** 2
+        assert missed <= tensor_minhash.MISSED
+
+
+def test_copies_that_differ_too_much_make_few_pairs(spark):
+    r = random.Random(1)
+    base = [f"w{k}" for k in range(80)]
+    rows = []
+    for row in range(200):
+        text = list(base)
+        for place in r.sample(range(80), 8):
+            text[place] = f"x{row}y{place}"
+        rows.append((row, " ".join(text)))
+    # one pair that is linked
+    rows.append((200, rows[0][1] + " end"))
+    numbered = spark.createDataFrame(rows, "row long, text string")
+    nodes = numbered.select(numbered["row"].alias("node"), numbered["row"].alias("label"))
+    pairs = tensor_minhash._pairs_between(nodes, numbered, 2, 80).distinct().collect()
+    assert (0, 200) in [tuple(p) for p in pairs]
+    sets = [shingles(t, 2) for _, t in rows]
+    linked = {(j, i) for i, a in enumerate(sets) for j in range(i) if 100 * len(a & sets[j]) >= 80 * len(a | sets[j])}
+    assert linked <= {tuple(p) for p in pairs} and len(pairs) < 1000
+
+
 def test_messy_rows_keep_one_of_each(spark, messy, empty):
     kept = tensor_minhash.keep_one_each(messy, size=5)
     assert kept.columns == messy.columns

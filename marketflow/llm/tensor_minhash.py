@@ -13,12 +13,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import apart, broadcast_if_small, text_key, words
+from marketflow.llm.common import apart, broadcast_if_small, text_key
 from marketflow.llm.components import components
+from marketflow.llm.lempel_ziv import hashed_words
+from marketflow.llm.spans import LOWER, flat, row_slices
 from marketflow.session import settle
 
 #: the probability that a pair just similar enough shares no table key
@@ -30,8 +31,6 @@ SIZE_CLASSES = 24
 BROADCAST_ROWS = 2_000_000
 #: shingles (8 bytes each) of sets that may be broadcast; larger ones are joined by a shuffle
 BROADCAST_SHINGLES = 3_000_000
-#: words whose hashes a worker keeps
-CACHED_WORDS = 50_000
 SEED = 11
 
 
@@ -46,12 +45,6 @@ def banding(percent: int) -> tuple[int, int]:
     return max(1, math.ceil(math.log(MISSED / 2) / math.log(1 - shared))), depth
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return value
-
-
 def _mixed(values: np.ndarray) -> np.ndarray:
     """A fixed bijection of 64-bit values that spreads them."""
     values = (values ^ (values >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
@@ -59,17 +52,16 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
-def shingle_set(text: str | None, size: int, cache: _WordHashes) -> np.ndarray:
-    """Sorted hashes of the distinct `size`-word shingles; of fewer words, the whole sequence is one."""
-    found = words(text)
-    if not found:
+def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
+    """Sorted hashes of the distinct `size`-word shingles of hashed words; of fewer words, the whole sequence is one."""
+    if not len(words):
         return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(cache.__getitem__, found), np.uint64, len(found))
-    take = min(size, len(found))
-    mixed = np.full(len(found) - take + 1, take, np.uint64)
+    take = min(size, len(words))
+    mixed = np.full(len(words) - take + 1, take, np.uint64)
     for k in range(take):
-        mixed = _mixed(mixed * np.uint64(3) + hashes[k : len(found) - take + 1 + k])
-    return np.unique(mixed)
+        mixed = _mixed(mixed * np.uint64(3) + words[k : len(words) - take + 1 + k])
+    mixed.sort()
+    return mixed[np.concatenate([[True], mixed[1:] != mixed[:-1]])]
 
 
 def _coefficients(width: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,8 +76,8 @@ def _coefficients(width: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
 def sub_keys(shingles: np.ndarray, odd: np.ndarray, shift: np.ndarray, width: int, depth: int) -> np.ndarray:
     """The 2 * width sub-keys of a set; keys of different slots never mean the same."""
     least = np.full(len(odd), np.iinfo(np.uint64).max, np.uint64)
-    for start in range(0, len(shingles), 4096):
-        block = shingles[start : start + 4096, None]
+    for start in range(0, len(shingles), 512):
+        block = shingles[start : start + 512, None]
         np.minimum(least, ((block ^ shift) * odd).min(axis=0), out=least)
     keys = np.arange(2 * width, dtype=np.uint64)
     for k in range(depth):
@@ -100,25 +92,23 @@ def _longs(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _in_batches(rows: DataFrame, function, schema: str) -> DataFrame:
-    """`function(list of texts) -> dict of Arrow arrays` over `row` and `text`, in bounded batches."""
+    """`function(hashed words of each text) -> dict of Arrow arrays` over `row` and `text`, in bounded slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _WordHashes()
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                made = function(part.column("text").to_pylist(), cache)
-                if len(cache) > CACHED_WORDS:
-                    cache.clear()
-                yield pa.RecordBatch.from_pydict({"row": part.column("row"), **made})
+            data, offsets = flat(batch.column("text"))
+            for a, b in row_slices(offsets):
+                hashes, begins = hashed_words(LOWER[data[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a])
+                made = function([hashes[x:y] for x, y in zip(begins, begins[1:])])
+                yield pa.RecordBatch.from_pydict({"row": batch.column("row").slice(a, b - a), **made})
 
     return rows.select("row", "text").mapInArrow(run, schema)
 
 
 def _signatures(rows: DataFrame, size: int, width: int, depth: int) -> DataFrame:
-    def make(texts: list, cache: _WordHashes) -> dict:
+    def make(texts: list) -> dict:
         odd, shift = _coefficients(width, depth)
-        sets = [shingle_set(text, size, cache) for text in texts]
+        sets = [shingle_set(words, size) for words in texts]
         keys = [sub_keys(s, odd, shift, width, depth) if len(s) else s for s in sets]
         return {"n_shingles": pa.array([len(s) for s in sets], pa.int64()), "keys": _longs(keys)}
 
@@ -127,9 +117,7 @@ def _signatures(rows: DataFrame, size: int, width: int, depth: int) -> DataFrame
 
 def _sets(rows: DataFrame, size: int) -> DataFrame:
     return _in_batches(
-        rows,
-        lambda texts, cache: {"shingles": _longs([shingle_set(text, size, cache) for text in texts])},
-        "row long, shingles array<long>",
+        rows, lambda texts: {"shingles": _longs([shingle_set(words, size) for words in texts])}, "row long, shingles array<long>"
     )
 
 

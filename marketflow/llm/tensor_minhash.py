@@ -19,13 +19,15 @@ from pyspark.sql import functions as F
 from marketflow.llm.common import apart, broadcast_if_small, text_key
 from marketflow.llm.components import components
 from marketflow.llm.lempel_ziv import hashed_words
-from marketflow.llm.spans import LOWER, flat, row_slices
+from marketflow.llm.spans import LOWER, NOT_BLANK, flat, row_slices
 from marketflow.session import settle
 
 #: the probability that a pair just similar enough shares no table key
 MISSED = 1e-4
 #: rounds of pivots before what is left of the keys' members is joined by its rarest shingles
 PIVOT_ROUNDS = 2
+#: bytes of text whose words are hashed at a time
+BLOCK_BYTES = 1 << 18
 #: classes of set sizes between a size and its double
 SIZE_CLASSES = 24
 BROADCAST_ROWS = 2_000_000
@@ -91,16 +93,40 @@ def _longs(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.uint64).view(np.int64)))
 
 
+def _blocks(text: np.ndarray) -> Iterator[np.ndarray]:
+    """The bytes of a text in blocks of about `BLOCK_BYTES` that end between words."""
+    start = 0
+    while start < len(text):
+        end = start + BLOCK_BYTES
+        while end < len(text):
+            blank = np.flatnonzero(~NOT_BLANK[text[end : end + BLOCK_BYTES]])
+            end += int(blank[0]) if len(blank) else BLOCK_BYTES
+            if len(blank):
+                break
+        yield text[start:end]
+        start = end
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> Iterator[list[np.ndarray]]:
+    """The hashed lower-case words of each text, for a few texts at a time; a long text is hashed block by block."""
+    for a, b in row_slices(offsets, BLOCK_BYTES):
+        part = LOWER[data[offsets[a] : offsets[b]]]
+        if len(part) > BLOCK_BYTES:  # one text
+            yield [np.concatenate([hashed_words(block, np.array([0, len(block)]))[0] for block in _blocks(part)])]
+        else:
+            hashes, begins = hashed_words(part, offsets[a : b + 1] - offsets[a])
+            yield [hashes[x:y] for x, y in zip(begins, begins[1:])]
+
+
 def _in_batches(rows: DataFrame, function, schema: str) -> DataFrame:
     """`function(hashed words of each text) -> dict of Arrow arrays` over `row` and `text`, in bounded slices."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = flat(batch.column("text"))
-            for a, b in row_slices(offsets):
-                hashes, begins = hashed_words(LOWER[data[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a])
-                made = function([hashes[x:y] for x, y in zip(begins, begins[1:])])
-                yield pa.RecordBatch.from_pydict({"row": batch.column("row").slice(a, b - a), **made})
+            done = 0
+            for texts in word_hashes(*flat(batch.column("text"))):
+                yield pa.RecordBatch.from_pydict({"row": batch.column("row").slice(done, len(texts)), **function(texts)})
+                done += len(texts)
 
     return rows.select("row", "text").mapInArrow(run, schema)
 

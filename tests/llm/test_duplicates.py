@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +63,18 @@ def test_classes_equal_all_pairs(spark, monkeypatch, size, rounds, percent, chan
     assert sorted(map(tuple, found.select("doc_id", "n_shingles", "component_id").collect())) == expected
 
 
+def test_words_of_long_texts_are_hashed_in_blocks(monkeypatch):
+    r = random.Random(2)
+    texts = ["", "a " * 300, "x" * 500, " ".join("b" * r.randrange(1, 90) for _ in range(200)), " \n", "c d"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0] + [len(t) for t in texts])
+    whole = [h.tolist() for part in tensor_minhash.word_hashes(data, offsets) for h in part]
+    assert [len(h) for h in whole] == [len(words(t)) for t in texts]
+    for size in (1, 7, 64):
+        monkeypatch.setattr(tensor_minhash, "BLOCK_BYTES", size)
+        assert [h.tolist() for part in tensor_minhash.word_hashes(data, offsets) for h in part] == whole
+
+
 def test_tables_follow_the_similarity():
     assert tensor_minhash.banding(80) == (14, 3)
     for percent in range(5, 101, 5):

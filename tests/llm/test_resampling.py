@@ -104,3 +104,13 @@ def test_more_of_the_target_is_drawn(spark):
     target = spark.createDataFrame([(" ".join(f"near{(i * 7 + k) % 50}" for k in range(50)),) for i in range(20)], "text string")
     drawn = resampling.draw(spark.createDataFrame(rows, "doc_id long, text string"), target, percent=10).collect()
     assert len(drawn) == 60 and sum(r.doc_id % 10 == 0 for r in drawn) >= 36
+
+
+def test_gains_divide_each_count_by_its_own_total():
+    """The ratio of the shares (t + 1) / (T + n) and (s + 1) / (S + n), of totals that differ widely."""
+    source, target = np.array([900, 90, 9, 0]), np.array([1, 0, 2, 0])
+    want = [math.floor(1000 * math.log((t + 1) * (999 + 4) / ((s + 1) * (3 + 4)))) for s, t in zip(source.tolist(), target.tolist())]
+    assert resampling.gains(source, target).tolist() == want
+    # a target that is the corpus itself gains nothing anywhere, one without counts only where the corpus has few
+    assert not resampling.gains(source, source).any()
+    assert resampling.gains(source, np.zeros(4, np.int64)).tolist() == [math.floor(1000 * math.log(1003 / ((s + 1) * 4))) for s in source.tolist()]

@@ -27,7 +27,7 @@ from marketflow.session import settle
 FREQUENT, CLASSES = 2e-4, 4093
 #: the counts of words with this share of all tokens go to every task: at most its inverse many, 16 bytes each
 KNOWN = 1e-6
-STATES, SAMPLE_DOCS, SAMPLE_TURNS, TURNS = 6, 600, 25, 2
+STATES, TURNS = 6, 6
 #: bytes of text that are hashed at a time
 SLICE_BYTES = 4_000_000
 #: tokens of a block in the recursions
@@ -306,10 +306,10 @@ def score(
     Every word outside the training words counts as one unknown word of its class, as
     the base has one unknown word in all. Rows of repeated ids are scored each.
 
-    Training: word counts over all training rows, turns of Baum-Welch over a sample of
-    `SAMPLE_DOCS` documents as a start, then `turns` turns over all training rows. Without
-    training rows all counts are 0. Counts of words below `known_share` (at most `FREQUENT`)
-    of all tokens are joined to the tokens, those above are known to every task.
+    Training: word counts over all training rows, then `turns` turns of Baum-Welch over all
+    training rows. Without training rows all counts are 0. Counts of words below
+    `known_share` (at most `FREQUENT`) of all tokens are joined to the tokens, those above
+    are known to every task.
     """
     docs = docs.select("doc_id", "text", (fold(F.col("doc_id"), folds) == held_out).alias("held_out"))
     counts = settle(word_counts(docs.where(~F.col("held_out"))), "counts")
@@ -318,17 +318,7 @@ def score(
     training = texts.where(~F.col("held_out"))
     shares = held.sums / held.sums.sum()
     chain = initial(shares, states)
-    sample = training.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).select("seen")
-
-    def warm_up(frame: pd.DataFrame) -> pd.DataFrame:
-        warm, seen = chain, _texts(frame["seen"])
-        for _ in range(SAMPLE_TURNS):
-            warm = improved(expected_counts(seen, warm), shares)
-        return pd.DataFrame({"part": [0, 1, 2], "values": [warm.start, warm.move.ravel(), warm.emit.ravel()]})
-
-    parts = {r["part"]: np.array(r["values"]) for r in sample.groupBy().applyInPandas(warm_up, "part int, values array<double>").collect()}
-    if parts:
-        chain = Chain(parts[0], parts[1].reshape(states, states), parts[2].reshape(-1, states))
+    if held.every:
         for _ in range(turns):
             chain = baum_welch(training, chain, shares)
 

@@ -192,6 +192,23 @@ def test_scores_do_not_depend_on_which_words_every_task_knows(spark):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_every_turn_of_the_chain_runs_over_all_training_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * 7 + k) % 11}" for k in range(12))) for i in range(900)], "doc_id long, text string")
+    learnt = sum(crc32(str(i).encode()) % 5 != 1 for i in range(900))
+    begun, turn = [], hidden_markov.baum_welch
+
+    def watched(encoded, chain, classes):
+        begun.append((encoded.count(), chain, classes))
+        return turn(encoded, chain, classes)
+
+    monkeypatch.setattr(hidden_markov, "baum_welch", watched)
+    hidden_markov.score(docs, turns=2)
+    assert [n for n, _, _ in begun] == [learnt, learnt]
+    # nothing was learnt from a part of the rows before
+    first = hidden_markov.initial(begun[0][2])
+    assert np.array_equal(begun[0][1].emit, first.emit) and np.array_equal(begun[0][1].move, first.move)
+
+
 def test_pipeline_stages_work_on_what_is_left(spark):
     import corpus_pipeline
 

@@ -38,6 +38,8 @@ READ, NOISE, EDGE_NOISE, EDGE_DIGIT, SIGN, ANY, ONCE, TWICE, JOIN = 0.7, 12.0, 0
 LETTERS = 28  # the end of a word, a to z, any other letter
 #: decoded tokens and words with known features that a task keeps
 WORDS_KEPT, KNOWN_KEPT = 60_000, 100_000
+#: texts that are held as strings at a time
+TEXTS_HELD = 256
 #: longer tokens keep this many readings a position
 EXACT, BEAM = 64, 32
 
@@ -355,11 +357,12 @@ def score(docs: DataFrame, model: ToxicityModel, restored: bool = False) -> Data
 
         for batch in batches:
             scores, texts = [], []
-            for text in batch.column("text").to_pylist():
-                words = restorer.words(text)
-                found = {f for word in set(words) for f in known(word)}
-                scores.append(float(sigmoid(model.intercept + sum(weights[f] for f in sorted(found)))))
-                texts.append(" ".join(words) if restored else "")
+            for start in range(0, batch.num_rows, TEXTS_HELD):
+                for text in batch.column("text").slice(start, TEXTS_HELD).to_pylist():
+                    words = restorer.words(text)
+                    found = {f for word in set(words) for f in known(word)}
+                    scores.append(float(sigmoid(model.intercept + sum(weights[f] for f in sorted(found)))))
+                    texts.append(" ".join(words) if restored else "")
             batch = batch.append_column("toxicity", pa.array(scores, pa.float64()))
             yield batch.append_column("restored", pa.array(texts, pa.string())) if restored else batch
 

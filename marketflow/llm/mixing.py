@@ -27,6 +27,8 @@ from marketflow.session import settle
 SAMPLE_ROWS = 12_000
 #: rows that the descent of the rates starts on, as many on average (all of fewer)
 START_ROWS = 50_000
+#: bytes of text whose features are made at a time: a worker holds some fifty times as much
+SLICE_BYTES = 1 << 18
 #: domains told by the given labels: good prose, toxic text, poor text
 DOMAINS = ("prose", "toxic", "poor")
 #: largest miss of a domain's share of all tokens; share of the squared misses by which a fit that can't meet them may be off
@@ -57,27 +59,26 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domains: int, rows: int =
     return np.array(made[0]["model"]).reshape(size, domains) if made else np.zeros((size, domains))
 
 
+def _members(batches: Iterator[pa.RecordBatch], weights: np.ndarray) -> Iterator[pa.RecordBatch]:
+    domains, hasher = weights.shape[1], Hasher()
+    for batch in batches:
+        data, offsets = flat(batch.column("text"))
+        for first, last in row_slices(offsets, SLICE_BYTES):
+            at, numbers, values, tokens = hashed_rows(
+                LOWER[data[offsets[first] : offsets[last]]], offsets[first : last + 1] - offsets[first], hasher
+            )
+            hasher.trim()
+            margin = [np.bincount(at, weights[numbers, d] * values, last - first) + weights[-1, d] for d in range(domains)]
+            columns = [batch.column(c).slice(first, last - first) for c in ("row", "doc_id")]
+            columns += [pa.array(tokens, pa.int64()), *map(pa.array, softmax(np.stack(margin, 1)).T.copy())]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "tokens", *[f"p{d}" for d in range(domains)]])
+
+
 def memberships(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """`row`, `doc_id`, `tokens` (words of the whole text) and `p0`, `p1`, ... (they sum to 1) per row of `docs` (row, doc_id, text)."""
-    domains = weights.shape[1]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
-        for batch in batches:
-            data, offsets = flat(batch.column("text"))
-            for first, last in row_slices(offsets):
-                at, numbers, values, tokens = hashed_rows(
-                    LOWER[data[offsets[first] : offsets[last]]], offsets[first : last + 1] - offsets[first], hasher
-                )
-                hasher.trim()
-                margin = [np.bincount(at, weights[numbers, d] * values, last - first) + weights[-1, d] for d in range(domains)]
-                columns = [batch.column(c).slice(first, last - first) for c in ("row", "doc_id")]
-                columns += [pa.array(tokens, pa.int64()), *map(pa.array, softmax(np.stack(margin, 1)).T.copy())]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "tokens", *[f"p{d}" for d in range(domains)]])
-
-    schema = "row long, doc_id long, tokens long, " + ", ".join(f"p{d} double" for d in range(domains))
+    schema = "row long, doc_id long, tokens long, " + ", ".join(f"p{d} double" for d in range(weights.shape[1]))
     given = docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return given.mapInArrow(run, schema)
+    return given.mapInArrow(lambda batches: _members(batches, weights), schema)
 
 
 def _sums(p: np.ndarray, weight: np.ndarray, totals: list[np.ndarray], least: float, most: float) -> np.ndarray:

@@ -3,10 +3,12 @@
 import itertools
 import math
 import random
+import tracemalloc
 from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,6 +125,19 @@ def test_rates_meet_their_targets(spark):
     assert ((reached - goal) ** 2).sum() <= best * 1.02 + 1e-8
 
 
+def test_memberships_hold_a_bounded_part_of_a_batch():
+    """Eight megabytes of text in one batch take far less than the fifty-fold that their features would at once."""
+    texts = [" ".join(f"w{(i * 31 + k * 17) % 4999}" for k in range(400)) for i in range(3500)]
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array([t.encode() for t in texts])], names=["row", "doc_id", "text"])
+    weights = np.random.default_rng(4).normal(size=((1 << 16) + 1, 3))
+    tracemalloc.start()
+    tokens = [n for made in mixing._members(iter([batch]), weights) for n in made.column("tokens").to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert tokens == [400] * len(texts) and peak < 40_000_000
+
+
 def test_mixing_of_messy_rows(spark, messy, empty, label_frame):
     labelled = label_frame.select("doc_id", mixing.domain_of_labels().alias("label"))
     mixed = mixing.mix(messy, labelled, [0.6, 0.2, 0.2])

@@ -67,25 +67,32 @@ def _codes_of(text: str) -> np.ndarray:
     return np.where(letter, points - 96, np.where(low, 0, 27)).astype(np.int64)
 
 
+def _held_texts(batch: pa.RecordBatch) -> Iterator[str | None]:
+    """The texts of a batch, `TEXTS_HELD` of them as strings at a time."""
+    column = batch.column("text")
+    for start in range(0, len(column), TEXTS_HELD):
+        yield from column.slice(start, TEXTS_HELD).to_pylist()
+
+
 def character_counts(texts: DataFrame) -> DataFrame:
     """(`trigram`, `n`): how often each three letter codes follow each other in `text`, over all rows.
 
     Counted inside a task into one table of 28 cubed cells, summed across tasks.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(LETTERS**3, np.int64)
         for batch in batches:
-            for text in batch["text"]:
+            for text in _held_texts(batch):
                 if text:
                     codes = np.concatenate([[0, 0], _codes_of(text), [0]])
                     total += np.bincount(
                         (codes[:-2] * LETTERS + codes[1:-1]) * LETTERS + codes[2:], minlength=LETTERS**3
                     )
         held = np.flatnonzero(total)
-        yield pd.DataFrame({"trigram": held, "n": total[held]})
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array(total[held])], names=["trigram", "n"])
 
-    parts = texts.select("text").mapInPandas(count, "trigram long, n long")
+    parts = texts.select(F.col("text").cast("string").alias("text")).mapInArrow(count, "trigram long, n long")
     return parts.groupBy("trigram").agg(F.sum("n").alias("n"))
 
 
@@ -357,12 +364,11 @@ def score(docs: DataFrame, model: ToxicityModel, restored: bool = False) -> Data
 
         for batch in batches:
             scores, texts = [], []
-            for start in range(0, batch.num_rows, TEXTS_HELD):
-                for text in batch.column("text").slice(start, TEXTS_HELD).to_pylist():
-                    words = restorer.words(text)
-                    found = {f for word in set(words) for f in known(word)}
-                    scores.append(float(sigmoid(model.intercept + sum(weights[f] for f in sorted(found)))))
-                    texts.append(" ".join(words) if restored else "")
+            for text in _held_texts(batch):
+                words = restorer.words(text)
+                found = {f for word in set(words) for f in known(word)}
+                scores.append(float(sigmoid(model.intercept + sum(weights[f] for f in sorted(found)))))
+                texts.append(" ".join(words) if restored else "")
             batch = batch.append_column("toxicity", pa.array(scores, pa.float64()))
             yield batch.append_column("restored", pa.array(texts, pa.string())) if restored else batch
 

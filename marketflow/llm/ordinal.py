@@ -16,6 +16,8 @@ from marketflow.session import settle
 
 #: rated rows the model is fitted on, at most
 SAMPLE_ROWS = 12_000
+#: texts whose features are held at a time
+TEXTS_HELD = 256
 #: a text is selected if it reaches the middle grade with this probability
 SELECT_AT = 0.5
 
@@ -56,11 +58,13 @@ def sampled_features(docs: DataFrame, rated: DataFrame, rows: int) -> DataFrame:
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher()
         for batch in batches:
-            made = [hashed(text, hasher) for text in batch["text"]]
-            hasher.trim()
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "label": batch["label"], "numbers": [m[0] for m in made], "values": [m[1] for m in made]}
-            )
+            for start in range(0, len(batch), TEXTS_HELD):
+                part = batch.iloc[start : start + TEXTS_HELD]
+                made = [hashed(text, hasher) for text in part["text"]]
+                hasher.trim()
+                yield pd.DataFrame(
+                    {"doc_id": part["doc_id"], "label": part["label"], "numbers": [m[0] for m in made], "values": [m[1] for m in made]}
+                )
 
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     made = sample.mapInPandas(make, "doc_id long, label int, numbers array<long>, values array<double>")

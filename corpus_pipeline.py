@@ -30,7 +30,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    return spaced_seeds.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return spaced_seeds.decontaminate(docs, table(spark, sf_dir, "benchmark"), least_tokens=1)
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

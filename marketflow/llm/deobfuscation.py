@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marketflow.llm.common import WORD, apart, fold
+from marketflow.llm.common import WORD, apart, fold, releasing
 from marketflow.llm.linear import fit_logistic, sigmoid
 from marketflow.session import settle
 
@@ -283,7 +283,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1) -
                 yield pd.DataFrame({"doc_id": [doc_id], "label": [label], "features": [np.array(sorted(found), np.int64)]})
 
     held = settle(
-        sample.select("doc_id", "text", "label").mapInPandas(features, "doc_id long, label int, features array<long>"), "features"
+        sample.select("doc_id", "text", "label").mapInPandas(releasing(features), "doc_id long, label int, features array<long>"),
+        "features",
     )
     totals = {r["label"]: r["n"] for r in chosen.groupBy("label").agg(F.count("*").alias("n")).collect()}
     bad, good = totals.get(1, 0), totals.get(0, 0)
@@ -372,4 +373,4 @@ def score(docs: DataFrame, model: ToxicityModel, restored: bool = False) -> Data
             batch = batch.append_column("toxicity", pa.array(scores, pa.float64()))
             yield batch.append_column("restored", pa.array(texts, pa.string())) if restored else batch
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)

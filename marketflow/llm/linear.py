@@ -42,27 +42,43 @@ def fit_logistic(
 
 
 class _Entries:
-    """Sparse entries (row, column, value) in the order of rows and of columns: sums by either are sums of neighbours."""
+    """Sparse entries (row, column, value) in the order of rows and of columns: sums by either are sums of neighbours.
 
-    def __init__(self, at: np.ndarray, columns: np.ndarray, values: np.ndarray, rows: int):
+    Entries that come in the order of rows are not copied for it. `size`: beyond all columns.
+    """
+
+    def __init__(self, at: np.ndarray, columns: np.ndarray, values: np.ndarray, rows: int, size: int):
         self.rows, self.size = rows, len(values)
-        self.used, column = np.unique(columns, return_inverse=True)
-        by_row, by_column = np.argsort(at, kind="stable"), np.argsort(column, kind="stable")
-        self.column, self.row_values = column[by_row], values[by_row]
-        self.row, self.column_values = at[by_column], values[by_column]
-        self.held, self.row_starts = np.unique(at[by_row], return_index=True)
-        self.column_starts = np.unique(column[by_column], return_index=True)[1]
+        if (at[1:] < at[:-1]).any():
+            by_row = np.argsort(at, kind="stable")
+            at, columns, values = at[by_row], columns[by_row], values[by_row]
+        present = np.zeros(size, bool)
+        present[columns] = True
+        self.used = np.flatnonzero(present)
+        number = np.cumsum(present) - 1
+        self.column, self.row_values = number[columns], values
+        by_column = np.argsort(self.column, kind="stable")
+        self.row, self.column_values = at[by_column].astype(np.intp), values[by_column]
+        counts = np.bincount(at, minlength=rows)
+        self.held = np.flatnonzero(counts)
+        self.row_starts = (np.cumsum(counts) - counts)[self.held]
+        counts = np.bincount(self.column, minlength=len(self.used))
+        self.column_starts = np.cumsum(counts) - counts
 
     def by_row(self, weights: np.ndarray) -> np.ndarray:
         """Sum of values times the weights of their (used) columns, per row."""
         sums = np.zeros(self.rows)
         if self.size:
-            sums[self.held] = np.add.reduceat(weights[self.column] * self.row_values, self.row_starts)
+            products = weights[self.column]
+            products *= self.row_values
+            sums[self.held] = np.add.reduceat(products, self.row_starts)
         return sums
 
     def by_column(self, errors: np.ndarray) -> np.ndarray:
         """Sum of values times the errors of their rows, per used column."""
-        return np.add.reduceat(errors[self.row] * self.column_values, self.column_starts) if self.size else np.zeros(0)
+        products = errors[self.row]
+        products *= self.column_values
+        return np.add.reduceat(products, self.column_starts) if self.size else np.zeros(0)
 
 
 def fit_softmax(
@@ -72,7 +88,7 @@ def fit_softmax(
 
     Columns without entries keep weights of 0.
     """
-    rows, truth, entries = len(label), np.eye(classes)[label], _Entries(at, columns, values, len(label))
+    rows, truth, entries = len(label), np.eye(classes)[label], _Entries(at, columns, values, len(label), size)
     used = len(entries.used)
 
     def gradient(x):

@@ -16,10 +16,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import apart
+from marketflow.llm.common import apart, release, releasing
 from marketflow.llm.features import BITS, Hasher, hashed_rows
 from marketflow.llm.linear import fit_softmax, softmax
-from marketflow.llm.ordinal import entries, sampled_features
+from marketflow.llm.ordinal import sampled_features
 from marketflow.llm.spans import LOWER, flat, row_slices
 from marketflow.session import settle
 
@@ -43,18 +43,36 @@ def domain_of_labels() -> Column:
     return F.when(known, F.when(F.col("toxic") > 0, 1).when(F.col("quality") > 0, 0).otherwise(2)).cast("int")
 
 
+def _entries(batches: Iterator[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row of each entry, feature numbers, values, labels) of rows of `sampled_features`, in their order."""
+    counts, numbers, values, label = ([np.empty(0, kind)] for kind in (np.int32, np.int32, np.float64, np.int32))
+    for batch in batches:
+        held = batch.column("numbers")
+        counts.append(np.diff(held.offsets.to_numpy()))
+        # copies, so that no batch stays behind them
+        numbers.append(held.flatten().to_numpy().copy())
+        values.append(batch.column("values").flatten().to_numpy().copy())
+        label.append(batch.column("label").to_numpy().copy())
+    counts, label = np.concatenate(counts), np.concatenate(label)
+    return np.repeat(np.arange(len(label), dtype=np.int32), counts), np.concatenate(numbers), np.concatenate(values), label
+
+
 def fit_domains(docs: DataFrame, labelled: DataFrame, domains: int, rows: int = SAMPLE_ROWS) -> np.ndarray:
     """Classifier weights from `docs` (doc_id, text) and `labelled` (doc_id, label), on `rows` rows at most.
 
     Without labels all weights are 0 and the domains equally likely.
     """
 
-    def train(frame: pd.DataFrame) -> pd.DataFrame:
-        at, numbers, values, label = entries(frame)
-        weights = fit_softmax(at, numbers, values, label, domains, 1 << BITS)
-        return pd.DataFrame({"model": [weights.ravel()]})
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, numbers, values, label = _entries(batches)
+        release()  # of the batches
+        if len(label):
+            weights = fit_softmax(at, numbers, values, label, domains, 1 << BITS)
+            yield pa.RecordBatch.from_pydict({"model": pa.array([weights.ravel()], pa.list_(pa.float64()))})
 
-    made = sampled_features(docs, labelled, rows).groupBy().applyInPandas(train, "model array<double>").collect()
+    # the sample is bounded: one task reads it, in the order of ids
+    sample = sampled_features(docs, labelled, rows).coalesce(1).sortWithinPartitions("doc_id")
+    made = sample.mapInArrow(releasing(train), "model array<double>").collect()
     size = (1 << BITS) + 1
     return np.array(made[0]["model"]).reshape(size, domains) if made else np.zeros((size, domains))
 
@@ -78,7 +96,7 @@ def memberships(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """`row`, `doc_id`, `tokens` (words of the whole text) and `p0`, `p1`, ... (they sum to 1) per row of `docs` (row, doc_id, text)."""
     schema = "row long, doc_id long, tokens long, " + ", ".join(f"p{d} double" for d in range(weights.shape[1]))
     given = docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return given.mapInArrow(lambda batches: _members(batches, weights), schema)
+    return given.mapInArrow(releasing(lambda batches: _members(batches, weights)), schema)
 
 
 def _sums(p: np.ndarray, weight: np.ndarray, totals: list[np.ndarray], least: float, most: float) -> np.ndarray:

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketflow.llm.common import releasing
 from marketflow.llm.features import BITS, Hasher, hashed
 from marketflow.llm.linear import fit_ordinal, sigmoid
 from marketflow.session import settle
@@ -63,11 +64,16 @@ def sampled_features(docs: DataFrame, rated: DataFrame, rows: int) -> DataFrame:
                 made = [hashed(text, hasher) for text in part["text"]]
                 hasher.trim()
                 yield pd.DataFrame(
-                    {"doc_id": part["doc_id"], "label": part["label"], "numbers": [m[0] for m in made], "values": [m[1] for m in made]}
+                    {
+                        "doc_id": part["doc_id"],
+                        "label": part["label"],
+                        "numbers": [m[0].astype(np.int32) for m in made],
+                        "values": [m[1] for m in made],
+                    }
                 )
 
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    made = sample.mapInPandas(make, "doc_id long, label int, numbers array<long>, values array<double>")
+    made = sample.mapInPandas(releasing(make), "doc_id long, label int, numbers array<int>, values array<double>")
     # repeated rows of one id may exceed the bound again
     return settle(made, "features").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
@@ -76,7 +82,7 @@ def entries(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     """(row of each entry, feature numbers, values, labels), in the order of ids."""
     frame = frame.sort_values("doc_id", kind="stable")
     at = np.repeat(np.arange(len(frame)), [len(n) for n in frame["numbers"]])
-    return at, np.concatenate(frame["numbers"].tolist()), np.concatenate(frame["values"].tolist()), frame["label"].to_numpy(int)
+    return at, np.concatenate(frame["numbers"].tolist(), dtype=np.int64), np.concatenate(frame["values"].tolist()), frame["label"].to_numpy(int)
 
 
 def fit(docs: DataFrame, rated: DataFrame, grades: int, rows: int = SAMPLE_ROWS) -> OrdinalModel:

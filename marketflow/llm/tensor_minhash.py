@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import apart, broadcast_if_small, text_key
+from marketflow.llm.common import apart, broadcast_if_small, releasing, text_key
 from marketflow.llm.components import components
 from marketflow.llm.lempel_ziv import hashed_words
 from marketflow.llm.spans import LOWER, NOT_BLANK, flat, row_slices
@@ -31,8 +31,6 @@ BLOCK_BYTES = 1 << 18
 #: classes of set sizes between a size and its double
 SIZE_CLASSES = 24
 BROADCAST_ROWS = 2_000_000
-#: shingles (8 bytes each) of sets that may be broadcast; larger ones are joined by a shuffle
-BROADCAST_SHINGLES = 3_000_000
 SEED = 11
 
 
@@ -119,16 +117,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> Iterator[list[np.ndarr
 
 
 def _in_batches(rows: DataFrame, function, schema: str) -> DataFrame:
-    """`function(hashed words of each text) -> dict of Arrow arrays` over `row` and `text`, in bounded slices."""
+    """`function(hashed words of each text) -> dict of Arrow arrays` over `text`, in bounded slices, beside the other columns."""
+    kept = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = 0
             for texts in word_hashes(*flat(batch.column("text"))):
-                yield pa.RecordBatch.from_pydict({"row": batch.column("row").slice(done, len(texts)), **function(texts)})
+                yield pa.RecordBatch.from_pydict({**{c: batch.column(c).slice(done, len(texts)) for c in kept}, **function(texts)})
                 done += len(texts)
 
-    return rows.select("row", "text").mapInArrow(run, schema)
+    return rows.mapInArrow(releasing(run), schema)
 
 
 def _signatures(rows: DataFrame, size: int, width: int, depth: int) -> DataFrame:
@@ -138,12 +137,16 @@ def _signatures(rows: DataFrame, size: int, width: int, depth: int) -> DataFrame
         keys = [sub_keys(s, odd, shift, width, depth) if len(s) else s for s in sets]
         return {"n_shingles": pa.array([len(s) for s in sets], pa.int64()), "keys": _longs(keys)}
 
-    return _in_batches(rows, make, "row long, n_shingles long, keys array<long>")
+    return _in_batches(rows.select("row", "text"), make, "row long, n_shingles long, keys array<long>")
 
 
-def _sets(rows: DataFrame, size: int) -> DataFrame:
-    return _in_batches(
-        rows, lambda texts: {"shingles": _longs([shingle_set(words, size) for words in texts])}, "row long, shingles array<long>"
+def _sets(numbered: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+    """`row`, the other columns of `nodes` (settled, `row` first) and `shingles` (the whole set) of the rows of `nodes`."""
+    rows = numbered.select("row", "text").join(broadcast_if_small(nodes, BROADCAST_ROWS), "row").select(*nodes.columns, "text")
+    schema = ", ".join(f"{c.name} {c.dataType.simpleString()}" for c in nodes.schema)
+    return settle(
+        _in_batches(rows, lambda texts: {"shingles": _longs([shingle_set(words, size) for words in texts])}, f"{schema}, shingles array<long>"),
+        "sets",
     )
 
 
@@ -181,25 +184,38 @@ def _table_keys(signed: DataFrame, width: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, numbered: DataFrame, signed: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (`a`, `b`) whose sets meet `100 * intersection >= percent * union`."""
+    """The pairs (`a`, `b`) whose sets meet `100 * intersection >= percent * union`.
+
+    Of each pair the node with more pairs is the hub. Sets are made with the hubs that
+    they are compared with beside them, so a set goes straight to its hubs and is
+    shuffled once per pair; only the sets of hubs go once more.
+    """
     counts = signed.select("node", "n_shingles")
     bounded = (
         pairs.join(counts.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a")), "a")
         .join(counts.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b")), "b")
         .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
     )
-    bounded = settle(bounded, "bounded")
-    nodes = bounded.select(F.col("a").alias("row")).union(bounded.select(F.col("b").alias("row"))).distinct()
-    nodes = settle(nodes, "nodes")
-    sets = settle(_sets(numbered.join(broadcast_if_small(nodes, BROADCAST_ROWS), "row", "left_semi"), size), "sets")
-    if (sets.agg(F.sum(F.size("shingles"))).first()[0] or 0) <= BROADCAST_SHINGLES:
-        sets = F.broadcast(sets)
-    common = F.size(F.array_intersect("s_a", "s_b"))
+    bounded = settle(bounded.select("a", "b"), "bounded")
+    met = bounded.select(F.col("a").alias("node")).union(bounded.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("n"))
+    met = settle(met, "met")
+    a_is_hub = F.struct("n_a", "a") > F.struct(F.col("n_b").alias("n_a"), F.col("b").alias("a"))
+    aimed = (
+        bounded.join(met.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
+        .join(met.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
+        .select(F.when(a_is_hub, F.col("b")).otherwise(F.col("a")).alias("row"), F.when(a_is_hub, F.col("a")).otherwise(F.col("b")).alias("hub"))
+    )
+    aimed = settle(aimed, "aimed")
+    every = aimed.select("row", "hub").union(aimed.select(F.col("hub").alias("row"), F.lit(None).cast("long").alias("hub")).distinct())
+    # a null stands for the node itself as a hub
+    nodes = every.groupBy("row").agg(F.collect_list("hub").alias("hubs"), F.max(F.col("hub").isNull()).alias("is_hub"))
+    sets = _sets(numbered, settle(nodes, "nodes"), size)
+    common = F.size(F.array_intersect("of_hub", "shingles"))
     return settle(
-        bounded.join(sets.select(F.col("row").alias("a"), F.col("shingles").alias("s_a")), "a")
-        .join(sets.select(F.col("row").alias("b"), F.col("shingles").alias("s_b")), "b")
-        .where(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common))
-        .select("a", "b"),
+        sets.select(F.explode("hubs").alias("hub"), "row", "shingles")
+        .join(sets.where("is_hub").select(F.col("row").alias("hub"), F.col("shingles").alias("of_hub")), "hub")
+        .where(100 * common >= percent * (F.size("of_hub") + F.size("shingles") - common))
+        .select(F.least("row", "hub").alias("a"), F.greatest("row", "hub").alias("b")),
         "verified",
     )
 
@@ -231,8 +247,7 @@ def _rare_first(nodes: DataFrame, numbered: DataFrame, size: int, percent: int)
     `i` is the place in the set, counted from 0. Only as many places are given as a linked
     set must share one of.
     """
-    wanted = broadcast_if_small(nodes.select(F.col("node").alias("row")), BROADCAST_ROWS)
-    sets = settle(_sets(numbered.join(wanted, "row", "left_semi"), size), "sets")
+    sets = _sets(numbered, nodes.select(F.col("node").alias("row")), size)
     held = sets.select(F.col("row").alias("node"), F.explode("shingles").alias("shingle"))
     common = settle(held.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1"), "common")
     ordered = F.sort_array(F.collect_list(F.struct(F.coalesce("held", F.lit(1)).alias("held"), "shingle")))

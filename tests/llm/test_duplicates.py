@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketflow.llm import lyndon_suffixes, spaced_seeds, tensor_minhash
 from marketflow.llm.common import words
 from marketflow.llm.components import components
+from marketflow.session import settle
 
 from .conftest import messy_rows
 
@@ -103,6 +104,26 @@ def test_copies_that_differ_too_much_make_few_pairs(spark):
     assert linked <= {tuple(p) for p in pairs} and len(pairs) < 1000
 
 
+def test_links_are_verified_by_one_join_of_sets(spark, monkeypatch):
+    """A set goes to the nodes that it is compared with in one shuffle, not by both ends of a pair in turn."""
+    rows = [(r, text) for r, (_, text) in enumerate(near_copies(3, groups=3))]
+    numbered = spark.createDataFrame(rows, "row long, text string")
+    sets = [shingles(t, 2) for _, t in rows]
+    signed = spark.createDataFrame([(r, len(s)) for r, s in enumerate(sets)], "node long, n_shingles long")
+    pairs = [(a, b) for b in range(len(rows)) for a in range(b) if (a + b) % 3]
+    plans = {}
+
+    def settled(frame, label="settled"):
+        plans[label] = frame._jdf.queryExecution().optimizedPlan().toString()
+        return settle(frame, label)
+
+    monkeypatch.setattr(tensor_minhash, "settle", settled)
+    found = tensor_minhash._verified(spark.createDataFrame(pairs, "a long, b long"), numbered, signed, 2, 80).collect()
+    linked = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    assert sorted(map(tuple, found)) == sorted(p for p in pairs if linked(*p))
+    assert plans["verified"].count("Join ") == 1 and "broadcast" not in plans["verified"]
+
+
 def test_messy_rows_keep_one_of_each(spark, messy, empty):
     kept = tensor_minhash.keep_one_each(messy, size=5)
     assert kept.columns == messy.columns
@@ -154,6 +175,40 @@ def test_repeats_equal_brute_force(spark, monkeypatch, array_bytes):
         assert (x["n_bytes"], x["n_removed"], len(x["removed"]), bytes(x["kept"])) == expected, i
 
 
+def test_recoded_pieces_equal_brute_force():
+    """An anchor is one symbol and what follows is packed: far fewer symbols than bytes, the same windows."""
+    r = random.Random(1)
+    for _ in range(200):
+        anchor = r.choice([1, 3, 5])
+        length = anchor + r.randrange(30)
+        some = lambda n, signs="ab": "".join(r.choice(signs) for _ in range(n))
+        anchors, pieces, before = [some(anchor), some(anchor)], [], []
+        for _ in range(r.randrange(1, 25)):
+            at = r.randrange(length - anchor + 1)
+            after = r.randrange(at + 1) + length - at - anchor
+            pieces.append((some(at) + r.choice(anchors) + some(after, "ab\0\xff")).encode("latin1"))
+            before.append(at)
+        places = [range(len(p) - length + 1) for p in pieces]
+        seen = Counter((at - k, p[k : k + length]) for p, at, ks in zip(pieces, before, places) for k in ks)
+        every = Counter(p[k : k + length] for p, ks in zip(pieces, places) for k in ks)
+        for p, at, ks, flags in zip(pieces, before, places, lyndon_suffixes.repeated_windows(pieces, before, length, anchor)):
+            assert len(flags) == len(ks)
+            assert all((seen[at - k, p[k : k + length]] > 1) <= bool(f) <= (every[p[k : k + length]] > 1) for k, f in zip(ks, flags))
+    text, _ = lyndon_suffixes.recoded([bytes(range(250))] * 4, [75] * 4)
+    assert len(text) == 4 * (75 + 1 + 10 + 1)
+
+
+def test_crowded_anchors_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(lyndon_suffixes, "ARRAY_BYTES", 300)
+    r = random.Random(6)
+    word = lambda: "".join(r.choice("abcdé ") for _ in range(r.randrange(1, 9)))
+    passage = " ".join(word() for _ in range(70))
+    texts = [" ".join(word() for _ in range(40)) + passage[r.randrange(40) : -r.randrange(1, 40)] + word() for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {x["doc_id"]: (x["n_removed"], bytes(x["kept"])) for x in lyndon_suffixes.remove_repeats(docs).collect()}
+    assert found == {i: (removed, kept) for i, (_, removed, _, kept) in enumerate(stripped(texts))}
+
+
 def test_repeats_of_messy_rows(spark, messy, empty):
     rows = lyndon_suffixes.remove_repeats(messy).collect()
     assert sorted(x["n_bytes"] for x in rows) == sorted(len((t or "").encode()) for _, t, *_ in messy_rows())

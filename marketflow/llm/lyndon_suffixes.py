@@ -3,7 +3,8 @@
 Equal windows of `LENGTH` bytes are brought together by an anchor, the least hashed
 substring inside the window, which equal windows share. Around anchors that occur more
 than once lie the only bytes that can repeat; their texts are sorted by suffix arrays,
-built by Lyndon grouping, in which equal windows are neighbours.
+built by Lyndon grouping, in which equal windows are neighbours. In these arrays an anchor
+is one symbol, and so are eight bytes after it (see `recoded`).
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from marketflow.session import settle
 
 #: bytes of a repeated string, and of the substrings among which its anchor is chosen
 LENGTH, ANCHOR = 200, 100
-#: bytes of text that one suffix array is built over, and windows that a long text is cut into at a time
+#: symbols of recoded text that one suffix array is built over, and windows that a long text is cut into at a time
 ARRAY_BYTES, BLOCK = 200_000, 1 << 22
+#: bytes after an anchor that are one symbol; texts whose pieces are held at a time; arrays that a task builds
+PACKED, TEXTS_HELD, ARRAYS_PER_TASK = 8, 256, 8
 BROADCAST_ROWS = 2_000_000
 _RANDOM = np.random.default_rng(3)
 _BYTES = _RANDOM.integers(0, 2**63, 256, dtype=np.uint64)
@@ -129,7 +132,7 @@ class _Powers:
 
 
 def anchored_runs(data: np.ndarray, powers: _Powers, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, ...]:
-    """(anchor hashes, first and last window starts) of the runs of windows that share an anchor.
+    """(anchor hashes, first and last window starts, place of the anchor) of the runs of windows that share an anchor.
 
     The anchor of a window is its least substring of `anchor` bytes by hash, the first
     of equal ones: it depends on nothing but the window's bytes.
@@ -151,25 +154,25 @@ def anchored_runs(data: np.ndarray, powers: _Powers, length: int = LENGTH, ancho
     place = (np.minimum(tail[:windows], head[width - 1 : width - 1 + windows]) & _LOW).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     last = np.append(first[1:], windows) - 1
-    return hashes[place[first]].view(np.int64), first, last
+    return hashes[place[first]].view(np.int64), first, last, place[first]
 
 
-def _runs_of(text: str | None, powers: _Powers) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
-    """(bytes, anchors, first and last window starts) of each block of a text."""
+def _runs_of(text: str | None, powers: _Powers) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(bytes, anchors, first and last window starts, bytes before the anchor) of each block of a text."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     data = np.frombuffer(raw, np.uint8)
     for start in range(0, len(data) - LENGTH + 1, BLOCK):
-        anchors, first, last = anchored_runs(data[start : start + BLOCK + LENGTH - 1], powers)
-        yield raw, anchors, first + start, last + start
+        anchors, first, last, place = anchored_runs(data[start : start + BLOCK + LENGTH - 1], powers)
+        yield raw, anchors, first + start, last + start, place - first
 
 
 def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     powers = _Powers()
     for batch in batches:
-        for start in range(0, len(batch), 256):
+        for start in range(0, len(batch), TEXTS_HELD):
             found = [np.empty(0, np.int64)]
-            for text in batch["text"].iloc[start : start + 256]:
-                found += [anchors for _, anchors, _, _ in _runs_of(text, powers)]
+            for text in batch["text"].iloc[start : start + TEXTS_HELD]:
+                found += [anchors for _, anchors, *_ in _runs_of(text, powers)]
             anchors, n = np.unique(np.concatenate(found), return_counts=True)
             yield pd.DataFrame({"anchor": anchors, "n": n})
 
@@ -177,12 +180,27 @@ def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     powers = _Powers()
     for batch in batches:
-        for row, text in zip(batch["row"], batch["text"]):
-            for raw, anchors, first, last in _runs_of(text, powers):
-                pieces = [xxhash.xxh3_64_intdigest(raw[a : b + LENGTH]) for a, b in zip(first, last)]
-                yield pd.DataFrame(
-                    {"anchor": anchors, "piece": np.array(pieces, np.uint64).view(np.int64), "row": row, "first": first, "last": last}
-                )
+        for start in range(0, len(batch), TEXTS_HELD):
+            part = batch.iloc[start : start + TEXTS_HELD]
+            rows, pieces, found = [np.empty(0, np.int64)], [], [[np.empty(0, np.int64)] for _ in range(4)]
+            for row, text in zip(part["row"], part["text"]):
+                for raw, *run in _runs_of(text, powers):
+                    _, first, last, _ = run
+                    pieces += [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(first.tolist(), (last + LENGTH).tolist())]
+                    rows.append(np.full(len(first), row, np.int64))
+                    for held, values in zip(found, run):
+                        held.append(values)
+            anchors, first, last, before = map(np.concatenate, found)
+            yield pd.DataFrame(
+                {
+                    "anchor": anchors,
+                    "piece": np.array(pieces, np.uint64).view(np.int64),
+                    "row": np.concatenate(rows),
+                    "first": first.astype(np.int32),
+                    "last": last.astype(np.int32),
+                    "before": before.astype(np.int32),
+                }
+            )
 
 
 def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -190,8 +208,8 @@ def _cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made = []
         for text, wanted in zip(batch["text"], batch["wanted"]):
             raw = text.encode("utf-8", "surrogatepass")
-            made += [(w["anchor"], w["piece"], raw[w["first"] : w["last"] + LENGTH]) for w in wanted]
-        yield pd.DataFrame(made, columns=["anchor", "piece", "bytes"])
+            made += [(w["anchor"], w["piece"], w["before"], raw[w["first"] : w["last"] + LENGTH]) for w in wanted]
+        yield pd.DataFrame(made, columns=["anchor", "piece", "before", "bytes"])
 
 
 def _spans(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -200,28 +218,56 @@ def _spans(flags: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(b) - 1) for a, b in edges.reshape(-1, 2)]
 
 
-def repeated_windows(pieces: list[bytes], length: int = LENGTH) -> list[np.ndarray]:
+def recoded(pieces: list[bytes], before: list[int], anchor: int = ANCHOR) -> tuple[list[int], np.ndarray]:
+    """(symbols of all texts, where each text starts in them), with far fewer symbols than bytes.
+
+    The bytes before a text's anchor are symbols of their own, the anchor is one, and
+    every `PACKED` bytes after it are one, numbered in the order of the bytes (the last ones
+    filled up with zeros). Windows begin at their anchor or before it and equal ones
+    have it at the same place, so what follows is packed alike: those equal to a window
+    stay neighbours among the suffixes that begin whole windows.
+    """
+    packed, counts, anchors = [], [], {}
+    for piece, at in zip(pieces, before):
+        after = piece[at + anchor :]
+        counts.append(-(-len(after) // PACKED))
+        packed.append(after.ljust(counts[-1] * PACKED, b"\0"))
+    values, symbol = np.unique(np.frombuffer(b"".join(packed), f">u{PACKED}"), return_inverse=True)
+    ends = np.cumsum(counts).tolist()
+    symbol, text, starts = (symbol + 257).tolist(), [], []
+    for piece, at, count, end in zip(pieces, before, counts, ends):
+        starts.append(len(text))
+        text += [byte + 1 for byte in piece[:at]]
+        text.append(257 + len(values) + anchors.setdefault(piece[at : at + anchor], len(anchors)))
+        text += symbol[end - count : end]
+        text.append(0)
+    return text, np.array(starts, np.int64)
+
+
+def repeated_windows(pieces: list[bytes], before: list[int], length: int = LENGTH, anchor: int = ANCHOR) -> list[np.ndarray]:
     """For each text a flag per window: whether its bytes occur at another place of these texts.
 
-    All texts are sorted in one suffix array; the windows equal to a suffix's first
+    `before`: the bytes before each text's anchor, which all its windows hold. The texts
+    are recoded and sorted in one suffix array; the windows equal to a suffix's first
     bytes are its neighbours among the suffixes that begin a whole window.
     """
-    joined = b"".join(p + b"\0" for p in pieces)
-    order = np.array(suffix_array(list(joined)))
-    starts = np.cumsum([0] + [len(p) + 1 for p in pieces])
-    whole = np.zeros(len(joined), bool)
-    for start, piece in zip(starts, pieces):
-        whole[start : start + max(0, len(piece) - length + 1)] = True
-    order = order[whole[order]]
-    data = np.frombuffer(joined, np.uint8)
+    text, starts = recoded(pieces, before, anchor)
+    order = np.array(suffix_array(text), np.int64)
+    sizes = [max(0, len(p) - length + 1) for p in pieces]
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    # the place in the bytes of each whole window, by its place in the symbols
+    place = np.full(len(text), -1)
+    for start, size, byte in zip(starts, sizes, np.cumsum([0] + [len(p) for p in pieces])):
+        place[start : start + size] = np.arange(byte, byte + size)
+    order = order[place[order] >= 0]
     views = np.lib.stride_tricks.sliding_window_view(data, length) if len(data) >= length else data.reshape(-1, 1)
-    again = np.zeros(len(joined), bool)
+    again = np.zeros(len(text), bool)
     for at in range(0, len(order) - 1, 1 << 16):
         left, right = order[at : at + (1 << 16)], order[at + 1 : at + 1 + (1 << 16)]
         left = left[: len(right)]
-        same = (views[left] == views[right]).all(1)
+        same = (views[place[left]] == views[place[right]]).all(1)
         again[left[same]] = again[right[same]] = True
-    return [again[s : s + max(0, len(p) - length + 1)] for s, p in zip(starts, pieces)]
+    return [again[start : start + size] for start, size in zip(starts, sizes)]
 
 
 SPANS = "anchor long, piece long, spans array<struct<a:int,b:int>>"
@@ -229,7 +275,7 @@ SPANS = "anchor long, piece long, spans array<struct<a:int,b:int>>"
 
 def _sorted_group(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame.sort_values(["anchor", "piece"])
-    flags = repeated_windows([bytes(b) for b in frame["bytes"]])
+    flags = repeated_windows([bytes(b) for b in frame["bytes"]], frame["before"].tolist())
     return pd.DataFrame(
         {"anchor": frame["anchor"], "piece": frame["piece"], "spans": [[{"a": a, "b": b} for a, b in _spans(f)] for f in flags]}
     )
@@ -250,47 +296,47 @@ def repeated_spans(numbered: DataFrame) -> DataFrame:
 
     Anchors are counted over all texts. Where an anchor's surroundings are the same
     everywhere, they repeat as a whole; where they differ, the different ones meet in
-    suffix arrays of about `ARRAY_BYTES` bytes. An anchor with more different
+    suffix arrays of about `ARRAY_BYTES` symbols. An anchor with more different
     surroundings than fit in one array (a passage that very many texts share) has its
     windows counted by their digests instead, which a shuffle spreads over all tasks.
     """
     counted = numbered.select("text").mapInPandas(_anchors, "anchor long, n long")
     common = settle(counted.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor"), "anchors")
     pieces = numbered.select("row", "text").mapInPandas(
-        _pieces, "anchor long, piece long, row long, first int, last int"
+        _pieces, "anchor long, piece long, row long, first int, last int, before int"
     )
     found = settle(pieces.join(broadcast_if_small(common, BROADCAST_ROWS), "anchor", "left_semi"), "pieces")
     kinds = settle(
-        found.groupBy("anchor", "piece").agg(F.count("*").alias("n"), F.min(F.struct("row", "first", "last")).alias("one")),
+        found.groupBy("anchor", "piece").agg(F.count("*").alias("n"), F.min(F.struct("row", "first", "last", "before")).alias("one")),
         "kinds",
     )
-    held = kinds.groupBy("anchor").agg(
-        F.count("*").alias("kinds"), F.sum(F.col("one.last") - F.col("one.first") + LENGTH + 1).alias("bytes")
-    )
-    mixed = settle(held.where("kinds > 1").select("anchor", "bytes"), "mixed")
+    after = F.col("one.last") - F.col("one.first") + LENGTH - ANCHOR - F.col("one.before")
+    symbols = F.col("one.before") + F.ceil(after / PACKED) + 2
+    held = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum(symbols).alias("symbols"))
+    mixed = settle(held.where("kinds > 1").select("anchor", "symbols"), "mixed")
     wanted = (
         kinds.join(mixed, "anchor")
         .groupBy(F.col("one.row").alias("row"))
-        .agg(F.collect_list(F.struct("anchor", "piece", "one.first", "one.last")).alias("wanted"))
+        .agg(F.collect_list(F.struct("anchor", "piece", "one.first", "one.last", "one.before")).alias("wanted"))
     )
     wanted = settle(wanted, "wanted")
     cut = numbered.join(broadcast_if_small(wanted, BROADCAST_ROWS // 20), "row").select("text", "wanted")
     texts = settle(
-        cut.mapInPandas(_cut, "anchor long, piece long, bytes binary").join(
-            mixed.select("anchor", F.col("bytes").alias("total")), "anchor"
-        ),
+        cut.mapInPandas(_cut, "anchor long, piece long, before int, bytes binary").join(mixed, "anchor"),
         "texts",
     )
-    groups = int((mixed.where(F.col("bytes") <= ARRAY_BYTES).agg(F.sum("bytes")).first()[0] or 0) // ARRAY_BYTES) + 1
+    groups = int((mixed.where(F.col("symbols") <= ARRAY_BYTES).agg(F.sum("symbols")).first()[0] or 0) // ARRAY_BYTES) + 1
     by_array = (
-        texts.where(F.col("total") <= ARRAY_BYTES)
+        texts.where(F.col("symbols") <= ARRAY_BYTES)
         .withColumn("group", F.pmod(F.xxhash64("anchor"), F.lit(groups)))
-        .select("group", "anchor", "piece", "bytes")
+        .select("group", "anchor", "piece", "before", "bytes")
+        # a number of its own: sorting takes far longer than the size of these texts tells
+        .repartition(groups // ARRAYS_PER_TASK + 1, "group")
         .groupBy("group")
         .applyInPandas(_sorted_group, SPANS)
     )
     windows = settle(
-        texts.where(F.col("total") > ARRAY_BYTES).select("anchor", "piece", "bytes").mapInPandas(
+        texts.where(F.col("symbols") > ARRAY_BYTES).select("anchor", "piece", "bytes").mapInPandas(
             _windows, "anchor long, piece long, place int, window binary"
         ),
         "windows",

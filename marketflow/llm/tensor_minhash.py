@@ -31,6 +31,8 @@ BLOCK_BYTES = 1 << 18
 #: classes of set sizes between a size and its double
 SIZE_CLASSES = 24
 BROADCAST_ROWS = 2_000_000
+#: of the numbered texts, the largest table that is written
+TEXT_CODEC = "zstd"
 SEED = 11
 
 
@@ -371,7 +373,7 @@ def near_duplicates(
     `row` are replaced. `banding` chooses the tables by `percent`.
     """
     width, depth = banding(percent)
-    numbered = settle(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    numbered = settle(docs.withColumn("row", F.monotonically_increasing_id()), "numbered", compression=TEXT_CODEC)
     keyed = numbered.select("row", "doc_id", text_key(F.col("text")).alias("key"))
     signatures = settle(_signatures(numbered, size, width, depth), "signatures")
     rows = keyed.join(signatures.select("row", "n_shingles"), "row")

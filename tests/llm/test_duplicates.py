@@ -1,5 +1,6 @@
 """Near duplicates, repeated strings and benchmark leaks against brute force."""
 
+import os
 import random
 from collections import Counter
 
@@ -124,6 +125,17 @@ def test_links_are_verified_by_one_join_of_sets(spark, monkeypatch):
     assert plans["verified"].count("Join ") == 1 and "broadcast" not in plans["verified"]
 
 
+def test_numbered_texts_take_less_disk_than_a_plain_copy(spark):
+    r = random.Random(4)
+    vocabulary = ["".join(r.choice("abcdefghij") for _ in range(r.randrange(2, 10))) for _ in range(3000)]
+    rows = [(i, " ".join(r.choice(vocabulary) for _ in range(300))) for i in range(400)] + [(None, None), (400, ""), (0, "é 漢字")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    _, numbered = tensor_minhash.near_duplicates(docs)
+    size = lambda frame: sum(os.path.getsize(name.removeprefix("file://")) for name in frame.inputFiles())
+    assert size(numbered) < 0.8 * size(settle(docs))
+    assert sorted(map(tuple, numbered.select("doc_id", "text").collect()), key=str) == sorted(rows, key=str)
+
+
 def test_messy_rows_keep_one_of_each(spark, messy, empty):
     kept = tensor_minhash.keep_one_each(messy, size=5)
     assert kept.columns == messy.columns

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +14,8 @@ from marketflow.session import settle
 
 #: documents of a shard, and queries that a task takes through a shard at once
 SHARD_DOCS, QUERY_BLOCK = 8192, 4096
+#: queries whose scores with a whole shard are held at once
+QUERY_BATCH = 64
 HIT_SCHEMA = "query_id long, doc_id long, score double"
 
 
@@ -35,10 +39,15 @@ class Shard:
     """Postings of some documents by term, with the largest and smallest weight of each term.
 
     The postings of a term that a good part of the documents holds are laid out as a
-    column of a matrix, so that several such terms are traversed as one product.
+    column of a matrix with a row a document, so that several such terms are traversed,
+    or probed for some documents, as one product.
     """
 
     DENSE = 1 / 8
+    #: columns whose bounds sum to less than this share of the threshold are left to probing
+    PROBED = 1 / 8
+    #: bounds and sums of doubles may be off by this share of the largest possible sum
+    SLACK = 1e-9
 
     def __init__(self, ids: np.ndarray, docs: np.ndarray, terms: np.ndarray, weights: np.ndarray):
         """`docs` holds positions in `ids`, which must be sorted; a weight of 0 is no posting."""
@@ -46,86 +55,132 @@ class Shard:
         docs, terms, weights = docs[weights != 0], terms[weights != 0], weights[weights != 0]
         order = np.lexsort((docs, terms))
         docs, terms, weights = docs[order], terms[order], weights[order]
-        known, starts = np.unique(terms, return_index=True)
+        self.terms, starts = np.unique(terms, return_index=True)
         ends = np.append(starts[1:], len(terms))
-        self.postings, self.column, columns = {}, {}, []
-        for t, a, b in zip(known.tolist(), starts, ends):
-            self.postings[t] = (docs[a:b], weights[a:b], weights[a:b].max(initial=0.0), weights[a:b].min(initial=0.0))
+        self.most, self.least = np.zeros(len(starts)), np.zeros(len(starts))
+        self.column = np.full(len(starts), -1)
+        self.postings, columns = [], []
+        for place, (a, b) in enumerate(zip(starts, ends)):
+            self.postings.append((docs[a:b], weights[a:b]))
+            self.most[place], self.least[place] = weights[a:b].max(initial=0.0), weights[a:b].min(initial=0.0)
             if b - a >= self.DENSE * len(ids):
-                self.column[t] = len(columns)
+                self.column[place] = len(columns)
                 column = np.zeros(len(ids))
                 column[docs[a:b]] = weights[a:b]
                 columns.append(column)
-        self.matrix = np.array(columns).reshape(len(columns), len(ids))
-
-    def _add(self, scores: np.ndarray, touched: np.ndarray, lists: list) -> None:
-        """Traverse whole postings."""
-        dense = [(self.column[x[4]], x[3]) for x in lists if x[4] in self.column]
-        if dense:
-            scores += np.array([w for _, w in dense]) @ self.matrix[[c for c, _ in dense]]
-            touched[:] = True
-        for _, docs, values, weight, term in lists:
-            if term not in self.column:
-                scores[docs] += weight * values
-                touched[docs] = True
-
-    def _probe(self, some: np.ndarray, entry: tuple) -> np.ndarray:
-        """What a term adds to some documents (sorted positions)."""
-        _, docs, values, weight, term = entry
-        if term in self.column:
-            return weight * self.matrix[self.column[term], some]
+        self.matrix = np.array(columns).reshape(len(columns), len(ids)).T.copy()
+
+    def _products(self, some: np.ndarray, places: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """What terms laid out as columns add to some documents."""
+        wanted = np.zeros(self.matrix.shape[1])
+        wanted[self.column[places]] = weights
+        return self.matrix[some] @ wanted
+
+    def _probe(self, some: np.ndarray, place: int, weight: float) -> np.ndarray:
+        """What a term kept as a list adds to some documents (sorted positions)."""
+        docs, values = self.postings[place]
         at = np.minimum(np.searchsorted(docs, some), len(docs) - 1)
         return np.where(docs[at] == some, weight * values[at], 0.0)
 
     def top(self, query: list[tuple[int, float]], k: int, own: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """The k best documents other than `own`: (positions, scores), ties to smaller ids.
+        """The k best documents of one query, see `tops`."""
+        terms, weights = zip(*query) if query else ((), ())
+        return next(self.tops([(np.array(terms, np.int64), np.array(weights, float))], k, [own]))
+
+    def tops(
+        self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, owns: list[int | None]
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per query (terms, weights) the k best documents other than its `own`: (positions, scores), ties to smaller ids.
 
         A term's bound is the most it can add; absent terms add 0. With the terms in the
         order of rising bounds, those whose bounds sum to less than the k-th best score
         so far are non-essential: a document without any other term can't get in. The
-        essential postings are traversed from the highest bound down; then the
-        non-essential terms are probed only for documents that can still reach the
-        threshold. Equal scores stay in, so the ties are decided by id at the end.
+        essential postings are traversed, those laid out as columns for `QUERY_BATCH`
+        queries by one product. It also takes the columns of bound 0, which only lower
+        scores, and the higher of the non-essential ones, so that few documents stay
+        open: only for those that can still reach the threshold the other terms are
+        probed, columns first. Equal scores stay in, so the ties are decided by id at the end.
         """
-        lists = []
-        for term, weight in query:
-            if term in self.postings:
-                docs, values, most, least = self.postings[term]
-                lists.append((max(weight * most, weight * least, 0.0), docs, values, weight, term))
-        lists.sort(key=lambda x: x[0])
-        bounds = np.cumsum([0.0] + [x[0] for x in lists])
-        alive = np.ones(len(self.ids), bool)
-        if own is not None:
-            alive[np.searchsorted(self.ids, own) : np.searchsorted(self.ids, own, "right")] = False
-        threshold = self._seed(lists, k, alive)
+        for first in range(0, len(queries), QUERY_BATCH):
+            plans = [self._plan(*query, k, own) for query, own in zip(queries[first : first + QUERY_BATCH], owns[first:])]
+            taken = np.zeros((len(plans), self.matrix.shape[1]))
+            for row, (places, weights, _, _, _, product, _) in enumerate(plans):
+                taken[row, self.column[places[product]]] = weights[product]
+            scores = taken @ self.matrix.T
+            for row, plan in enumerate(plans):
+                yield self._best(scores[row], k, *plan)
+
+    def _plan(self, terms: np.ndarray, weights: np.ndarray, k: int, own: int | None) -> tuple:
+        """What `_best` needs of a query.
+
+        Places of the held terms by rising bounds, their weights and bounds, the threshold,
+        the number of non-essential terms, which terms the product takes, and the own positions.
+        """
+        places = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1) if len(self.terms) else terms[:0]
+        held = self.terms[places] == terms[: len(places)]
+        places, weights = places[held], weights[: len(held)][held]
+        most, least = weights * self.most[places], weights * self.least[places]
+        bounds = np.maximum(np.maximum(most, least), 0.0)
+        order = np.argsort(bounds, kind="stable")
+        places, weights, bounds = places[order], weights[order], bounds[order]
+        mine = slice(*np.searchsorted(self.ids, [own, own + 1])) if own is not None else slice(0, 0)
+        threshold = self._seed(places, weights, k, mine) - self.SLACK * np.maximum(np.abs(most), np.abs(least)).sum()
         # the longest head of the list whose bounds sum to less than the threshold
-        cut = int(np.searchsorted(bounds[1:], threshold, side="left")) if threshold > 0 else 0
-        scores = np.zeros(len(self.ids))
-        touched = np.zeros(len(self.ids), bool) if threshold > 0 else np.ones(len(self.ids), bool)
-        self._add(scores, touched, lists[cut:])
-        rest = np.flatnonzero(touched & alive)
-        for i in range(cut - 1, -1, -1):
-            rest = rest[scores[rest] + bounds[i + 1] >= threshold]
-            scores[rest] += self._probe(rest, lists[i])
+        cut = int(np.searchsorted(np.cumsum(bounds), threshold, side="left")) if threshold > 0 else 0
+        product = (self.column[places] >= 0) & ((np.cumsum(bounds) >= self.PROBED * threshold) | (bounds == 0))
+        return places, weights, bounds, threshold, cut, product, mine
+
+    def _best(
+        self,
+        scores: np.ndarray,
+        k: int,
+        places: np.ndarray,
+        weights: np.ndarray,
+        bounds: np.ndarray,
+        threshold: float,
+        cut: int,
+        product: np.ndarray,
+        mine: slice,
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The k best, from `scores` by the product."""
+        touched = np.full(len(self.ids), threshold <= 0 or product[cut:].any())
+        for i in cut + np.flatnonzero(~product[cut:]):
+            docs, values = self.postings[places[i]]
+            scores[docs] += weights[i] * values
+            touched[docs] = True
+        touched[mine] = False
+        rest = np.flatnonzero(touched & (scores + bounds[:cut][~product[:cut]].sum() >= threshold))
+        scores = scores[rest]
+        columns = np.flatnonzero((self.column[places[:cut]] >= 0) & ~product[:cut])
+        if len(columns):
+            scores = scores + self._products(rest, places[columns], weights[columns])
+        lists = np.flatnonzero(self.column[places[:cut]] < 0)
+        for i, left in zip(lists[::-1], np.cumsum(bounds[lists])[::-1]):
+            reach = scores + left >= threshold
+            rest, scores = rest[reach], scores[reach]
+            scores = scores + self._probe(rest, places[i], weights[i])
         if len(rest) > k:
-            least = np.partition(scores[rest], len(rest) - k)[len(rest) - k]
-            rest = rest[scores[rest] >= least]
-        best = rest[np.lexsort((self.ids[rest], -scores[rest]))][:k]
-        return best, scores[best]
+            reach = scores >= np.partition(scores, len(rest) - k)[len(rest) - k]
+            rest, scores = rest[reach], scores[reach]
+        best = np.lexsort((self.ids[rest], -scores))[:k]
+        return rest[best], scores[best]
 
-    def _seed(self, lists: list, k: int, alive: np.ndarray) -> float:
+    def _seed(self, places: np.ndarray, weights: np.ndarray, k: int, mine: slice) -> float:
         """A first threshold: the k-th best full score among documents high in the best list; -inf if fewer."""
-        if not lists:
+        if not len(places):
             return -np.inf
-        _, docs, values, weight, _ = lists[-1]
-        docs, values = docs[alive[docs]], values[alive[docs]]
+        docs, values = self.postings[places[-1]]
+        if mine.stop > mine.start:
+            other = (docs < mine.start) | (docs >= mine.stop)
+            docs, values = docs[other], values[other]
         if len(docs) < k:
             return -np.inf
         take = min(len(docs), 8 * k)
-        some = np.sort(docs[np.argpartition(-weight * values, take - 1)[:take]])
-        scores = np.zeros(take)
-        for entry in lists:
-            scores += self._probe(some, entry)
+        some = np.sort(docs[np.argpartition(-weights[-1] * values, take - 1)[:take]])
+        columns = self.column[places] >= 0
+        scores = self._products(some, places[columns], weights[columns])
+        for i in np.flatnonzero(~columns):
+            scores += self._probe(some, places[i], weights[i])
         return float(np.partition(scores, take - k)[take - k])
 
 
@@ -166,11 +221,13 @@ def top_k(queries: DataFrame, docs: DataFrame, k: int, skip_same_id: bool = Fals
     def search(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if asked.empty or held.empty:
             return pd.DataFrame({"query_id": [], "doc_id": [], "score": []})
-        shard, found = Shard(*_flat(held)), []
-        for own, terms, weights in zip(asked["id"], asked["terms"], asked["weights"]):
-            best, scores = shard.top(list(zip(terms.tolist(), weights.tolist())), k, int(own) if skip_same_id else None)
-            found.append(pd.DataFrame({"query_id": own, "doc_id": shard.ids[best], "score": scores}))
-        return pd.concat(found)
+        shard, ids = Shard(*_flat(held)), asked["id"].to_numpy()
+        owns = ids.tolist() if skip_same_id else [None] * len(ids)
+        best, scores = zip(*shard.tops(list(zip(asked["terms"], asked["weights"])), k, owns))
+        counts = [len(some) for some in best]
+        return pd.DataFrame(
+            {"query_id": np.repeat(ids, counts), "doc_id": shard.ids[np.concatenate(best)], "score": np.concatenate(scores)}
+        )
 
     hits = (
         left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInPandas(search, HIT_SCHEMA)

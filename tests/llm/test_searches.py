@@ -59,6 +59,25 @@ def test_seed_threshold_never_exceeds_the_kth_score():
         assert best.tolist() == order.tolist() and scores.tolist() == (matrix @ q)[order].tolist()
 
 
+def test_queries_in_batches_equal_brute_force_and_leave_few_documents_open(monkeypatch):
+    monkeypatch.setattr(maxscore, "QUERY_BATCH", 16)
+    random_numbers = np.random.default_rng(2)
+    # 24 terms that half of the documents hold and 20 that one in forty holds; weights with a fraction
+    matrix = random_numbers.normal(0, 1, (2000, 44)) * (random_numbers.random((2000, 44)) < [0.5] * 24 + [0.025] * 20)
+    docs, terms = np.nonzero(matrix)
+    shard, ids = maxscore.Shard(3 * np.arange(2000), docs, 3 * terms, matrix[docs, terms]), 3 * np.arange(2000)
+    completed, products = [], maxscore.Shard._products
+    monkeypatch.setattr(maxscore.Shard, "_products", lambda s, some, *rest: completed.append(len(some)) or products(s, some, *rest))
+    asked = [(3 * np.arange(50), np.append(q, [1.0] * 6)) for q in matrix[:50]]
+    found = list(shard.tops(asked, 5, ids[:50].tolist()))
+    for i, (best, scores) in enumerate(found):
+        full = matrix @ matrix[i]
+        full[i] = -np.inf
+        order = np.lexsort((ids, -full))[:5]
+        assert best.tolist() == order.tolist() and scores == pytest.approx(full[order], rel=1e-12)
+    assert sum(completed) < 0.1 * 50 * 2000
+
+
 def placed(frame):
     return sorted(map(tuple, frame.select("doc_id", "size", "text_crc32", "shard", "slot").collect()), key=str)
 

@@ -136,28 +136,32 @@ def _blocks(texts: list[np.ndarray]) -> Iterator[list[int]]:
         yield block
 
 
-def _steps(texts: list[np.ndarray]) -> Iterator[np.ndarray]:
-    """The classes at each place of texts of falling length; shorter texts drop out at the end."""
-    longest = len(texts[0])
+def _by_time(texts: list[np.ndarray]) -> tuple[np.ndarray, list[int]]:
+    """The classes of texts of falling length, all first ones, then all second ones and so on, and where each place begins.
+
+    Shorter texts drop out at the end.
+    """
     lengths = np.array([len(t) for t in texts])
-    alive = np.searchsorted(-lengths, -np.arange(1, longest + 1), side="right")
-    flat, starts = np.concatenate(texts), np.cumsum(lengths) - lengths
-    for t in range(longest):
-        yield flat[starts[: alive[t]] + t]
+    alive = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")
+    stops = np.concatenate([[0], np.cumsum(alive)])
+    places = np.arange(stops[-1]) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    seen = np.empty(stops[-1], texts[0].dtype)
+    seen[stops[places] + np.repeat(np.arange(len(texts)), lengths)] = np.concatenate(texts)
+    return seen, stops.tolist()
 
 
 def log_likelihoods(texts: list[np.ndarray], chain: Chain) -> np.ndarray:
     """Natural log of the probability of each class sequence (never empty), by the scaled forward recursion."""
     result = np.zeros(len(texts))
+    come, emit = chain.move.T.copy(), chain.emit.T.copy()  # a row a state, so that the steps run along the texts
     for block in _blocks(texts):
-        logs = np.zeros(len(block))
-        state = None
-        for seen in _steps([texts[k] for k in block]):
-            n = len(seen)
-            state = (chain.start if state is None else state[:n] @ chain.move) * chain.emit[seen]
-            scale = state.sum(1)
-            state /= scale[:, None]
-            logs[:n] += np.log(scale)
+        seen, stops = _by_time([texts[k] for k in block])
+        logs, state = np.zeros(len(block)), None
+        for a, b in zip(stops, stops[1:]):
+            state = (chain.start[:, None] if state is None else come @ state[:, : b - a]) * emit.take(seen[a:b], axis=1)
+            scale = np.add.reduce(state, axis=0)
+            state /= scale
+            logs[: b - a] += np.log(scale)
         result[block] = logs
     return result
 
@@ -166,31 +170,33 @@ def expected_counts(texts: list[np.ndarray], chain: Chain) -> np.ndarray:
     """Expected starts, moves and emissions, laid out as rows: 1 + states + classes, by states."""
     states, classes = len(chain.start), len(chain.emit)
     total = np.zeros((1 + states + classes, states))
+    come, emit = chain.move.T.copy(), chain.emit.T.copy()  # a row a state, so that the steps run along the texts
     for block in _blocks(texts):
-        seens, alphas, scales = [], [], []
-        for seen in _steps([texts[k] for k in block]):
-            n = len(seen)
-            state = (chain.start if not alphas else alphas[-1][:n] @ chain.move) * chain.emit[seen]
-            scale = state.sum(1)
-            seens.append(seen)
-            alphas.append(state / scale[:, None])
-            scales.append(scale)
-        moves, gammas = np.zeros((states, states)), [None] * len(seens)
-        beta = np.ones((0, states))
-        for t in range(len(seens) - 1, -1, -1):
-            n, later = len(seens[t]), len(beta)
-            full = np.ones((n, states))
-            if later:
-                ahead = chain.emit[seens[t + 1]] * beta / scales[t + 1][:, None]
-                moves += alphas[t][:later].T @ ahead
-                full[:later] = ahead @ chain.move.T
-            beta = full
-            gammas[t] = alphas[t] * beta
-        total[0] += gammas[0].sum(0)
+        seen, stops = _by_time([texts[k] for k in block])
+        ahead, scales = emit.take(seen, axis=1), np.empty(len(seen))
+        alphas = np.empty_like(ahead)
+        for t, (a, b) in enumerate(zip(stops, stops[1:])):
+            state, scale = alphas[:, a:b], scales[a:b]
+            if t:
+                np.matmul(come, alphas[:, stops[t - 1] : stops[t - 1] + b - a], out=state)
+            else:
+                state[:] = chain.start[:, None]
+            state *= ahead[:, a:b]
+            np.add.reduce(state, axis=0, out=scale)
+            state /= scale
+        ahead /= scales
+        betas, moves = np.ones_like(alphas), np.zeros((states, states))
+        for t in range(len(stops) - 2, 0, -1):
+            a, b, before = stops[t], stops[t + 1], stops[t - 1]
+            later = ahead[:, a:b]
+            later *= betas[:, a:b]
+            moves += alphas[:, before : before + b - a] @ later.T
+            np.matmul(chain.move, later, out=betas[:, before : before + b - a])
+        alphas *= betas
+        total[0] += alphas[:, : stops[1]].sum(1)
         total[1 : 1 + states] += moves * chain.move
-        seen, gamma = np.concatenate(seens), np.concatenate(gammas)
         for k in range(states):
-            total[1 + states :, k] += np.bincount(seen, gamma[:, k], minlength=classes)
+            total[1 + states :, k] += np.bincount(seen, alphas[k], minlength=classes)
     return total
 
 

@@ -170,6 +170,20 @@ def test_forward_equals_all_state_paths():
         assert counts[1 + a, b] == pytest.approx(chain.move[a, b] * slope, rel=1e-3)
 
 
+def test_recursions_lay_texts_out_by_place():
+    r = np.random.default_rng(10)
+    chain = hidden_markov.Chain(r.dirichlet(np.ones(4)), r.dirichlet(np.ones(4), 4), r.dirichlet(np.ones(9), 4).T)
+    texts = [r.integers(0, 9, n) for n in (7, 7, 5, 1, 1)]
+    seen, stops = hidden_markov._by_time(texts)
+    assert [seen[a:b].tolist() for a, b in zip(stops, stops[1:])] == [[t[k] for t in texts if len(t) > k] for k in range(7)]
+    # in any order and any blocks the sums are those of the texts one by one
+    alone = sum(hidden_markov.expected_counts([t], chain) for t in texts)
+    together = hidden_markov.expected_counts([texts[k] for k in (3, 0, 4, 2, 1)], chain)
+    assert together == pytest.approx(alone, rel=1e-12) and together[5:].sum() == pytest.approx(21)
+    logs = [hidden_markov.log_likelihoods([t], chain)[0] for t in texts]
+    assert hidden_markov.log_likelihoods(texts, chain) == pytest.approx(logs, rel=1e-12)
+
+
 def test_turns_never_lower_the_likelihood():
     r = np.random.default_rng(9)
     texts = [r.integers(0, 40, r.integers(1, 60)) // (1 + k % 2) for k in range(40)]
